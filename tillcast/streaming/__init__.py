@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The workload is a batch forecast over a daily sales panel; it has no stream
+source, watermark, streaming window or stateful operator, so none is built.
+"""
