@@ -88,6 +88,16 @@ dense AS (
 """
 
 
+def clip(x: str, lo=None, hi=None) -> str:
+    """NULL-preserving clip for the oracle (DuckDB's greatest/least skip NULL, trap T1)."""
+    parts = []
+    if lo is not None:
+        parts.append(f"WHEN ({x}) < {lo} THEN {lo}")
+    if hi is not None:
+        parts.append(f"WHEN ({x}) > {hi} THEN {hi}")
+    return f"(CASE {' '.join(parts)} ELSE ({x}) END)"
+
+
 def with_panel(body: str) -> str:
     return "WITH " + PANEL_CTE + "\n" + body
 

@@ -44,3 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stage(df):
+    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir``.
+
+    The result is written to the shared folder (so it survives executor loss,
+    unlike a local checkpoint) and keeps its output partitioning, so the
+    series partitioning of a staged panel is still known downstream.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    # persist first: a reliable checkpoint otherwise computes the plan twice
+    # (once for the eager count, once for the write job)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
