@@ -213,7 +213,8 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
 
     ``materialize`` checkpoints the prepared panel once (shared checkpoint
     folder) so the twenty-odd aggregate branches read it instead of each
-    re-deriving the panel from the raw tables.
+    re-deriving the panel from the raw tables, and checkpoints the finished
+    feature frame so downstream consumers do not re-expand its plan.
     """
     if materialize:
         p = stage(p)
@@ -351,7 +352,9 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     else:
         p = windows.store_date_memory(p, "avg_temp_f")
     p = p.withColumnsRenamed({"avg_temp_f_lag1": "temp_lag1", "avg_temp_f_rolling3": "temp_rolling3"})
-    return p.drop(*[col for col in p.columns if col.startswith("__")])
+    p = p.drop(*[col for col in p.columns if col.startswith("__")])
+    # write the feature frame once: every model, member and report reads it
+    return stage(p) if materialize else p
 
 
 def feature_frame(p: DataFrame, level: str = "v4", cat: Catalog = DRIVER_CATALOG,
