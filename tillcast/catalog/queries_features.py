@@ -46,8 +46,19 @@ LAYERS = {
 }
 
 
+_MEMO: dict = {}
+
+
 def features(spark, sf):
-    return build_features(prepared(spark, sf))
+    """The staged feature table, built once per session and scale directory.
+
+    ``build_features`` checkpoints its result into the shared checkpoint
+    folder; the registered queries all read that one written table.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf)
+    if key not in _MEMO:
+        _MEMO[key] = build_features(prepared(spark, sf))
+    return _MEMO[key]
 
 
 def _make(key, cols):
