@@ -218,20 +218,13 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     """
     if materialize:
         p = stage(p)
+    p0 = p     # every aggregate branch reads the staged panel, never the windowed frame
     fit = in_fit(hz, x)
     season = F.col("month").isin(list(hz.season_months))
     y = F.col("year")
 
-    # dimensions: store (city/state re-mapped from the first row per store), item, category
-    stores = dim_store(p)
-    items = item_table(p, cat)
-    p = (p.drop("city", "state").join(stores, S, "left").join(items, I, "left"))
-    t = p.where(fit)
-    gm = grain.scalar(t, F.avg(x))
-    cats = category_table(p, t, cat, x)
-    growth = store_growth(t, hz, x)
-
-    # series grains (windows on the series partitioning) + row features, one select
+    # series grains (windows) + row features first, directly on the staged panel:
+    # it is hash-partitioned by series key, so these need sorts but no exchange
     wm, wa = grain.window_mean, grain.window_agg
     series = {
         "struct_rimdow": wm([S, I, M, D], x, fit),
@@ -246,7 +239,6 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
         "__cv_mean": wm([S, I], x, fit),
         "__cv_std": wa(F.stddev_samp, [S, I], x, fit),
         "__sum_rim": wa(F.sum, [S, I, M], x, fit),
-        "promo_count_cat": F.sum("is_promotion").over(Window.partitionBy(S, "category", "date")),
     }
     series.update(windows.lag_columns(x, cat.lag_days))
     series["__roll_mean"] = windows.rolling_expr(x, cat.rolling_n, "mean", cat.rolling_min, shift=1)
@@ -254,9 +246,27 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     series.update(calendar_columns())
     series.update(weather_flags())
     p = p.withColumns(series)
+    if temp_memory == "parity":
+        p = windows.store_order_memory(p, "avg_temp_f")
+    else:
+        p = windows.store_date_memory(p, "avg_temp_f")
+    p = p.withColumnsRenamed({"avg_temp_f_lag1": "temp_lag1", "avg_temp_f_rolling3": "temp_rolling3"})
+    # promotions per (store, category, date): the one window off the series key
+    p = p.withColumn("promo_count_cat", F.sum("is_promotion").over(Window.partitionBy(S, "category", "date")))
+
+    # dimensions: store (city/state re-mapped from the first row per store), item, category
+    stores = dim_store(p0)
+    items = item_table(p0, cat)
+    base = p0.drop("city", "state").join(stores, S, "left").join(items, I, "left")
+    t = base.where(fit)
+    gm = grain.scalar(t, F.avg(x))
+    cats = category_table(base, t, cat, x)
+    growth = store_growth(t, hz, x)
+    p = p.drop("city", "state").join(stores, S, "left").join(items, I, "left")
 
     # precip code (NULL precipitation type encodes as the text 'None')
-    p = encode.label_encode(p, "precip_type", "precip_type_enc", null_as="None")
+    p = encode.label_encode(p, "precip_type", "precip_type_enc", null_as="None",
+                            codes=encode.label_codes(p0, "precip_type", "precip_type_enc", null_as="None"))
 
     # non-series grains: one aggregate per grain, one join each
     cmdow = grain.group_agg(t, ["category", M, D], struct_cmdow=F.avg(x),
@@ -346,12 +356,7 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
         "struct_x_event": c("struct_rimdow") * c("event_mult"),
         "struct_x_holiday": c("struct_rimdow") * c("holiday_mult"),
     })
-    p = grain.quantile_bins(p, "unit_price", "price_tier", 3)
-    if temp_memory == "parity":
-        p = windows.store_order_memory(p, "avg_temp_f")
-    else:
-        p = windows.store_date_memory(p, "avg_temp_f")
-    p = p.withColumnsRenamed({"avg_temp_f_lag1": "temp_lag1", "avg_temp_f_rolling3": "temp_rolling3"})
+    p = grain.quantile_bins(p, "unit_price", "price_tier", 3, edges_from=p0)
     p = p.drop(*[col for col in p.columns if col.startswith("__")])
     # write the feature frame once: every model, member and report reads it
     return stage(p) if materialize else p

@@ -156,9 +156,13 @@ def quantile_edges(df: DataFrame, x: str, q: int = 3, approx: bool = False, accu
     return df.agg(agg).scalar()
 
 
-def quantile_bins(df: DataFrame, x: str, name: str, q: int = 3, approx: bool = False) -> DataFrame:
-    """Right-closed bins on global quantile edges, labels 0..q-1."""
-    edges = quantile_edges(df, x, q, approx)
+def quantile_bins(df: DataFrame, x: str, name: str, q: int = 3, approx: bool = False,
+                  edges_from: DataFrame | None = None) -> DataFrame:
+    """Right-closed bins on global quantile edges, labels 0..q-1.
+
+    ``edges_from``: a cheaper frame with the same rows of ``x`` to take the edges from.
+    """
+    edges = quantile_edges(edges_from if edges_from is not None else df, x, q, approx)
     expr = None
     for i in range(q - 1):
         cond = F.col(x) <= F.element_at(edges, i + 1)
