@@ -39,12 +39,19 @@ def temperature_sensitivity(p: DataFrame, y: str = "quantity", edges=TEMP_EDGES)
                                  "temp_bin", y, labels)
 
 
-def holiday_impact(p: DataFrame, names: Sequence[str] | None = None, y: str = "quantity") -> DataFrame:
-    """Per holiday, % difference of its mean from the non-holiday mean (all rows, T28)."""
+def holiday_impact(p: DataFrame, names: Sequence[str] | None = None, y: str = "quantity",
+                   where: Column | None = None) -> DataFrame:
+    """Per holiday, % difference of its mean from the non-holiday mean (all rows, T28).
+
+    ``names`` (F6 IN-list) and ``where`` (e.g. a name ``contains`` test, X12)
+    select holidays; the baseline always uses every non-holiday row.
+    """
     base = grain.scalar(p.where(F.col("is_holiday") == 0), F.avg(y))
     src = p.where((F.col("is_holiday") == 1) & F.col("holiday_name").isNotNull())
     if names:
         src = src.where(F.col("holiday_name").isin(list(names)))
+    if where is not None:
+        src = src.where(where)
     g = src.groupBy("holiday_name").agg(F.avg(y).alias("mean_qty"))
     return g.withColumn("impact_pct", (fn.safe_div(F.col("mean_qty"), base) - 1) * 100)
 
