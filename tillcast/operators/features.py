@@ -192,17 +192,19 @@ def item_table(p: DataFrame, cat: Catalog) -> DataFrame:
 
 
 def category_table(p: DataFrame, t: DataFrame, cat: Catalog, x: str = TARGET) -> DataFrame:
-    """B8, B11 code, B15, C16: one row per category."""
+    """B8, B11 code, B15, C16: one row per category (one pass over the training rows)."""
     cats = p.select("category").distinct().select(
         "category", (F.dense_rank().over(Window.orderBy("category")) - 1).alias("category_enc"))
-    el = grain.elasticity(t, "category", "avg_temp_f", x, "cat_temp_elasticity", cat.elasticity_min_rows)
-    promo = grain.group_agg(t, "category",
-                            __on=F.avg(F.when(F.col("is_promotion") == 1, F.col(x))),
-                            __off=F.avg(F.when(F.col("is_promotion") == 0, F.col(x))))
-    promo = promo.where(F.col("__off") > 0).select("category", fn.safe_div("__on", "__off").alias("__promo_lift"))
+    xs, promo = F.col(x), F.col("is_promotion")
+    g = grain.group_agg(t, "category", __n=F.count(F.lit(1)), __slope=F.regr_slope(x, "avg_temp_f"),
+                        __mean=F.avg(x), __on=F.avg(F.when(promo == 1, xs)), __off=F.avg(F.when(promo == 0, xs)))
+    g = g.select("category",
+                 F.when(F.col("__n") > cat.elasticity_min_rows, fn.safe_div("__slope", "__mean"))
+                  .alias("cat_temp_elasticity"),
+                 F.when(F.col("__off") > 0, fn.safe_div("__on", "__off")).alias("__promo_lift"))
     first_price = grain.first_per_key(p, I, [S, "date"], ["category", "unit_price"])
     price = first_price.groupBy("category").agg(F.avg("unit_price").alias("cat_avg_price"))
-    return (cats.join(el, "category", "left").join(promo, "category", "left").join(price, "category", "left")
+    return (cats.join(g, "category", "left").join(price, "category", "left")
                 .withColumn("cat_temp_elasticity", F.coalesce("cat_temp_elasticity", F.lit(0.0))))
 
 
@@ -268,23 +270,37 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     p = encode.label_encode(p, "precip_type", "precip_type_enc", null_as="None",
                             codes=encode.label_codes(p0, "precip_type", "precip_type_enc", null_as="None"))
 
-    # non-series grains: one aggregate per grain, one join each
-    cmdow = grain.group_agg(t, ["category", M, D], struct_cmdow=F.avg(x),
-                            __q4_cmdow=F.avg(F.when(season, F.col(x))))
-    city = grain.group_agg(t, ["city", M, D], city_demand_idx=F.avg(x))
-    state = grain.group_agg(t, ["state", M, D], state_demand_idx=F.avg(x))
-    st_item = grain.group_agg(t, ["state", I, M, D], state_item_demand_idx=F.avg(x))
-    st_item_m = grain.group_agg(t, ["state", I, M], __state_item_avg=F.avg(x))
-    comp = grain.group_agg(t, [S, "component_group", M, D], component_demand_idx=F.avg(x))
-    comp_m = grain.group_agg(t, [S, "component_group", M], __comp_total=F.sum(x))
-    s_cat_m = grain.group_agg(t, [S, "category", M], __cat_total=F.sum(x))
+    # non-series grains.  All but the holiday / event / temperature ones are
+    # coarsenings of (store, item, month, weekday) — category, city, state and
+    # component group are functions of store or item — so the training rows are
+    # pre-aggregated once to sums and counts at that grain and every coarser
+    # mean or total is summed from that small table (one pass over the fact).
+    xs = F.col(x)
+    fine = grain.group_agg(t, [S, I, M, D, "category", "city", "state", "component_group"],
+                           __s=F.sum(xs), __n=F.count(xs),
+                           __ss=F.sum(F.when(season, xs)), __sn=F.count(F.when(season, xs)))
+
+    def mean(s_col: str = "__s", n_col: str = "__n", cond=None):
+        sv, nv = F.col(s_col), F.col(n_col)
+        if cond is not None:
+            sv, nv = F.when(cond, sv), F.when(cond, nv)
+        return fn.safe_div(F.sum(sv), F.sum(nv))
+
+    cmdow = grain.group_agg(fine, ["category", M, D], struct_cmdow=mean(), __q4_cmdow=mean("__ss", "__sn"))
+    city = grain.group_agg(fine, ["city", M, D], city_demand_idx=mean())
+    state = grain.group_agg(fine, ["state", M, D], state_demand_idx=mean())
+    st_item = grain.group_agg(fine, ["state", I, M, D], state_item_demand_idx=mean())
+    st_item_m = grain.group_agg(fine, ["state", I, M], __state_item_avg=mean())
+    comp = grain.group_agg(fine, [S, "component_group", M, D], component_demand_idx=mean())
+    comp_m = grain.group_agg(fine, [S, "component_group", M], __comp_total=F.sum("__s"))
+    s_cat_m = grain.group_agg(fine, [S, "category", M], __cat_total=F.sum("__s"))
     s_cat_m = s_cat_m.withColumn(
         "cat_rest_share", fn.safe_ratio(F.col("__cat_total"), F.sum("__cat_total").over(Window.partitionBy(S, M)), 1))
     pair_aggs = {}
     for a, b in list(cat.size_pairs) + list(cat.combos):
         for it in (a, b):
-            pair_aggs[f"__m_{_clean(it)}"] = F.avg(F.when(F.col(I) == it, F.col(x)))
-    s_m = grain.group_agg(t, [S, "city", M], __rest_total=F.sum(x), **pair_aggs)
+            pair_aggs[f"__m_{_clean(it)}"] = mean(cond=F.col(I) == it)
+    s_m = grain.group_agg(fine, [S, "city", M], __rest_total=F.sum("__s"), **pair_aggs)
     ratio_cols = {}
     for (a, b), nm in zip(cat.size_pairs, cat.size_ratio_names()):
         ratio_cols[nm] = F.coalesce(fn.safe_ratio(F.col(f"__m_{_clean(a)}"), F.col(f"__m_{_clean(b)}"), 1), F.lit(1.0))

@@ -46,15 +46,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df):
-    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir``.
+def stage(df, how: str = "parquet"):
+    """Cut lineage by writing ``df`` into the shared ``spark.checkpoint.dir``.
 
-    The result is written to the shared folder (so it survives executor loss,
-    unlike a local checkpoint) and keeps its output partitioning, so the
-    series partitioning of a staged panel is still known downstream.
+    ``parquet`` (default): a Parquet table in that folder, read back — every
+    later branch gets vectorised, column-pruned, filter-pushed scans (the
+    hash partitioning is not carried over).  ``checkpoint``: a reliable RDD
+    checkpoint, which keeps the output partitioning but stores whole rows.
+    Both survive executor loss, unlike a local checkpoint.
     """
     from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
+    base = ensure_checkpoint_dir(df.sparkSession)
+    if how == "parquet":
+        import uuid
+        path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
     # persist first: a reliable checkpoint otherwise computes the plan twice
     # (once for the eager count, once for the write job)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
