@@ -65,3 +65,24 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert not any("pipeline" in k or k.startswith("op") for k in q)
+
+
+def test_honest_mode_has_no_leak(spark):
+    """Changing targets on/after the honest fit boundary must not move fitted features."""
+    from tillcast.operators import grain
+    from tillcast.schema import DOW
+    hz = HZ.honest()
+    base = prep.prepare(star.panel_from_star(spark, SF_SMALL, HZ), HZ)
+    bumped = base.withColumn("quantity_filled", F.when(F.col("date") >= F.lit(hz.fit_end),
+                                                       F.col("quantity_filled") * 3 + 7)
+                             .otherwise(F.col("quantity_filled")))
+
+    def fitted(p):
+        fit = prep.in_fit(hz)
+        return p.select("store_id", "item_id", "date",
+                        grain.window_mean(["store_id", "item_id", "month", DOW], "quantity_filled", fit).alias("s"))
+
+    a = fitted(base).withColumnRenamed("s", "a")
+    b = fitted(bumped).withColumnRenamed("s", "b")
+    diff = a.join(b, ["store_id", "item_id", "date"]).where(~F.col("a").eqNullSafe(F.col("b"))).count()
+    assert diff == 0

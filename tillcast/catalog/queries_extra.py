@@ -97,3 +97,40 @@ def r7_importance_by_layer(spark, sf):
     info = _global_frame(spark, sf)
     imp = models.feature_importance(info["gbt"], info["names"], spark)
     return rounded(reports.importance_by_layer(imp, LAYERS))
+
+
+@register("m12_val_wmape_leaky_vs_honest", with_panel("""
+, h AS (SELECT * FROM prep WHERE date < DATE '1999-10-01' AND quantity_filled IS NOT NULL),
+lk AS (SELECT store_id, item_id, month, day_of_week_num, avg(quantity_filled) AS s FROM train GROUP BY ALL),
+lc AS (SELECT category, month, day_of_week_num, avg(quantity_filled) AS c FROM train GROUP BY ALL),
+hk AS (SELECT store_id, item_id, month, day_of_week_num, avg(quantity_filled) AS s FROM h GROUP BY ALL),
+hc AS (SELECT category, month, day_of_week_num, avg(quantity_filled) AS c FROM h GROUP BY ALL),
+v AS (SELECT p.quantity, coalesce(lk.s, lc.c) AS leaky, coalesce(hk.s, hc.c) AS honest
+      FROM prep p
+      LEFT JOIN lk USING (store_id, item_id, month, day_of_week_num) LEFT JOIN lc USING (category, month, day_of_week_num)
+      LEFT JOIN hk USING (store_id, item_id, month, day_of_week_num) LEFT JOIN hc USING (category, month, day_of_week_num)
+      WHERE p.date >= DATE '1999-10-01' AND p.date <= DATE '1999-12-31')
+SELECT mode, round(w, 6) AS wmape FROM (
+  SELECT 'leaky' AS mode, sum(CASE WHEN quantity > 0 THEN abs(quantity - leaky) END) / sum(CASE WHEN quantity > 0 THEN quantity END) AS w FROM v
+  UNION ALL
+  SELECT 'honest', sum(CASE WHEN quantity > 0 THEN abs(quantity - honest) END) / sum(CASE WHEN quantity > 0 THEN quantity END) FROM v) x"""))
+def m12_val_wmape_leaky_vs_honest(spark, sf):
+    """Validation wMAPE of the structural forecast with aggregates fit on all rows
+    before the test start (parity, in-sample) and on rows before the validation season."""
+    from tillcast.catalog.queries_core import prepared
+    from tillcast.operators import grain
+    from tillcast.schema import DOW
+    p = prepared(spark, sf)
+    outs = None
+    for mode, hz in (("leaky", HZ), ("honest", HZ.honest())):
+        fit = prep.in_fit(hz)
+        t = p.where(fit)
+        f = p.withColumn("__s", grain.window_mean(["store_id", "item_id", "month", DOW], "quantity_filled", fit))
+        f = grain.lookup_left(f, grain.group_mean(t, ["category", "month", DOW], "quantity_filled", "__c"),
+                              ["category", "month", DOW])
+        v = f.where((F.col("date") >= F.lit(HZ.val_start)) & (F.col("date") <= F.lit(HZ.val_end)))
+        r = v.withColumn("__yhat", F.coalesce("__s", "__c")).agg(
+            metrics.wmape_expr("quantity", "__yhat").alias("wmape"))
+        r = r.select(F.lit(mode).alias("mode"), "wmape")
+        outs = r if outs is None else outs.unionByName(r)
+    return rounded(outs)
