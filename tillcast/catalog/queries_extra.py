@@ -8,7 +8,7 @@ from tillcast.catalog.queries_core import panel
 from tillcast.catalog.registry import register, rounded
 from tillcast.catalog.sqlbase import with_dense, with_panel
 from tillcast.horizon import DEFAULT as HZ
-from tillcast.operators import ensemble, metrics, models, prep, windows
+from tillcast.operators import ensemble, grain, metrics, models, prep, windows
 from tillcast.operators.prep import TARGET
 from tillcast.plans import reports
 from tillcast.sources import star
@@ -134,3 +134,67 @@ def m12_val_wmape_leaky_vs_honest(spark, sf):
         r = r.select(F.lit(mode).alias("mode"), "wmape")
         outs = r if outs is None else outs.unionByName(r)
     return rounded(outs)
+
+
+@register("f10_null_audit_after_impute", with_panel("""
+SELECT 'quantity_filled' AS "column", count(*) AS rows, count(*) FILTER (WHERE quantity_filled IS NULL) AS nulls,
+       round(count(*) FILTER (WHERE quantity_filled IS NULL) / count(*), 6) AS null_rate
+FROM prep WHERE date < DATE '2000-10-01'
+UNION ALL
+SELECT 'quantity', count(*), count(*) FILTER (WHERE quantity IS NULL),
+       round(count(*) FILTER (WHERE quantity IS NULL) / count(*), 6) FROM prep WHERE date < DATE '2000-10-01'"""))
+def f10_null_audit_after_impute(spark, sf):
+    """residual NULLs of the target after weekday-mean imputation on training dates."""
+    from tillcast.catalog.queries_core import prepared
+    p = prepared(spark, sf)
+    return rounded(prep.null_audit(p, ["quantity_filled", "quantity"], F.col("date") < F.lit(HZ.test_start)))
+
+
+@register("f3_season_slice_years", with_panel("""
+SELECT year, CAST(month AS INTEGER) AS month, count(*) AS rows, round(sum(quantity_filled), 6) AS qty
+FROM train WHERE month IN (10, 11, 12) AND year < 1999 GROUP BY ALL"""))
+def f3_season_slice_years(spark, sf):
+    """training season months of the years before the trend year, by year and month."""
+    from tillcast.catalog.queries_core import prepared
+    t = prep.season_slice(prep.train_slice(prepared(spark, sf), HZ), before_year=HZ.trend_year, hz=HZ)
+    return rounded(t.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"),
+                                                  F.sum("quantity_filled").alias("qty")))
+
+
+@register("j6_attach_attrs_test_errors", with_panel("""
+, f AS (SELECT p.date, p.store_id, p.item_id, p.quantity,
+               coalesce(r.s, c.c) AS predicted
+        FROM prep p
+        LEFT JOIN (SELECT store_id, item_id, month, day_of_week_num, avg(quantity_filled) AS s FROM train GROUP BY ALL) r
+          USING (store_id, item_id, month, day_of_week_num)
+        LEFT JOIN (SELECT category, month, day_of_week_num, avg(quantity_filled) AS c FROM train GROUP BY ALL) c
+          USING (category, month, day_of_week_num)
+        WHERE p.date >= DATE '2000-10-01'),
+a AS (SELECT f.*, d.category, d.month FROM f LEFT JOIN (SELECT DISTINCT date, store_id, item_id, category, month FROM panel) d
+      USING (date, store_id, item_id))
+SELECT category, CAST(month AS INTEGER) AS month, count(*) AS rows,
+       round(sum(CASE WHEN quantity > 0 THEN abs(quantity - predicted) END) / sum(CASE WHEN quantity > 0 THEN quantity END), 6) AS wmape
+FROM a GROUP BY ALL"""))
+def j6_attach_attrs_test_errors(spark, sf):
+    """Predictions keep only keys; category and month are re-attached for the report."""
+    from tillcast.catalog.queries_core import prepared, structural_forecast
+    p = prepared(spark, sf)
+    fc = structural_forecast(p).where(F.col("date") >= F.lit(HZ.test_start)) \
+        .select("date", "store_id", "item_id", "quantity", "predicted")
+    a = grain.attach_attrs(fc, panel(spark, sf))
+    return rounded(a.groupBy("category", "month").agg(F.count(F.lit(1)).alias("rows"),
+                                                      metrics.wmape_expr("quantity", "predicted").alias("wmape")))
+
+
+@register("k4_forecast_preview", with_panel("""
+, r AS (SELECT store_id, item_id, month, day_of_week_num, avg(quantity_filled) AS s FROM train GROUP BY ALL),
+c AS (SELECT category, month, day_of_week_num, avg(quantity_filled) AS c FROM train GROUP BY ALL)
+SELECT strftime(p.date, '%Y-%m-%d') AS date, p.store_id, p.item_id, round(coalesce(r.s, c.c), 6) AS predicted_quantity
+FROM prep p LEFT JOIN r USING (store_id, item_id, month, day_of_week_num) LEFT JOIN c USING (category, month, day_of_week_num)
+WHERE p.date >= DATE '2000-10-01' ORDER BY 1, 2, 3 LIMIT 10"""))
+def k4_forecast_preview(spark, sf):
+    """K2/K4: the first ten forecast rows in output order (a top-k, the limit is the feature)."""
+    from tillcast.catalog.queries_core import prepared, structural_forecast
+    from tillcast.sources import sinks
+    fc = structural_forecast(prepared(spark, sf)).where(F.col("date") >= F.lit(HZ.test_start))
+    return rounded(sinks.forecast_preview(sinks.forecast_frame(fc)))

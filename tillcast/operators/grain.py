@@ -192,3 +192,12 @@ def geo_mean(cols: Sequence[Column]) -> Column:
     for c in cols[1:]:
         prod = prod * c
     return F.pow(prod, F.lit(1.0 / len(cols)))
+
+
+def attach_attrs(preds: DataFrame, p: DataFrame, keys: Sequence[str] = ("date", "store_id", "item_id"),
+                 attrs: Sequence[str] = ("category", "month")) -> DataFrame:
+    """Re-attach attributes to predictions on the full key, the right side made
+    distinct on the key first so the join can never fan out."""
+    keys = list(keys)
+    right = p.select(*keys, *attrs).dropDuplicates(keys)
+    return preds.join(right, keys, "left")
