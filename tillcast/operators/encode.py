@@ -6,18 +6,25 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def label_codes(df: DataFrame, col: str, name: str | None = None, null_as: str | None = None) -> DataFrame:
     """Dictionary (value, code): 0-based index in the sorted distinct values.
 
     ``StringIndexer`` orders by frequency by default; this matches
-    ``alphabetAsc``.  The distinct step is a distributed aggregate; the rank
-    window then runs over the label set only (dimension-sized, not fact-sized).
+    ``alphabetAsc``.  Fully distributed: the distinct values are sorted with a
+    range-partitioned sort and numbered with ``zipWithIndex`` (per-partition
+    counts, then offsets), so no single task ever holds the whole label set —
+    unlike a ``dense_rank`` window without a partition.
     """
+    name = name or f"{col}_enc"
     v = F.col(col) if null_as is None else F.coalesce(F.col(col), F.lit(null_as))
-    vals = df.select(v.alias("__v")).distinct()
-    return vals.select(F.col("__v"), (F.dense_rank().over(Window.orderBy("__v")) - 1).alias(name or f"{col}_enc"))
+    vals = df.select(v.alias("__v")).where(F.col("__v").isNotNull()).distinct().orderBy("__v")
+    vtype = vals.schema["__v"].dataType
+    indexed = vals.rdd.zipWithIndex().map(lambda t: (t[0][0], int(t[1])))
+    schema = T.StructType([T.StructField("__v", vtype), T.StructField(name, T.IntegerType())])
+    return df.sparkSession.createDataFrame(indexed, schema)
 
 
 def label_encode(df: DataFrame, col: str, name: str | None = None, null_as: str | None = None,

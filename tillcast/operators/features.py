@@ -152,14 +152,14 @@ def weather_flags(temp: str = "avg_temp_f", precip: str = "precip_inches") -> di
 def dim_store(p: DataFrame) -> DataFrame:
     """First (city, state) per store in (store, item, date) order, codes, counts."""
     dim = grain.first_per_key(p, S, [I, "date"], ["city", "state"])
-    return dim.select(
-        S, "city", "state",
-        (F.dense_rank().over(Window.orderBy(S)) - 1).alias("restaurant_enc"),
-        (F.dense_rank().over(Window.orderBy("city")) - 1).alias("city_enc"),
-        (F.dense_rank().over(Window.orderBy("state")) - 1).alias("state_enc"),
-        F.count(F.lit(1)).over(Window.partitionBy("city")).alias("n_restaurants_city"),
-        F.count(F.lit(1)).over(Window.partitionBy("state")).alias("n_restaurants_state"),
-    )
+    counts_city = dim.groupBy("city").agg(F.count(F.lit(1)).alias("n_restaurants_city"))
+    counts_state = dim.groupBy("state").agg(F.count(F.lit(1)).alias("n_restaurants_state"))
+    out = (encode.label_encode(dim, S, "restaurant_enc"))
+    out = encode.label_encode(out, "city", "city_enc")
+    out = encode.label_encode(out, "state", "state_enc")
+    return (out.join(counts_city, "city", "left").join(counts_state, "state", "left")
+               .select(S, "city", "state", "restaurant_enc", "city_enc", "state_enc",
+                       "n_restaurants_city", "n_restaurants_state"))
 
 
 def store_growth(t: DataFrame, hz: Horizon = DEFAULT, x: str = TARGET, agg: str = "mean",
@@ -183,18 +183,15 @@ def store_growth(t: DataFrame, hz: Horizon = DEFAULT, x: str = TARGET, agg: str
 
 def item_table(p: DataFrame, cat: Catalog) -> DataFrame:
     """Item code, primary component group and its code."""
-    items = p.select(I).distinct()
-    items = encode.assign_groups(items, cat.component_groups)
-    return items.select(
-        I, "component_group",
-        (F.dense_rank().over(Window.orderBy(I)) - 1).alias("menu_item_enc"),
-        (F.dense_rank().over(Window.orderBy("component_group")) - 1).alias("component_group_enc"))
+    items = encode.assign_groups(p.select(I).distinct(), cat.component_groups)
+    items = encode.label_encode(items, I, "menu_item_enc")
+    items = encode.label_encode(items, "component_group", "component_group_enc")
+    return items.select(I, "component_group", "menu_item_enc", "component_group_enc")
 
 
 def category_table(p: DataFrame, t: DataFrame, cat: Catalog, x: str = TARGET) -> DataFrame:
     """B8, B11 code, B15, C16: one row per category (one pass over the training rows)."""
-    cats = p.select("category").distinct().select(
-        "category", (F.dense_rank().over(Window.orderBy("category")) - 1).alias("category_enc"))
+    cats = encode.label_codes(p, "category", "category_enc").withColumnRenamed("__v", "category")
     xs, promo = F.col(x), F.col("is_promotion")
     g = grain.group_agg(t, "category", __n=F.count(F.lit(1)), __slope=F.regr_slope(x, "avg_temp_f"),
                         __mean=F.avg(x), __on=F.avg(F.when(promo == 1, xs)), __off=F.avg(F.when(promo == 0, xs)))
