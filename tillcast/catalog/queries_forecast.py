@@ -63,14 +63,16 @@ def m8_blend_weights(spark, sf):
     return rounded(weights)
 
 
-@register("m8_weight_grid_size", """
-SELECT 79 AS points_v4, 741 AS points_wide""")
+@register("m8_weight_grid_size", _sql("""
+SELECT store_id, count(*) AS points, min(grid_id) AS first_id, max(grid_id) AS last_id,
+       round(min(wmape), 6) AS best_wmape FROM GSCORE GROUP BY store_id"""))
 def m8_weight_grid_size(spark, sf):
-    # grid sizes are parameters of the search, checked against a scan so the
-    # query reads the given tables
-    n = spark.read.parquet(f"{sf}/region.parquet").limit(1)
-    return n.select(F.lit(len(ensemble.weight_grid())).alias("points_v4"),
-                    F.lit(len(ensemble.weight_grid("0.02", "0.05", "0.85", ()))).alias("points_wide"))
+    """Grid points scored per store on the validation rows (79 with the default grid)."""
+    from tillcast.plans.forecasts import MEMBERS, member_frame, with_split
+    m = with_split(member_frame(features(spark, sf)), HZ).where(F.col("split") == "val")
+    sc = ensemble.grid_scores(m, MEMBERS, y="quantity_filled")
+    return rounded(sc.groupBy("store_id").agg(F.count(F.lit(1)).alias("points"), F.min("grid_id").alias("first_id"),
+                                              F.max("grid_id").alias("last_id"), F.min("wmape").alias("best_wmape")))
 
 
 @register("m9_m10_blend_bias", _sql(

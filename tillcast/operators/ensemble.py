@@ -80,23 +80,33 @@ def _grid_column(grid) -> Column:
                               F.lit(c).alias("w3")) for g, a, b, c in grid])
 
 
-def blend_grid(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("store_id",),
-               grid=None, positive_only: bool = True) -> DataFrame:
-    """M8/K5: per group, the grid point with the lowest wMAPE (first point wins ties).
+def grid_scores(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("store_id",),
+                grid=None, positive_only: bool = True) -> DataFrame:
+    """M8: wMAPE of every grid point per group: (by..., grid_id, w1, w2, w3, wmape).
 
     The grid (parameter-sized) is exploded per prediction row and consumed by
     a partial aggregate in the same stage, so only (group, grid_id) partial
-    sums are shuffled.  Returns (by..., grid_id, w1, w2, w3, wmape).
+    sums are shuffled.
     """
     grid = grid or weight_grid()
     by = [by] if isinstance(by, str) else list(by)
     m1, m2, m3 = members
     ex = preds.select(*by, y, m1, m2, m3, F.explode(_grid_column(grid)).alias("g"))
     blend = F.col("g.w1") * F.col(m1) + F.col("g.w2") * F.col(m2) + F.col("g.w3") * F.col(m3)
-    scored = (ex.withColumn("__b", blend)
-                .groupBy(*by, F.col("g.grid_id").alias("grid_id"), F.col("g.w1").alias("w1"),
-                         F.col("g.w2").alias("w2"), F.col("g.w3").alias("w3"))
-                .agg(wmape_expr(y, "__b", positive_only).alias("wmape")))
+    return (ex.withColumn("__b", blend)
+              .groupBy(*by, F.col("g.grid_id").alias("grid_id"), F.col("g.w1").alias("w1"),
+                       F.col("g.w2").alias("w2"), F.col("g.w3").alias("w3"))
+              .agg(wmape_expr(y, "__b", positive_only).alias("wmape")))
+
+
+def blend_grid(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("store_id",),
+               grid=None, positive_only: bool = True) -> DataFrame:
+    """M8/K5: per group, the grid point with the lowest wMAPE (first point wins ties).
+
+    Returns (by..., grid_id, w1, w2, w3, wmape).
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    scored = grid_scores(preds, members, y, by, grid, positive_only)
     best = F.min_by(F.struct("grid_id", "w1", "w2", "w3", "wmape"),
                     F.struct(F.round(F.coalesce("wmape", F.lit(float("inf"))), 12), F.col("grid_id")))
     return scored.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
