@@ -258,7 +258,6 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     items = item_table(p0, cat)
     base = p0.drop("city", "state").join(stores, S, "left").join(items, I, "left")
     t = base.where(fit)
-    gm = grain.scalar(t, F.avg(x))
     cats = category_table(base, t, cat, x)
     growth = store_growth(t, hz, x)
     p = p.drop("city", "state").join(stores, S, "left").join(items, I, "left")
@@ -277,6 +276,8 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
                            __s=F.sum(xs), __n=F.count(xs),
                            __ss=F.sum(F.when(season, xs)), __sn=F.count(F.when(season, xs)))
 
+    gm = grain.scalar(fine, fn.safe_div(F.sum("__s"), F.sum("__n")))
+
     def mean(s_col: str = "__s", n_col: str = "__n", cond=None):
         sv, nv = F.col(s_col), F.col(n_col)
         if cond is not None:
@@ -306,10 +307,14 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     s_m = s_m.select(S, M, fn.safe_ratio(F.col("__rest_total"),
                                           F.sum("__rest_total").over(Window.partitionBy("city", M)), 1)
                      .alias("rest_city_share"), *[v.alias(k) for k, v in ratio_cols.items()])
-    hol = grain.lift_vs_baseline(t, "is_holiday", x, "holiday_mult", level="holiday_name")
-    cat_hol = grain.lift_vs_baseline(t, "is_holiday", x, "cat_holiday_mult", by="category",
-                                     level="holiday_name", base_by="category", positive_base=True)
-    event = grain.lift_vs_baseline(t, "is_special_event", x, "event_mult", level="special_event_name")
+    # holiday / event lifts from one pre-aggregate (NULL names are real groups here)
+    flags = (t.groupBy("category", "is_holiday", "holiday_name", "is_special_event", "special_event_name")
+              .agg(F.sum(xs).alias("__s"), F.count(xs).alias("__n")))
+    lift = dict(sum_col="__s", cnt_col="__n")
+    hol = grain.lift_vs_baseline(flags, "is_holiday", x, "holiday_mult", level="holiday_name", **lift)
+    cat_hol = grain.lift_vs_baseline(flags, "is_holiday", x, "cat_holiday_mult", by="category",
+                                     level="holiday_name", base_by="category", positive_base=True, **lift)
+    event = grain.lift_vs_baseline(flags, "is_special_event", x, "event_mult", level="special_event_name", **lift)
     q4_temp = grain.scalar(t.where(season), F.avg("avg_temp_f"))
 
     p = (p.join(cmdow, ["category", M, D], "left")

@@ -104,21 +104,29 @@ def share_of_total(t: DataFrame, child_keys, parent_keys, x: str, name: str,
 
 
 def lift_vs_baseline(t: DataFrame, flag: str, x: str, name: str, by=None, level: str | None = None,
-                     base_by=None, base_fallback: Column | None = None, positive_base: bool = False) -> DataFrame:
+                     base_by=None, base_fallback: Column | None = None, positive_base: bool = False,
+                     sum_col: str | None = None, cnt_col: str | None = None) -> DataFrame:
     """Mean of ``x`` on flagged rows (per ``level`` and ``by``) / mean on unflagged rows.
 
     The baseline is global, or per ``base_by`` (falling back to the global
     unflagged mean when a group has no unflagged rows).  With ``positive_base``
-    the ratio exists only where the baseline is > 0.
+    the ratio exists only where the baseline is > 0.  ``sum_col``/``cnt_col``:
+    ``t`` is pre-aggregated (sums and counts of ``x``); means are sum/count.
     """
     by = _keys(by) if by else []
     levels = ([level] if level else []) + by
+
+    def mean():
+        if sum_col:
+            return fn.safe_div(F.sum(sum_col), F.sum(cnt_col))
+        return F.avg(x)
+
     on = t.where(F.col(flag) == 1)
-    num = group_agg(on, levels, __num=F.avg(x))
-    glob = scalar(t.where(F.col(flag) == 0), F.avg(x))
+    num = group_agg(on, levels, __num=mean())
+    glob = scalar(t.where(F.col(flag) == 0), mean())
     if base_by:
         base_by = _keys(base_by)
-        base = group_agg(t.where(F.col(flag) == 0), base_by, __base=F.avg(x))
+        base = group_agg(t.where(F.col(flag) == 0), base_by, __base=mean())
         num = num.join(base, base_by, "left").withColumn(
             "__base", F.coalesce(F.col("__base"), base_fallback if base_fallback is not None else glob))
     else:
