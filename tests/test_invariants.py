@@ -86,3 +86,20 @@ def test_honest_mode_has_no_leak(spark):
     b = fitted(bumped).withColumnRenamed("s", "b")
     diff = a.join(b, ["store_id", "item_id", "date"]).where(~F.col("a").eqNullSafe(F.col("b"))).count()
     assert diff == 0
+
+
+def test_t15_leave_one_out_state_item_index(spark, panel):
+    """Leave-one-out excludes the store's own rows: recompute one cell by hand."""
+    from dataclasses import replace
+
+    from tillcast.operators.features import DRIVER_CATALOG
+    f = build_features(panel, cat=replace(DRIVER_CATALOG, leave_one_out=True))
+    t = prep.train_slice(panel, HZ)
+    row = (f.where(F.col("date") < F.lit(HZ.test_start))
+            .select("store_id", "state", "item_id", "month", "day_of_week_num", "state_item_demand_idx")
+            .orderBy("store_id", "item_id", "month", "day_of_week_num").first())
+    others = t.where((F.col("state") == row.state) & (F.col("item_id") == row.item_id) & (F.col("month") == row.month)
+                     & (F.col("day_of_week_num") == row.day_of_week_num) & (F.col("store_id") != row.store_id))
+    want = others.agg(F.avg("quantity_filled")).first()[0]
+    gm = t.agg(F.avg("quantity_filled")).first()[0]
+    assert row.state_item_demand_idx == pytest.approx(want if want is not None else gm)

@@ -45,6 +45,8 @@ class Catalog:
     rolling_min: int = 7
     fourier_k: tuple = (1, 2, 3)
     fourier_period: float = 365.25
+    # The state-item index includes the store itself (parity); True excludes it
+    leave_one_out: bool = False
 
     def size_ratio_names(self) -> list[str]:
         return [f"size_ratio_{_clean(a)}_{_clean(b)}" for a, b in self.size_pairs]
@@ -287,7 +289,18 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     cmdow = grain.group_agg(fine, ["category", M, D], struct_cmdow=mean(), __q4_cmdow=mean("__ss", "__sn"))
     city = grain.group_agg(fine, ["city", M, D], city_demand_idx=mean())
     state = grain.group_agg(fine, ["state", M, D], state_demand_idx=mean())
-    st_item = grain.group_agg(fine, ["state", I, M, D], state_item_demand_idx=mean())
+    if cat.leave_one_out:
+        # (state total - own total) / (state count - own count) per row's store
+        st_item = (grain.group_agg(fine, ["state", I, M, D], __st_s=F.sum("__s"), __st_n=F.sum("__n"))
+                   .join(fine.select(S, "state", I, M, D, F.col("__s").alias("__own_s"),
+                                     F.col("__n").alias("__own_n")), ["state", I, M, D])
+                   .select(S, "state", I, M, D,
+                           fn.safe_div(F.col("__st_s") - F.col("__own_s"),
+                                       F.col("__st_n") - F.col("__own_n")).alias("state_item_demand_idx")))
+        st_item_keys = [S, "state", I, M, D]
+    else:
+        st_item = grain.group_agg(fine, ["state", I, M, D], state_item_demand_idx=mean())
+        st_item_keys = ["state", I, M, D]
     st_item_m = grain.group_agg(fine, ["state", I, M], __state_item_avg=mean())
     comp = grain.group_agg(fine, [S, "component_group", M, D], component_demand_idx=mean())
     comp_m = grain.group_agg(fine, [S, "component_group", M], __comp_total=F.sum("__s"))
@@ -320,7 +333,7 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     p = (p.join(cmdow, ["category", M, D], "left")
           .join(city, ["city", M, D], "left")
           .join(state, ["state", M, D], "left")
-          .join(st_item, ["state", I, M, D], "left")
+          .join(st_item, st_item_keys, "left")
           .join(st_item_m, ["state", I, M], "left")
           .join(comp, [S, "component_group", M, D], "left")
           .join(comp_m, [S, "component_group", M], "left")
