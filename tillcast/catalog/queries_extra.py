@@ -198,3 +198,17 @@ def k4_forecast_preview(spark, sf):
     from tillcast.sources import sinks
     fc = structural_forecast(prepared(spark, sf)).where(F.col("date") >= F.lit(HZ.test_start))
     return rounded(sinks.forecast_preview(sinks.forecast_frame(fc)))
+
+
+@register("m5_global_linear_wmape")
+def m5_global_linear_wmape(spark, sf):
+    """M5: global weighted linear regression (MLlib) on the v4 feature vectors,
+    fit on the full history; wMAPE by split with predictions clipped at 0."""
+    info = _global_frame(spark, sf)
+    df = info["frame"]
+    sp = ensemble.temporal_split(df, HZ)
+    model = models.fit_linear(sp["train2"], TARGET, "weight", reg=0.1)
+    scored = models.predict_clipped(model, df.where(F.col("date") >= F.lit(HZ.val_start)), "predicted")
+    scored = scored.withColumn("split", F.when(F.col("date") >= F.lit(HZ.test_start), "test")
+                                         .when(F.col("date") <= F.lit(HZ.val_end), "val"))
+    return rounded(metrics.wmape(scored.where(F.col("split").isNotNull()), "quantity", "predicted", by="split"))
