@@ -126,3 +126,38 @@ def test_k5_argmin_first_wins_ties(spark):
     df = spark.createDataFrame(rows, "store_id string, y double, m1 double, m2 double, m3 double")
     best = ensemble.blend_grid(df, ["m1", "m2", "m3"], y="y").first()
     assert best.grid_id == 0 and best.wmape == pytest.approx(0.0)
+
+
+def test_t2_nan_normalised_to_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    assert [r[0] for r in df.select(fn.nan_to_null("x")).collect()] == [None, 1.0]
+
+
+def test_t11_lookups_drop_null_keys(spark):
+    t = spark.createDataFrame([("a", 1.0), (None, 5.0)], "k string, x double")
+    agg = grain.group_mean(t, "k", "x", "m")
+    assert agg.count() == 1
+    p = spark.createDataFrame([("a",), (None,)], "k string")
+    out = {r.k: r.m for r in grain.lookup_left(p, agg, "k", {"m": 0.0}).collect()}
+    assert out == {"a": 1.0, None: 0.0}
+
+
+def test_t13_first_row_per_key(spark):
+    df = spark.createDataFrame([("s1", "b", 1, "X"), ("s1", "a", 2, "Y"), ("s1", "a", 1, "Z")],
+                               "store_id string, item_id string, d int, city string")
+    got = grain.first_per_key(df, "store_id", ["item_id", "d"], ["city"]).first().city
+    assert got == "Z"
+
+
+def test_t19_defaults_on_lookup_miss(spark):
+    p = spark.createDataFrame([("a", 2.0), ("b", 3.0)], "k string, base double")
+    agg = spark.createDataFrame([("a", 1.5)], "k string, mult double")
+    out = {r.k: r.mult for r in grain.lookup_left(p, agg, "k", {"mult": 1.0}).collect()}
+    assert out == {"a": 1.5, "b": 1.0}
+    out2 = {r.k: r.mult for r in grain.lookup_left(p, agg, "k", {"mult": "base"}).collect()}
+    assert out2 == {"a": 1.5, "b": 3.0}
+
+
+def test_t22_monday_is_zero(spark):
+    df = spark.createDataFrame([(dt.date(2024, 12, 30),), (dt.date(2024, 12, 29),)], "d date")
+    assert [r[0] for r in df.select(fn.weekday_mon0("d")).collect()] == [0, 6]
