@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tillcast.catalog.queries_core import panel
 from tillcast.catalog.registry import register, rounded, sql_round
