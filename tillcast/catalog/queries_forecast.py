@@ -209,3 +209,30 @@ FROM PRED WHERE split = 'test'"""))
 def s7_forecast_summary(spark, sf):
     out, _, _ = _fc(spark, sf)
     return rounded(sinks.forecast_summary(sinks.forecast_frame(out.where(F.col("split") == "test"))))
+
+
+_STEPS_SQL = [("structural", "1.0"), ("x_holiday", "holiday_mult"), ("x_event", "event_mult"),
+              ("x_weather", "(1.0 + weather_impact)"), ("x_store_growth", "store_growth_mult"),
+              ("x_promotion", "promo_lift_cat")]
+
+
+def _ablation_sql() -> str:
+    expr, sel = "coalesce(struct_rimdow, struct_cmdow)", []
+    for i, (name, factor) in enumerate(_STEPS_SQL, start=1):
+        expr = expr if i == 1 else f"({expr}) * {factor}"
+        y = f"(CASE WHEN ({expr}) < 0 THEN 0.0 ELSE ({expr}) END)"
+        sel.append(f"SELECT split, {i} AS step, '{name}' AS layer, "
+                   f"sum(CASE WHEN quantity > 0 THEN abs(quantity - {y}) END) / "
+                   f"sum(CASE WHEN quantity > 0 THEN quantity END) AS wmape FROM abl GROUP BY split")
+    return f"""
+, abl AS (SELECT *, CASE WHEN date >= DATE '1999-10-01' AND date <= DATE '1999-12-31' AND quantity_filled IS NOT NULL
+                         THEN 'val' WHEN date >= DATE '2000-10-01' THEN 'test' END AS split FROM FEATS),
+steps AS ({" UNION ALL ".join(sel)})
+SELECT split, step, layer, round(wmape, 6) AS wmape,
+       round((wmape - lag(wmape) OVER (PARTITION BY split ORDER BY step)) * 100, 6) AS delta_pp
+FROM steps WHERE split IS NOT NULL"""
+
+
+@register("m14_closed_form_ablation", with_panel(features_cte(CAT) + _ablation_sql()))
+def m14_closed_form_ablation(spark, sf):
+    return rounded(forecasts.closed_form_ablation(features(spark, sf), HZ))
