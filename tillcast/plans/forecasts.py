@@ -68,13 +68,14 @@ def score_breakdown(preds: DataFrame, y: str = "quantity", yhat: str = "predicte
 
 
 # closed-form layer steps: each multiplies the previous step's forecast by one factor
+# (factors are built lazily: Column objects need an active session)
 ABLATION_STEPS = (
     ("structural", None),
-    ("x_holiday", F.col("holiday_mult")),
-    ("x_event", F.col("event_mult")),
-    ("x_weather", F.lit(1.0) + F.col("weather_impact")),
-    ("x_store_growth", F.col("store_growth_mult")),
-    ("x_promotion", F.col("promo_lift_cat")),
+    ("x_holiday", lambda: F.col("holiday_mult")),
+    ("x_event", lambda: F.col("event_mult")),
+    ("x_weather", lambda: F.lit(1.0) + F.col("weather_impact")),
+    ("x_store_growth", lambda: F.col("store_growth_mult")),
+    ("x_promotion", lambda: F.col("promo_lift_cat")),
 )
 
 
@@ -84,7 +85,7 @@ def closed_form_ablation(f: DataFrame, hz: Horizon = DEFAULT, steps=ABLATION_STE
     base = F.coalesce(F.col("struct_rimdow"), F.col("struct_cmdow"))
     cols, expr = {}, base
     for name, factor in steps:
-        expr = expr if factor is None else expr * factor
+        expr = expr if factor is None else expr * factor()
         cols[f"__y_{name}"] = fn.clip(expr, lo=0.0)
     src = with_split(f, hz).where(F.col("split").isNotNull()).withColumns(cols)
     g = src.groupBy("split").agg(*[metrics.wmape_expr("quantity", f"__y_{n}").alias(n) for n, _ in steps])
