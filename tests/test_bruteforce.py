@@ -80,3 +80,16 @@ def test_series_regression_matches_polyfit(spark):
         slope, icpt = np.polyfit([x[3] for x in sub], [x[4] for x in sub], 1)
         assert r.series_reg_slope == pytest.approx(slope, rel=1e-9)
         assert r.series_reg_intercept == pytest.approx(icpt, rel=1e-9)
+
+
+def test_per_store_gram_salted_equals_unsalted(spark):
+    p = 3
+    rows = _rows(seed=9, p=p)
+    cols = [f"x{j}" for j in range(p)]
+    df = spark.createDataFrame(rows, "store_id string, y double, w double, " + ", ".join(f"{c} double" for c in cols))
+    a = {r.store_id: (r.n, r.G, r.b) for r in models.per_store_gram(df, cols, "y", "w").collect()}
+    b = {r.store_id: (r.n, r.G, r.b) for r in models.per_store_gram(df, cols, "y", "w", salts=4).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0]
+        assert np.allclose(a[k][1], b[k][1]) and np.allclose(a[k][2], b[k][2])
