@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import sharding, urlfilter, winnow
+from tillcast.llm import langid, sharding, urlfilter, warc, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,33 @@ FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)""")
 def op4_decontamination(spark, sf_dir):
     out = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+FOLDS = 5
+
+
+def held_out(doc_id="doc_id"):
+    """The fold that no label is learned from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0
+
+
+@register("op1_language")
+def op1_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    profiles = langid.learn(docs.where(~F.coalesce(held_out(), F.lit(False))))
+    return langid.predict(docs, profiles, ["doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out")])
+
+
+_B32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(sha, {1 + 10 * q}, 10))::BIGINT) >> {s}) & 31)::INTEGER, 1)"
+                   for q in range(4) for s in range(35, -5, -5))
+
+
+@register("op5_warc", f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS sha FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY sha, n) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, {_B32} AS payload_digest,
+  CASE WHEN page_id IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f""")
+def op5_warc(spark, sf_dir):
+    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    return out.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -114,12 +114,12 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc: str = "doc_id", text:
     hits = hits.withColumnsRenamed({"__d": "__hd", "__x": "__hx"})
     h = (keyed.join(hits, F.col("__d").eqNullSafe(F.col("__hd")) & (F.col("__x") == F.col("__hx")))
          .select("__d", "__x", "m", "k", "hs", words_of(F.col("__t")).alias("w"))
-         .dropDuplicates(["__d", "__x", "m"])
          .select("__d", "__x", "m", "k", "hs", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("wh")))
     n = F.size("w")
-    at = F.filter(F.sequence(F.lit(1), n - F.col("k") + 1),
-                  lambda i: F.array_contains(F.col("hs"), F.xxhash64(F.slice("wh", i, F.col("k")))))
-    h = h.where(n >= F.col("m")).select("__d", "__x", "m", "k", "w", at.alias("at"))
+    # the gram hashes are a column of their own: inside a nested function they would be evaluated per element
+    h = h.where(n >= F.col("m")).select("__d", "__x", "m", "k", "hs", "w", _grams(F.col("wh"), F.col("k")).alias("g"))
+    at = F.array_compact(F.transform("g", lambda g, i: F.when(F.array_contains(F.col("hs"), g), i + 1)))
+    h = h.select("__d", "__x", "m", "k", "w", at.alias("at"))
     starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(
         F.greatest(F.lit(1), p - F.col("m") + F.col("k")),
         F.greatest(F.least(p, n - F.col("m") + 1), F.greatest(F.lit(1), p - F.col("m") + F.col("k")))))))
