@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import langid, sharding, urlfilter, warc, winnow
+from tillcast.llm import ann, langid, sharding, spiece, urlfilter, warc, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,24 @@ SELECT page_id, n::BIGINT AS payload_bytes, {_B32} AS payload_digest,
 def op5_warc(spark, sf_dir):
     out = warc.round_trip(table(spark, sf_dir, "pages"))
     return out.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op7_neighbours")
+def op7_neighbours(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def piece_model_path() -> str:
+    """The public piece model installed beside the tokenizer libraries."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op9_pieces")
+def op9_pieces(spark, sf_dir):
+    out = spiece.encode(table(spark, sf_dir, "documents"), piece_model_path())
+    whole = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                      F.octet_length(whole).cast("long").alias("n_bytes"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                      (F.col("decoded") == F.replace(whole, F.lit(spiece.MARK), F.lit(" "))).alias("round_trip"))

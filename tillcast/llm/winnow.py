@@ -117,7 +117,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc: str = "doc_id", text:
          .select("__d", "__x", "m", "k", "hs", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("wh")))
     n = F.size("w")
     # the gram hashes are a column of their own: inside a nested function they would be evaluated per element
-    h = h.where(n >= F.col("m")).select("__d", "__x", "m", "k", "hs", "w", _grams(F.col("wh"), F.col("k")).alias("g"))
+    h = h.select("__d", "__x", "m", "k", "hs", "w", _grams(F.col("wh"), F.col("k")).alias("g"))
     at = F.array_compact(F.transform("g", lambda g, i: F.when(F.array_contains(F.col("hs"), g), i + 1)))
     h = h.select("__d", "__x", "m", "k", "w", at.alias("at"))
     starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(
