@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import ann, langid, sharding, spiece, urlfilter, warc, winnow
+from tillcast.llm import ann, exactdedup, langid, sharding, spiece, urlfilter, warc, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,9 @@ def op9_pieces(spark, sf_dir):
                       F.octet_length(whole).cast("long").alias("n_bytes"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
                       (F.col("decoded") == F.replace(whole, F.lit(spiece.MARK), F.lit(" "))).alias("round_trip"))
+
+
+@register("op10_substring_dedup")
+def op10_substring_dedup(spark, sf_dir):
+    out = exactdedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
