@@ -19,8 +19,8 @@ How the passages meet, without moving the text of unique passages:
    suffix array with adjacent common prefixes (``suffix``) finds which of their
    windows a smaller id holds.
 4. Anchors with very many different neighbourhoods (the edge of a very common
-   line) would be one large group; their windows are joined one by one
-   instead, against a pre-aggregated smallest id.
+   line) would be one large group; their windows are settled one by one
+   instead, each sent once by a group of documents with its smallest id.
 
 Defined results: null text is empty; texts shorter than LENGTH stay; rows with
 the same id don't remove each other's bytes; rows with a null id stay whole and
@@ -47,6 +47,8 @@ SORT_BYTES = 4 << 20        # bytes in one suffix array
 PAD = 0xFF                  # never a byte of UTF-8
 BITS = 48
 BLOCK = 1 << 19
+WINDOW = np.int64(-1)       # mask that answers a single window
+MARKER = np.uint64((1 << BITS) - 1)     # neighbourhood of a marker
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -152,7 +154,8 @@ class Group:
         for b in range(len(self.cut) - 1):
             e = self.sent[self.cut[b]:self.cut[b + 1]]
             if len(e):
-                rows.append((b, g, len(e), _pack(self.anchor[e], self.around[e], least[e], self.many[e])))
+                around = np.where(self.many[e], MARKER, np.minimum(self.around[e], MARKER - np.uint64(1)))
+                rows.append((b, g, len(e), _pack(self.anchor[e], around, least[e], self.many[e])))
         cols = list(zip(*rows)) if rows else [[], [], [], []]
         return pa.table({"bucket": pa.array(cols[0], pa.int32()), "g": pa.array(cols[1], pa.int32()),
                          "n": pa.array(cols[2], pa.int32()), "data": pa.array(cols[3], pa.binary())})
@@ -170,6 +173,28 @@ class Group:
             flags[2] = hot_anchor[self.of]
         return flags[0], flags[1], flags[2]
 
+    def windows(self, hot: np.ndarray):
+        """Windows of the entries flagged ``hot``: (entry, offset, window number), and per window two
+        hashes and the smallest id."""
+        h = np.flatnonzero(hot)
+        begin = self.at[self.first[h]] - self.margin
+        pads = np.cumsum(np.concatenate(([0], self.buf == PAD)))
+        own, off, at = [], [], []
+        for o in range(self.margin + 1):
+            ok = pads[begin + o + self.length] - pads[begin + o] == 0
+            own.append(h[ok])
+            at.append(begin[ok] + o)
+            off.append(np.full(int(ok.sum()), o))
+        own, off, at = np.concatenate(own), np.concatenate(off), np.concatenate(at)
+        w1 = _hash_at(self.buf, at, self.length).astype(np.int64)
+        w2 = _hash_at(self.buf, at + 1, self.length - 2).astype(np.int64)
+        order = np.lexsort((self.least[own], w2, w1))
+        own, off, w1, w2 = own[order], off[order], w1[order], w2[order]
+        new = np.ones(len(own), bool)
+        new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+        head = np.flatnonzero(new)
+        return own, off, np.cumsum(new) - 1, w1[head], w2[head], self.least[own[head]]
+
     def bytes_of(self, entries: np.ndarray) -> np.ndarray:
         """Neighbourhood bytes of entries, one row each."""
         at = self.at[self.first[entries]] - self.margin
@@ -317,52 +342,52 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
     replies = (base.groupBy("__g").applyInArrow(send, "bucket int, g int, n int, data binary")
                .groupBy("bucket").applyInArrow(lambda m: _resolve(m, hot), "g int, bucket int, data binary"))
 
-    ask_schema = "bucket int, hot boolean, g int, entry int, id long, anchor long, around binary, off int, w1 long, w2 long"
+    ask_schema = "bucket int, g int, entry int, id long, anchor long, around binary, w2 long"
+    arrow = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("entry", pa.int32()), ("id", pa.int64()),
+                       ("anchor", pa.int64()), ("around", pa.binary()), ("w2", pa.int64())])
 
     def ask(t: pa.Table, r: pa.Table) -> pa.Table:
-        empty = pa.schema([("bucket", pa.int32()), ("hot", pa.bool_()), ("g", pa.int32()), ("entry", pa.int32()),
-                           ("id", pa.int64()), ("anchor", pa.int64()), ("around", pa.binary()), ("off", pa.int32()),
-                           ("w1", pa.int64()), ("w2", pa.int64())])
         if not t.num_rows or not r.num_rows:
-            return empty.empty_table()
+            return arrow.empty_table()
         g = t.column("__g")[0].as_py()
         _, group = load(t)
         _, wanted, many = group.answers(r)
         e = np.flatnonzero(wanted & ~many)
-        rows = group.bytes_of(e)
         n = len(e)
-        cold = pa.table([pa.array(group.bucket[e].astype(np.int32)), pa.array([False] * n, pa.bool_()),
-                         pa.array(np.full(n, g, np.int32)), pa.array(e.astype(np.int32)), pa.array(group.least[e]),
-                         pa.array(group.anchor[e].astype(np.int64)), pa.array([x.tobytes() for x in rows], pa.binary()),
-                         pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=empty)
-        h = np.flatnonzero(many)
-        begin = group.at[group.first[h]] - group.margin
-        pads = np.cumsum(np.concatenate(([0], group.buf == PAD)))
-        parts = [cold]
-        for o in range(group.margin + 1):
-            a = begin + o
-            ok = pads[a + length] - pads[a] == 0
-            a, own = a[ok], h[ok]
-            w1, w2 = _hash_at(group.buf, a, length), _hash_at(group.buf, a + 1, length - 2)
-            m = len(a)
-            parts.append(pa.table([pa.nulls(m, pa.int32()), pa.array([True] * m, pa.bool_()),
-                                   pa.array(np.full(m, g, np.int32)), pa.array(own.astype(np.int32)),
-                                   pa.array(group.least[own]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                                   pa.array(np.full(m, o, np.int32)), pa.array(w1.astype(np.int64)),
-                                   pa.array(w2.astype(np.int64))], schema=empty))
-        return pa.concat_tables(parts)
-
-    asked = base.groupBy("__g").cogroup(replies.groupBy("g")).applyInArrow(ask, ask_schema)
-    cold = (asked.where("NOT hot").select("bucket", "g", "entry", "id", "anchor", "around").groupBy("bucket")
-            .applyInArrow(lambda t: _sorted_out(t, length, span), "g int, entry int, mask long"))
-    single = asked.where("hot").select("g", "entry", "id", "off", "w1", "w2")
-    first = single.groupBy("w1", "w2").agg(F.min("id").alias("least"))
-    single = (single.join(first, ["w1", "w2"]).where("id > least").groupBy("g", "entry")
-           .agg(F.expr("bit_or(shiftleft(1L, off))").alias("mask")))
+        cold = pa.table([pa.array(group.bucket[e].astype(np.int32)), pa.array(np.full(n, g, np.int32)),
+                         pa.array(e.astype(np.int32)), pa.array(group.least[e]), pa.array(group.anchor[e].astype(np.int64)),
+                         pa.array([x.tobytes() for x in group.bytes_of(e)], pa.binary()), pa.nulls(n, pa.int64())], schema=arrow)
+        _, _, _, w1, w2, low = group.windows(many)
+        m = len(w1)
+        single = pa.table([pa.array((w1 % buckets).astype(np.int32)), pa.array(np.full(m, g, np.int32)),
+                           pa.array(np.arange(m, dtype=np.int32)), pa.array(low), pa.array(w1), pa.nulls(m, pa.binary()),
+                           pa.array(w2)], schema=arrow)
+        return pa.concat_tables([cold, single])
+
+    def settle(t: pa.Table) -> pa.Table:
+        cold = t.filter(t.column("around").is_valid())
+        single = t.filter(t.column("w2").is_valid())
+        out = []
+        if cold.num_rows:
+            out.append(_sorted_out(cold, length, span))
+        if single.num_rows:
+            w1, w2, low = (single.column(c).to_numpy() for c in ("anchor", "w2", "id"))
+            order = np.lexsort((low, w2, w1))
+            new = np.ones(len(order), bool)
+            new[1:] = (w1[order][1:] != w1[order][:-1]) | (w2[order][1:] != w2[order][:-1])
+            first = low[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+            some = order[low[order] > first]
+            out.append(pa.table({"g": single.column("g").to_numpy()[some], "entry": single.column("entry").to_numpy()[some],
+                                 "mask": np.full(len(some), WINDOW)}))
+        return pa.concat_tables(out)
+
+    # a window is sent once by each group of documents, so a very common one is a few rows
+    part = (base.groupBy("__g").cogroup(replies.groupBy("g")).applyInArrow(ask, ask_schema)
+            .groupBy("bucket").applyInArrow(settle, "g int, entry int, mask long"))
     none = F.lit(None)
     answers = (replies.select("g", "bucket", "data", none.cast("int").alias("entry"), none.cast("long").alias("mask"))
-               .unionByName(cold.unionByName(single).select("g", none.cast("int").alias("bucket"),
-                                                         none.cast("binary").alias("data"), "entry", "mask")))
+               .unionByName(part.select("g", none.cast("int").alias("bucket"),
+                                        none.cast("binary").alias("data"), "entry", "mask")))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema.fields)
     out_schema = (f"{fields}, n_bytes long, n_removed long, n_spans long, "
@@ -372,8 +397,15 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
         t, group = load(t)
         flags = r.filter(r.column("data").is_valid())
         part = r.filter(r.column("mask").is_valid())
-        covered, _, _ = group.answers(flags)
-        gone = _covered(group, covered, part.column("entry").to_numpy().astype(np.int64), part.column("mask").to_numpy())
+        covered, _, many = group.answers(flags)
+        entry, mask = part.column("entry").to_numpy().astype(np.int64), part.column("mask").to_numpy()
+        alone = mask == WINDOW
+        own, off, number, w1, _, low = group.windows(many)
+        held = np.zeros(len(w1), bool)
+        held[entry[alone]] = True
+        ok = held[number] | (group.least[own] > low[number])
+        gone = _covered(group, covered, np.concatenate((entry[~alone], own[ok])),
+                        np.concatenate((mask[~alone], np.int64(1) << off[ok])))
         sums = np.concatenate(([0], np.cumsum(gone)))
         n_removed = sums[group.end] - sums[group.begin]
         edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
