@@ -39,7 +39,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: fixed values: model types of the trainer settings
 UNIGRAM, BPE = 1, 2
 CHUNK = 1 << 20             # bytes of distinct segments indexed at once
-CACHE = 300_000             # segments kept from batch to batch
+CACHE = 1_000_000           # segments kept from batch to batch
 MAX_PIECE_DEPTH = 64        # longest piece in bytes that the index orders by
 
 
@@ -345,54 +345,64 @@ def segments_of(model: Model, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, offs - offs[0]
 
 
-def _encode_words(model: Model, words: list[bytes]) -> list[np.ndarray]:
-    """Ids of each segment.  A zero byte is its own symbol: no piece holds one."""
+def _encode_words(model: Model, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all segments, number of each).  A zero byte is its own symbol: no piece holds one."""
     parts = [p for w in words for p in w.split(b"\x00")]
-    ids_of: list[np.ndarray] = []
+    ids_of, n_of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     sizes = np.cumsum([0, *map(len, parts)])
     lo = 0
     while lo < len(parts):
         hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + CHUNK, side="right")) - 1)
         ids, offs = encode_segments(model, parts[lo:hi])
-        ids_of += np.split(ids, offs[1:-1])
+        ids_of.append(ids)
+        n_of.append(np.diff(offs))
         lo = hi
+    ids, n = np.concatenate(ids_of), np.concatenate(n_of)
     if len(parts) == len(words):
-        return ids_of
-    zero = np.array([model.byte_ids[0] if model.byte_ids is not None else model.unk])
-    out, at = [], 0
-    for w in words:
-        n = w.count(b"\x00") + 1
-        joined = [ids_of[at]]
-        for x in ids_of[at + 1:at + n]:
-            joined += [zero, x]
-        out.append(np.concatenate(joined) if n > 1 else joined[0])
-        at += n
-    return out
-
-
-def encode_batch(model: Model, texts: pa.Array, cache: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, offsets); each distinct segment is encoded once.
-
-    ``cache`` keeps segments of earlier batches, up to ``CACHE`` of them.
-    """
-    cache = {} if cache is None else cache
+        return ids, n
+    zero = model.byte_ids[0] if model.byte_ids is not None else model.unk
+    k = np.array([w.count(b"\x00") + 1 for w in words])
+    last = np.cumsum(k) - 1
+    inner = np.ones(len(parts), bool)
+    inner[last] = False                                     # a zero follows each part but a segment's last
+    ends = np.cumsum(n)
+    return np.insert(ids, ends[inner], zero), np.add.reduceat(n + inner, last - k + 1)
+
+
+class Segments:
+    """Ids of the distinct segments seen by a task, up to ``CACHE`` of them."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.ends = np.zeros(1, np.int64)
+
+    def add(self, words: list[str], ids: np.ndarray, n: np.ndarray) -> None:
+        at, size = len(self.index), int(self.ends[-1])
+        self.index.update(zip(words, range(at, at + len(words))))
+        if size + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[:size], np.zeros(max(len(self.ids), len(ids)), np.int32)))
+        self.ids[size:size + len(ids)] = ids
+        self.ends = np.concatenate((self.ends, size + np.cumsum(n)))
+
+
+def encode_batch(model: Model, texts: pa.Array, seen: Segments | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, offsets); each distinct segment is encoded once, ``seen`` ones not again."""
+    seen = Segments() if seen is None else seen
     flat, offs = segments_of(model, texts)
     enc = flat.dictionary_encode()
     words = enc.dictionary.to_pylist()
     code = enc.indices.to_numpy().astype(np.int64)
-    fresh = [w for w in words if w not in cache]
-    found = dict(zip(fresh, _encode_words(model, [w.encode() for w in fresh])))
-    ids_of = [cache[w] if w in cache else found[w] for w in words]
-    if len(cache) + len(found) > CACHE:
-        cache.clear()
-    cache.update((w, x) for w, x in found.items() if len(w) <= 64)
-    all_ids = np.concatenate([np.zeros(0, np.int64), *ids_of])
-    n_of = np.array([len(x) for x in ids_of], np.int64)
-    at = np.concatenate(([0], np.cumsum(n_of)))
-    take = n_of[code]
+    if len(seen.index) > CACHE:
+        seen.__init__()
+    fresh = [w for w in words if w not in seen.index]
+    if fresh:
+        seen.add(fresh, *_encode_words(model, [w.encode() for w in fresh]))
+    slot = np.fromiter(map(seen.index.__getitem__, words), np.int64, len(words))[code]
+    take = (seen.ends[1:] - seen.ends[:-1])[slot]
     ends = np.concatenate(([0], np.cumsum(take)))
-    place = np.repeat(at[code] - ends[:-1], take) + np.arange(ends[-1])
-    return all_ids[place], ends[offs]
+    place = np.repeat(seen.ends[slot] - ends[:-1], take) + np.arange(ends[-1])
+    return seen.ids[place], ends[offs]
 
 
 def decode_ids(model: Model, ids: np.ndarray, offs: np.ndarray) -> list[bytes]:
@@ -426,7 +436,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", check: bool = T
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
 
     def run(batches):
-        cache: dict = {}
+        seen = Segments()
         for batch in batches:
             column = batch.column(text).cast(pa.large_string())
             size = pc.binary_length(pc.fill_null(column, "")).to_numpy()
@@ -435,7 +445,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", check: bool = T
             while lo < batch.num_rows:
                 hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(cum, cum[lo] + (8 << 20), side="right")) - 1))
                 part = batch.slice(lo, hi - lo)
-                ids, offs = encode_batch(model, part.column(text).cast(pa.large_string()), cache)
+                ids, offs = encode_batch(model, part.column(text).cast(pa.large_string()), seen)
                 back = decode_ids(model, ids, offs)
                 arr = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 dec = pa.array(back, pa.binary()).cast(pa.string())
