@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import ann, exactdedup, langid, sharding, spiece, urlfilter, warc, winnow
+from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spiece, urlfilter, warc, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ def op9_pieces(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     out = exactdedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op2_jaccard")
+def op2_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
