@@ -30,6 +30,7 @@ remove nothing.  Rows repeat as given.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -425,3 +426,11 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
 
     return base.groupBy("__g").cogroup(answers.groupBy("g")).applyInArrow(removed, out_schema)
 
+
+def valid_text(df: DataFrame, kept: str, name: str) -> DataFrame:
+    """``df`` plus column ``name``: the kept bytes as text, without the remains of characters that a cut split."""
+    @F.pandas_udf("string")
+    def decode(left: pd.Series) -> pd.Series:
+        return left.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+    return df.withColumn(name, decode(kept))

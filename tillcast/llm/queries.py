@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spiece, urlfilter, warc, winnow
+from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spiece, toxicity, urlfilter, warc, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,17 @@ def op10_substring_dedup(spark, sf_dir):
 @register("op2_jaccard")
 def op2_jaccard(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def toxicity_network(spark, sf_dir):
+    """Network trained on the labelled documents outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = docs.join(labels.where("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id").where(~held_out())
+    return toxicity.fit(rows)
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    out = toxicity.score(table(spark, sf_dir, "documents"), toxicity_network(spark, sf_dir),
+                         ["doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out")])
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
