@@ -73,12 +73,10 @@ def _code_points(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
             ends = np.cumsum([len(p) for p in parts])
     n = len(ends)
     starts = np.concatenate(([0], ends[:-1]))
-    out = np.full(len(cps) + n + 1, 32, dtype=np.int32)
+    out = np.full(len(cps) + 2 * n, 32, dtype=np.int32)
     doc = np.repeat(np.arange(n, dtype=np.int64), ends - starts)
-    out[np.arange(len(cps)) + doc + 1] = _tables()[cps]
-    owner = np.zeros(len(out), dtype=np.int64)
-    owner[1:] = np.repeat(np.arange(n, dtype=np.int64), ends - starts + 1)
-    return out, owner
+    out[np.arange(len(cps)) + 2 * doc + 1] = _tables()[cps]
+    return out, np.repeat(np.arange(n, dtype=np.int64), ends - starts + 2)
 
 
 def count_ngrams(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
