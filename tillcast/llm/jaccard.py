@@ -167,10 +167,12 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     src = docs.select(F.col(f"`{doc}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     rows = stage(_arrow_sets(src, words, share, full=False))
     points = stage(rows.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("label"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("grams").alias("grams")))
+        F.min("id").alias("label"), F.first("n").alias("n"), F.first("need").alias("need")))
+    # prefixes stay in one table: a point's are those of its first row
+    live = points.join(rows.where("n > 0").select(F.col("node").alias("rn"), F.col("id").alias("ri"), "grams"),
+                       (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).drop("rn", "ri")
 
     # 1. candidates: points with enough shared prefix n-grams, twice
-    live = points
     for _ in range(2):
         grams = live.select("node", F.explode("grams").alias("g"))
         common = grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
@@ -184,9 +186,11 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     sets = stage(sets.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams")))
 
     # 2. and 3. regions, pivots, windows
-    grams = live.select("node", F.explode("grams").alias("g"))
+    # of those prefixes the plain part is enough for every link to share a region
+    plain = F.expr(f"cast(n - ceil(n * {share} / 100) + 1 as int)")
+    grams = live.select("node", "n", F.explode(F.slice("grams", F.lit(1), plain)).alias("g"))
     common = grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
-    region = stage(grams.join(common, "g").select("g", "node", F.lit(True).alias("open"), F.lit(False).alias("duty"),
+    region = stage(grams.join(common, "g").select("g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
                                                   F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
     tau = 1 - share / 100 + 1e-9
     mine = sets.select(F.col("node").alias("an"), F.col("n").alias("na"), F.col("grams").alias("ga"))
@@ -197,10 +201,12 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
         first = Window.partitionBy("g").orderBy("node")
         chosen = (region.where("open").withColumn("k", F.row_number().over(first)).where(F.col("k") <= pivots)
                   .select(F.col("g").alias("pg"), F.col("node").alias("pivot"), F.col("comp").alias("pcomp"),
-                          F.col("d").alias("pd"), (F.col("k") == 1).alias("lead")))
+                          F.col("d").alias("pd"), F.col("n").alias("pn"), (F.col("k") == 1).alias("lead")))
         seen = region.join(chosen, F.col("g") == F.col("pg"))
         near = F.col("d").isNull() | F.col("pd").isNull() | (F.abs(F.col("d") - F.col("pd")) <= tau)
-        seen = seen.withColumn("meets", (F.col("comp") != F.col("pcomp")) & near)
+        # sizes bound the distance too: it is at least 1 - smaller / larger
+        low, high = F.least("n", "pn"), F.greatest("n", "pn")
+        seen = seen.withColumn("meets", (F.col("comp") != F.col("pcomp")) & near & (100 * low >= share * high))
         pairs = stage(seen.where("meets").select("node", "pivot").distinct())
         inter = F.size(F.array_intersect("ga", "gb")).cast("long")
         dist = (pairs.join(mine, F.col("node") == F.col("an")).join(theirs, F.col("pivot") == F.col("bn"))
@@ -214,8 +220,8 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                .join(found.select(F.col("node").alias("fp"), F.col("label").alias("now")), F.col("pivot") == F.col("fp"), "left"))
         # a point linked to a pivot is done unless it may link to another ball's members; a pivot has met all
         # points; others stay, and owe a comparison to every ball of another component that is not too far
-        far = F.coalesce(F.col("dist") > 2 * tau, F.lit(False))
-        state = met.groupBy("g", "node", "open", "duty").agg(
+        far = F.coalesce(F.col("dist") > 2 * tau, F.lit(False)) | (100 * low < (2 * share - 100) * high)
+        state = met.groupBy("g", "node", "n", "open", "duty").agg(
             F.max(F.coalesce("hit", F.lit(False))).alias("hit"), F.max(F.col("node") == F.col("pivot")).alias("self"),
             F.collect_set(F.when((F.col("comp") != F.col("pcomp")) & ~far, F.coalesce("now", "pivot"))).alias("close"),
             F.max(F.when(F.col("lead"), F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("dist")))).alias("d"))
@@ -223,7 +229,7 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                  .withColumn("comp", F.coalesce("label", "node")))
         owes = F.size(F.array_remove(F.col("close"), F.col("comp"))) > 0
         nxt = stage(state.select(
-            "g", "node", (F.col("open") & ~F.col("self") & ~(F.col("hit") & ~F.col("duty") & ~owes)).alias("open"),
+            "g", "node", "n", (F.col("open") & ~F.col("self") & ~(F.col("hit") & ~F.col("duty") & ~owes)).alias("open"),
             (F.col("duty") | owes).alias("duty"), "d", "comp"))
         # regions with a point left over that more than one component shares
         left = (nxt.groupBy("g").agg(F.max("open").alias("o"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
