@@ -32,8 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 3000
-SAMPLE_BYTES = 20_000
+SAMPLE = 2000
+SAMPLE_BYTES = 8_000
 WINDOW = 24
 STRIDE = 12
 BUCKETS = 1 << 17
