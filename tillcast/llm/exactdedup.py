@@ -83,8 +83,8 @@ def padded(texts: pa.Array, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def anchors(buf: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Places of all anchors in a padded buffer."""
     width = length - gram + 1
-    n = len(buf) - 16
-    words = np.ndarray(shape=(n + 8,), dtype="<u8", buffer=buf.data, strides=(1,))
+    n = len(buf) - gram - 8         # the frame's end holds no anchor
+    words = np.ndarray(shape=(len(buf) - 7,), dtype="<u8", buffer=buf.data, strides=(1,))
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     out = []
     for a in range(0, n, BLOCK):
