@@ -39,7 +39,7 @@ from tillcast.llm.common import buckets_for, mix64, text_chunks
 from tillcast.llm.suffix import adjacent_equal, suffix_array
 
 LENGTH = 50
-GRAM = 20
+GRAM = 16
 GROUP_BYTES = 12 << 20      # text in one group of documents
 BUCKET_BYTES = 8 << 20      # text whose anchors share a bucket
 LOCAL_HOT = 64              # neighbourhoods of one anchor that a group of documents sends
