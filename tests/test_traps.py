@@ -161,3 +161,21 @@ def test_t19_defaults_on_lookup_miss(spark):
 def test_t22_monday_is_zero(spark):
     df = spark.createDataFrame([(dt.date(2024, 12, 30),), (dt.date(2024, 12, 29),)], "d date")
     assert [r[0] for r in df.select(fn.weekday_mon0("d")).collect()] == [0, 6]
+
+
+def test_w4_rolling3_skips_null_input(spark):
+    df = spark.createDataFrame([("s", "i", dt.date(2000, 1, 1 + k), v) for k, v in enumerate([10.0, None, 30.0])],
+                               "store_id string, item_id string, date date, avg_temp_f double")
+    got = {r.date.day: r.avg_temp_f_rolling3 for r in windows.store_order_memory(df).collect()}
+    assert got == {1: 10.0, 2: 10.0, 3: 20.0}
+
+
+def test_f9_honest_mode_averages_before_fit_end_only(spark):
+    from tillcast.horizon import Horizon
+    from tillcast.operators import prep
+    hz = Horizon(fit_until=dt.date(1999, 10, 1))
+    rows = [(dt.date(1999, 9, 13), 10.0), (dt.date(1999, 9, 20), None), (dt.date(1999, 11, 1), 100.0)]
+    df = spark.createDataFrame([("s", "i", d, 0, v) for d, v in rows],
+                               f"store_id string, item_id string, date date, {prep.DOW} int, {prep.TARGET} double")
+    got = {r.date: r[prep.TARGET] for r in prep.impute_group_mean(df, hz=hz).collect()}
+    assert got[dt.date(1999, 9, 20)] == 10.0

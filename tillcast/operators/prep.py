@@ -32,7 +32,8 @@ def impute_group_mean(p: DataFrame, keys: Sequence[str] = (*KEYS, DOW), target:
     and a group (one weekday of one series) is bounded by the horizon length.
     """
     train = F.col("date") < F.lit(hz.test_start)
-    fill = F.avg(F.when(train, F.col(target))).over(Window.partitionBy(*keys))
+    known = F.col("date") < F.lit(hz.fit_end)
+    fill = F.avg(F.when(known, F.col(target))).over(Window.partitionBy(*keys))
     return p.withColumn(target, F.when(F.col(target).isNull() & train, fill).otherwise(F.col(target)))
 
 

@@ -86,9 +86,9 @@ def store_order_memory(p: DataFrame, x: str = "avg_temp_f", store: str = "store_
     rn = F.col("__rn")
     p1 = F.when(rn == 1, F.col("__b1")).otherwise(F.col("__l1"))
     p2 = F.when(rn == 1, F.col("__b2")).when(rn == 2, F.col("__b1")).otherwise(F.col("__l2"))
-    cnt = F.lit(1) + p1.isNotNull().cast("int") + p2.isNotNull().cast("int")
-    tot = F.col(x) + F.coalesce(p1, F.lit(0.0)) + F.coalesce(p2, F.lit(0.0))
-    return (j.withColumns({f"{x}_lag1": F.coalesce(p1, F.col(x)), f"{x}_rolling3": tot / cnt})
+    cnt = F.col(x).isNotNull().cast("int") + p1.isNotNull().cast("int") + p2.isNotNull().cast("int")
+    tot = F.coalesce(F.col(x), F.lit(0.0)) + F.coalesce(p1, F.lit(0.0)) + F.coalesce(p2, F.lit(0.0))
+    return (j.withColumns({f"{x}_lag1": F.coalesce(p1, F.col(x)), f"{x}_rolling3": F.when(cnt > 0, tot / cnt)})
              .drop("__l1", "__l2", "__rn", "__last", "__b1", "__b2"))
 
 
