@@ -7,7 +7,8 @@ The join keeps exact by these steps:
    ``need(n)`` n-grams of their prefixes (all of a short set, a share of a long
    one).  Points with fewer shared prefix n-grams can't link and leave; this is
    repeated once among those left.
-2. *Regions.*  Every shared prefix n-gram is a region.  Its first point is the
+2. *Regions.*  N-grams are put in order of how many candidates hold them, rare
+   ones first; every shared prefix n-gram is a region.  Its first point is the
    region's pivot, and the distances of all its points to the pivot are
    computed from whole sets.  Points within the threshold link to the pivot.
 3. *Windows and recursion.*  Points beyond the threshold stay for the next
@@ -186,12 +187,20 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     sets = stage(sets.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams")))
 
     # 2. and 3. regions, pivots, windows
-    # of those prefixes the plain part is enough for every link to share a region
-    plain = F.expr(f"cast(n - ceil(n * {share} / 100) + 1 as int)")
-    grams = live.select("node", "n", F.explode(F.slice("grams", F.lit(1), plain)).alias("g"))
-    common = grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
-    region = stage(grams.join(common, "g").select("g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
-                                                  F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
+    # Any order of n-grams keeps the prefix rule.  Rare ones come first from here on, so that a passage which
+    # many documents hold is no region of theirs unless most of their text is such passages.
+    grams = sets.select("node", "n", F.explode("grams").alias("g"))
+    counts = grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = grams.join(counts, "g").groupBy("node").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "g"))).alias("shared"))
+    # n-grams of one point alone are the rarest: they fill the prefix but are no regions
+    plain = F.expr(f"cast(ceil(n * {share} / 100) as int)")
+    ordered = ordered.withColumn("take", F.size("shared") - plain + 1).where("take > 0")
+    prefix = stage(ordered.select("node", "n", F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("e"))
+                   .select("node", "n", F.col("e.g").alias("g")))
+    common = prefix.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
+    region = stage(prefix.join(common, "g").select("g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
+                                                   F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
     tau = 1 - share / 100 + 1e-9
     mine = sets.select(F.col("node").alias("an"), F.col("n").alias("na"), F.col("grams").alias("ga"))
     theirs = sets.select(F.col("node").alias("bn"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
