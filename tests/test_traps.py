@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tillcast import functions as fn
 from tillcast.operators import encode, ensemble, grain, metrics, windows
+from tillcast.plans import monthly
+from tillcast.session import ensure_checkpoint_dir
 
 
 def test_t1_clip_keeps_null(spark):
@@ -179,3 +181,47 @@ def test_f9_honest_mode_averages_before_fit_end_only(spark):
                                f"store_id string, item_id string, date date, {prep.DOW} int, {prep.TARGET} double")
     got = {r.date: r[prep.TARGET] for r in prep.impute_group_mean(df, hz=hz).collect()}
     assert got[dt.date(1999, 9, 20)] == 10.0
+
+
+def test_m12_missing_prediction_is_not_forgiven(spark):
+    df = spark.createDataFrame([("a", 10.0, None), ("a", 5.0, 5.0), ("b", 0.0, None), ("b", 4.0, 3.0)],
+                               "k string, y double, yhat double")
+    got = {r.k: r.wmape for r in metrics.wmape(df, "y", "yhat", by="k").collect()}
+    assert got["a"] is None and got["b"] == pytest.approx(0.25)
+
+
+def test_m8_m9_default_weights(spark):
+    val = spark.createDataFrame([("bad", 1.0, 9.0, 9.0, 9.0), ("ok", 1.0, 1.0, 1.0, 1.0)],
+                                "store_id string, y double, m1 double, m2 double, m3 double")
+    w = ensemble.blend_grid(val, ["m1", "m2", "m3"], y="y")
+    row = {r.store_id: r for r in w.collect()}["bad"]
+    assert (row.grid_id, row.w1, row.w2, row.w3) == (None, 0.33, 0.33, 0.34)
+    # a store without validation rows
+    new = spark.createDataFrame([("new", 10.0, 20.0, 30.0)], "store_id string, m1 double, m2 double, m3 double")
+    assert ensemble.blend(new, w, ["m1", "m2", "m3"]).first().ensemble == pytest.approx(20.1)
+
+
+def test_p12_unknown_error_and_adjusted_days_fail(spark):
+    daily = spark.createDataFrame([("s", "i", 10, 6.0, 6.0), ("s", "i", 10, 4.0, 5.0), ("s", "j", 10, 1.0, 1.0)],
+                                  "store_id string, item_id string, month int, daily_qty double, adjusted_qty double")
+    targets = spark.createDataFrame([("s", "i", 10, 10.0), ("s", "j", 10, None)],
+                                    "store_id string, item_id string, month int, target_qty double")
+
+    def ok(col):
+        return {r.item_id: r.ok for r in monthly.reconcile_check(daily, targets, col=col).collect()}
+    assert ok("daily_qty") == {"i": True, "j": False}
+    assert ok("adjusted_qty") == {"i": False, "j": False}
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

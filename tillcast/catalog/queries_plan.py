@@ -86,14 +86,13 @@ def p11_adjust_daily(spark, sf):
 
 @register("p12_reconcile_check", _sql("""
 SELECT d.store_id, d.item_id, d.month, d.day_sum, t.target_qty, abs(d.day_sum - t.target_qty) / nullif(t.target_qty, 0) AS rel_error,
-       coalesce(abs(d.day_sum - t.target_qty) / nullif(t.target_qty, 0) < 0.01, true) AS ok
-FROM (SELECT store_id, item_id, month, sum(daily_qty) AS day_sum FROM DAILY GROUP BY ALL) d
+       coalesce(abs(d.day_sum - t.target_qty) / nullif(t.target_qty, 0) < 0.01, false) AS ok
+FROM (SELECT store_id, item_id, month, sum(adjusted_qty) AS day_sum FROM ADJ GROUP BY ALL) d
 JOIN TARGETS t USING (store_id, item_id, month)""", ["day_sum", "target_qty", "rel_error"]))
 def p12_reconcile_check(spark, sf):
     p = panel(spark, sf)
     targets = monthly.monthly_targets(p, HZ)
-    daily = monthly.disaggregate(targets, monthly.dow_profile(p, HZ), HZ)
-    return rounded(monthly.reconcile_check(daily, targets))
+    return rounded(monthly.reconcile_check(monthly.daily_plan(p, HZ), targets, col="adjusted_qty"))
 
 
 @register("p13_sanity_checks", _sql("""
@@ -144,14 +143,15 @@ def p15_breakdown_store(spark, sf):
 
 
 @register("p16_method_comparison", _sql("""
-, j AS (SELECT a.quantity, coalesce(d.adjusted_qty, 0.0) AS plan, coalesce(n.quantity, 0.0) AS naive
+, cm AS (SELECT category, month, day_of_week_num, avg(quantity) AS c FROM panel WHERE date < DATE '2000-10-01' GROUP BY ALL),
+j AS (SELECT a.quantity, coalesce(d.adjusted_qty, 0.0) AS plan, coalesce(n.quantity, cm.c, 0.0) AS naive
         FROM (SELECT * FROM panel WHERE date >= DATE '2000-10-01') a
-        LEFT JOIN ADJ d USING (store_id, item_id, date)
-        LEFT JOIN (SELECT store_id, item_id, CAST(date + INTERVAL 365 DAY AS DATE) AS date, quantity FROM panel) n
-        USING (store_id, item_id, date))
-SELECT round(sum(CASE WHEN quantity > 0 THEN abs(quantity - plan) END) / sum(CASE WHEN quantity > 0 THEN quantity END), 6) AS plan_wmape,
-       round(sum(CASE WHEN quantity > 0 THEN abs(quantity - naive) END) / sum(CASE WHEN quantity > 0 THEN quantity END), 6) AS naive_wmape
-FROM j"""))
+        LEFT JOIN ADJ d ON d.store_id = a.store_id AND d.item_id = a.item_id AND d.date = a.date
+        LEFT JOIN panel n ON n.store_id = a.store_id AND n.item_id = a.item_id AND n.date = CAST(a.date - INTERVAL 365 DAY AS DATE)
+        LEFT JOIN cm ON cm.category = a.category AND cm.month = a.month AND cm.day_of_week_num = a.day_of_week_num)
+SELECT round(sum(abs(quantity - plan)) / sum(quantity), 6) AS plan_wmape,
+       round(sum(abs(quantity - naive)) / sum(quantity), 6) AS naive_wmape
+FROM j WHERE quantity IS NOT NULL"""))
 def p16_method_comparison(spark, sf):
     p = panel(spark, sf)
     return rounded(monthly.method_comparison(monthly.daily_plan(p, HZ), p, HZ))

@@ -32,11 +32,13 @@ GSCORE AS (
          / sum(CASE WHEN quantity_filled > 0 THEN quantity_filled END) AS wmape
   FROM MEMS, GRID WHERE split = 'val' GROUP BY ALL),
 WEIGHTS AS (
-  SELECT store_id, grid_id, w1, w2, w3, wmape FROM (
+  SELECT store_id, CASE WHEN wmape < 1 THEN grid_id END AS grid_id, CASE WHEN wmape < 1 THEN w1 ELSE 0.33::DOUBLE END AS w1,
+         CASE WHEN wmape < 1 THEN w2 ELSE 0.33::DOUBLE END AS w2, CASE WHEN wmape < 1 THEN w3 ELSE 0.34::DOUBLE END AS w3, wmape FROM (
     SELECT *, row_number() OVER (PARTITION BY store_id
                                  ORDER BY round(coalesce(wmape, 'inf'::DOUBLE), 12), grid_id) AS rn FROM GSCORE) x
   WHERE rn = 1),
-BL AS (SELECT m.*, w.w1, w.w2, w.w3, w.w1 * m.m_struct + w.w2 * m.m_domain + w.w3 * m.m_naive AS ensemble
+BL AS (SELECT m.*, w.w1, w.w2, w.w3, coalesce(w.w1, 0.33) * m.m_struct + coalesce(w.w2, 0.33) * m.m_domain
+              + coalesce(w.w3, 0.34) * m.m_naive AS ensemble
        FROM MEMS m LEFT JOIN WEIGHTS w USING (store_id)),
 BIAS AS (SELECT store_id, CASE WHEN avg(ensemble) > 0 THEN avg(quantity_filled) / avg(ensemble) ELSE 1.0 END AS bias
          FROM BL WHERE split = 'val' GROUP BY store_id),

@@ -4,27 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def label_codes(df: DataFrame, col: str, name: str | None = None, null_as: str | None = None) -> DataFrame:
     """Dictionary (value, code): 0-based index in the sorted distinct values.
 
     ``StringIndexer`` orders by frequency by default; this matches
-    ``alphabetAsc``.  Fully distributed: the distinct values are sorted with a
-    range-partitioned sort and numbered with ``zipWithIndex`` (per-partition
-    counts, then offsets), so no single task ever holds the whole label set —
-    unlike a ``dense_rank`` window without a partition.
+    ``alphabetAsc``.  The distinct values are found by a partial and a final
+    aggregate; numbering them is one task over the levels of a dimension
+    (stores, items, categories), whose number the catalog bounds.
     """
     name = name or f"{col}_enc"
     v = F.col(col) if null_as is None else F.coalesce(F.col(col), F.lit(null_as))
-    vals = df.select(v.alias("__v")).where(F.col("__v").isNotNull()).distinct().orderBy("__v")
-    vtype = vals.schema["__v"].dataType
-    indexed = vals.rdd.zipWithIndex().map(lambda t: (t[0][0], int(t[1])))
-    schema = T.StructType([T.StructField("__v", vtype), T.StructField(name, T.IntegerType())])
-    return df.sparkSession.createDataFrame(indexed, schema)
+    vals = df.select(v.alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    return vals.withColumn(name, (F.row_number().over(Window.orderBy("__v")) - 1).cast("int"))
 
 
 def label_encode(df: DataFrame, col: str, name: str | None = None, null_as: str | None = None,
@@ -57,5 +52,5 @@ def assign_groups(p: DataFrame, groups: Mapping[str, Sequence[str]], item_col: s
     """
     spark = p.sparkSession
     m = group_map_df(spark, groups, item_col, group_col)
-    return (p.join(F.broadcast(m), item_col, "left")
+    return (p.join(m, item_col, "left")
              .withColumn(group_col, F.coalesce(F.col(group_col), F.lit(default))))

@@ -13,6 +13,8 @@ from tillcast.horizon import DEFAULT, Horizon
 from tillcast.operators.metrics import wmape_expr
 from tillcast.operators.prep import TARGET
 
+# fixed values: blend weights of a group for which the search finds no point below a wMAPE of 1
+DEFAULT_WEIGHTS = (0.33, 0.33, 0.34)
 SPLITS = ("train1", "val", "train2", "test")
 
 
@@ -103,22 +105,28 @@ def blend_grid(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("s
                grid=None, positive_only: bool = True) -> DataFrame:
     """M8/K5: per group, the grid point with the lowest wMAPE (first point wins ties).
 
-    Returns (by..., grid_id, w1, w2, w3, wmape).
+    Returns (by..., grid_id, w1, w2, w3, wmape).  A group whose best point is not
+    below 1.0 gets ``DEFAULT_WEIGHTS`` and no grid_id.
     """
     by = [by] if isinstance(by, str) else list(by)
     scored = grid_scores(preds, members, y, by, grid, positive_only)
     best = F.min_by(F.struct("grid_id", "w1", "w2", "w3", "wmape"),
                     F.struct(F.round(F.coalesce("wmape", F.lit(float("inf"))), 12), F.col("grid_id")))
-    return scored.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
+    won = F.col("b.wmape") < 1.0
+    return scored.groupBy(*by).agg(best.alias("b")).select(
+        *by, F.when(won, F.col("b.grid_id")).alias("grid_id"),
+        *[F.when(won, F.col(f"b.w{i}")).otherwise(F.lit(w)).alias(f"w{i}") for i, w in enumerate(DEFAULT_WEIGHTS, 1)],
+        F.col("b.wmape").alias("wmape"))
 
 
 def blend(preds: DataFrame, weights: DataFrame, members: Sequence[str], by=("store_id",),
           name: str = "ensemble") -> DataFrame:
-    """M9: join the chosen weights and form the weighted sum."""
+    """M9: join the chosen weights (``DEFAULT_WEIGHTS`` for groups without any) and form the weighted sum."""
     by = [by] if isinstance(by, str) else list(by)
     m1, m2, m3 = members
     w = weights.select(*by, "w1", "w2", "w3")
-    return (preds.join(w, by, "left")
+    own = {f"w{i}": F.coalesce(F.col(f"w{i}"), F.lit(d)) for i, d in enumerate(DEFAULT_WEIGHTS, 1)}
+    return (preds.join(w, by, "left").withColumns(own)
                  .withColumn(name, F.col("w1") * F.col(m1) + F.col("w2") * F.col(m2) + F.col("w3") * F.col(m3)))
 
 

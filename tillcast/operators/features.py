@@ -217,8 +217,9 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     re-deriving the panel from the raw tables, and checkpoints the finished
     feature frame so downstream consumers do not re-expand its plan.
     """
-    if materialize:
-        p = stage(p)
+    keep = stage if materialize else (lambda df: df)
+    # promotions per (store, category, date): the one window off the series key, while the panel is narrow
+    p = keep(p.withColumn("promo_count_cat", F.sum("is_promotion").over(Window.partitionBy(S, "category", "date"))))
     p0 = p     # every aggregate branch reads the staged panel, never the windowed frame
     fit = in_fit(hz, x)
     season = F.col("month").isin(list(hz.season_months))
@@ -252,16 +253,15 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     else:
         p = windows.store_date_memory(p, "avg_temp_f")
     p = p.withColumnsRenamed({"avg_temp_f_lag1": "temp_lag1", "avg_temp_f_rolling3": "temp_rolling3"})
-    # promotions per (store, category, date): the one window off the series key
-    p = p.withColumn("promo_count_cat", F.sum("is_promotion").over(Window.partitionBy(S, "category", "date")))
 
     # dimensions: store (city/state re-mapped from the first row per store), item, category
-    stores = dim_store(p0)
-    items = item_table(p0, cat)
+    # staged as small tables, so that their sizes are known when joins are planned
+    stores = keep(dim_store(p0))
+    items = keep(item_table(p0, cat))
     base = p0.drop("city", "state").join(stores, S, "left").join(items, I, "left")
     t = base.where(fit)
-    cats = category_table(base, t, cat, x)
-    growth = store_growth(t, hz, x)
+    cats = keep(category_table(base, t, cat, x))
+    growth = keep(store_growth(t, hz, x))
     p = p.drop("city", "state").join(stores, S, "left").join(items, I, "left")
 
     # precip code (NULL precipitation type encodes as the text 'None')
@@ -390,7 +390,7 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     p = grain.quantile_bins(p, "unit_price", "price_tier", 3, edges_from=p0)
     p = p.drop(*[col for col in p.columns if col.startswith("__")])
     # write the feature frame once: every model, member and report reads it
-    return stage(p) if materialize else p
+    return keep(p)
 
 
 def feature_frame(p: DataFrame, level: str = "v4", cat: Catalog = DRIVER_CATALOG,

@@ -11,11 +11,14 @@ from tillcast import functions as fn
 
 
 def wmape_expr(y: str = "quantity", yhat: str = "predicted", positive_only: bool = True) -> Column:
-    """sum|y - yhat| / sum y over rows with y > 0 (or all rows with a known y, T18)."""
+    """sum|y - yhat| / sum y over rows with y > 0 (or all rows with a known y, T18).
+
+    NULL when one of these rows has no prediction: its volume can't be scored.
+    """
     keep = (F.col(y) > 0) if positive_only else F.col(y).isNotNull()
     err = F.sum(F.when(keep, F.abs(F.col(y) - F.col(yhat))))
     vol = F.sum(F.when(keep, F.col(y)))
-    return fn.safe_div(err, vol)
+    return F.when(F.count_if(keep & F.col(yhat).isNull()) == 0, fn.safe_div(err, vol))
 
 
 def wmape(df: DataFrame, y: str = "quantity", yhat: str = "predicted", by=None,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillcast import functions as fn
 from tillcast.horizon import DEFAULT, Horizon
-from tillcast.operators import grain, metrics
+from tillcast.operators import baselines, grain, metrics
 from tillcast.schema import DOW
 
 S, I = "store_id", "item_id"
@@ -196,12 +196,12 @@ def daily_plan(p: DataFrame, hz: Horizon = DEFAULT) -> DataFrame:
 
 def reconcile_check(daily: DataFrame, targets: DataFrame, col: str = "daily_qty",
                     target_col: str = "target_qty", tol: float = RECONCILE_TOL) -> DataFrame:
-    """|sum(days) - month target| / month target per (store, item, month)."""
+    """|sum(days) - month target| / month target per (store, item, month); an unknown error is not ok."""
     s = daily.groupBy(S, I, "month").agg(F.sum(col).alias("day_sum"))
     j = s.join(targets.select(S, I, "month", target_col), [S, I, "month"])
     err = fn.safe_div(F.abs(F.col("day_sum") - F.col(target_col)), F.col(target_col))
     return j.select(S, I, "month", "day_sum", target_col, err.alias("rel_error"),
-                    F.coalesce(err < tol, F.lit(True)).alias("ok"))
+                    F.coalesce(err < tol, F.lit(False)).alias("ok"))
 
 
 def sanity_checks(targets: DataFrame, mult: DataFrame) -> DataFrame:
@@ -250,11 +250,18 @@ def forecast_breakdown(daily: DataFrame, p: DataFrame, hz: Horizon = DEFAULT,
 
 def method_comparison(daily: DataFrame, p: DataFrame, hz: Horizon = DEFAULT, col: str = "adjusted_qty",
                       naive_days: int = 365) -> DataFrame:
-    """wMAPE of the plan vs seasonal naive on the test season's actuals (missing forecast = 0)."""
-    actual = p.where(F.col("date") >= F.lit(hz.test_start)).select(S, I, "date", "category", "quantity")
-    past = p.select(S, I, F.date_add("date", naive_days).alias("date"), F.col("quantity").alias("__naive"))
-    j = (actual.join(daily.select(S, I, "date", F.col(col).alias("__plan")), [S, I, "date"], "left")
-               .join(past, [S, I, "date"], "left"))
+    """wMAPE of the plan vs seasonal naive over all known actuals of the test season.
+
+    The naive forecast of a series without a sale that day last year is its
+    category's mean for the month and weekday before the test; a cell that
+    neither method forecasts counts as 0.
+    """
+    test = F.col("date") >= F.lit(hz.test_start)
+    mean = p.where(~test).groupBy("category", "month", DOW).agg(F.avg("quantity").alias("__mean"))
+    past = baselines.seasonal_naive(p.select(S, I, "date", "category", "month", DOW, "quantity")
+                                    .join(mean, ["category", "month", DOW], "left"),
+                                    y="quantity", days=naive_days, fallback="__mean", name="__naive")
+    j = past.where(test).join(daily.select(S, I, "date", F.col(col).alias("__plan")), [S, I, "date"], "left")
     j = j.withColumns({"plan": F.coalesce("__plan", F.lit(0.0)), "naive": F.coalesce("__naive", F.lit(0.0))})
-    return j.agg(metrics.wmape_expr("quantity", "plan").alias("plan_wmape"),
-                 metrics.wmape_expr("quantity", "naive").alias("naive_wmape"))
+    return j.agg(metrics.wmape_expr("quantity", "plan", positive_only=False).alias("plan_wmape"),
+                 metrics.wmape_expr("quantity", "naive", positive_only=False).alias("naive_wmape"))

@@ -2,7 +2,7 @@
 
 Cluster jobs get their session from the platform; ``local_session`` is for
 tests and the bench.  The checkpoint directory is read from the session and
-set only when the cluster has not named one.
+set only in local mode; a cluster session without one is an error.
 """
 
 from __future__ import annotations
@@ -40,6 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="tillcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
