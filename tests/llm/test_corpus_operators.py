@@ -318,6 +318,45 @@ def test_toxicity_learns_and_reads_whole_texts(spark):
     assert toxicity.train(["a", "b"], np.array([0, 0])) is None
 
 
+def test_toxicity_trains_on_long_texts(spark):
+    r = random.Random(1)
+    words = ["".join(r.choice("aeioulmnrst") for _ in range(r.randint(2, 7))) for _ in range(300)]
+    rows = []
+    bad = "vqxar vqxon vqxim vqxar"
+    for i in range(180):
+        # every text with the bad passage is long, 1,700 words and over 8,000 bytes, and half of the clean ones
+        w = [r.choice(words) for _ in range(1700 if i % 3 else r.randint(5, 120))]
+        if i % 3 == 1:
+            w[r.randrange(len(w))] = bad
+        rows.append((i, " ".join(w), int(i % 3 == 1)))
+    assert min(len(t) for _, t, y in rows if y) > 8_000
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    net = toxicity.fit(labelled)
+    fresh = _docs(spark, [(1, rows[0][1]), (2, f"{rows[0][1]} {bad}"), (3, rows[2][1]), (4, f"{rows[2][1]} {bad}")])
+    got = {x.doc_id: x.score for x in toxicity.score(fresh, net, ["doc_id"]).collect()}
+    assert got[1] < .5 < got[2] and got[3] < .5 < got[4]
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    rows = [(i, "x" * (10 if i % 4 else 5_000), i % 2) for i in range(40)] + [(40, None, 1), (41, "y", None)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: (texts, labels.tolist()))
+    hashed = labelled.select("*", F.xxhash64("doc_id").alias("h")).where("text IS NOT NULL").orderBy("h").collect()
+    for sample, size in ((2000, 10 ** 6), (7, 10 ** 6), (2000, 12_000), (2000, 1)):
+        want = []
+        for y in (0, 1):
+            n = 0
+            for k, t in enumerate(x.text for x in hashed if x.toxic == y):
+                if k < sample and n < size:
+                    want.append((t, y))
+                n += len(t)
+        assert list(zip(*toxicity.fit(labelled, sample=sample, sample_bytes=size))) == want
+    monkeypatch.undo()
+    assert toxicity.fit(labelled.where("toxic = 1")) is None
+    with pytest.raises(ValueError, match="both kinds"):
+        toxicity.fit(labelled.where("toxic = 0 OR text IS NULL"))
+
+
 def test_windows_cover_every_word():
     for n in range(0, 100):
         text, first, end = toxicity.windows_of(np.array([0, n]))

@@ -13,13 +13,14 @@ A text is scored whole: overlapping windows of ``WINDOW`` words every
 Training uses the same rule: the gradient goes through each text's highest
 window.
 
-Training rows are a bounded sample: ``SAMPLE`` rows of each label at most, the
-ones with the smallest id hashes, texts of up to ``SAMPLE_BYTES`` bytes.  The
-trained weights (a few MB) travel to the tasks with the function; scoring is a
+Training rows are a bounded sample of whole texts, whatever their length: those
+with the smallest id hashes of each label, ``SAMPLE`` rows at most, and no
+further row once they hold ``SAMPLE_BYTES`` bytes.  The trained weights (a few MB) travel to the tasks with the function; scoring is a
 map over Arrow batches.  A word's input sums are computed once a task.
 
 Defined results: a null or wordless text is one empty window; without labelled
-rows of both kinds every score is 0.  Rows repeat as given.
+rows of both kinds every score is 0.  Labelled rows of both kinds of which the
+sample has one only are an error.  Rows repeat as given.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 2000
-SAMPLE_BYTES = 8_000
+SAMPLE_BYTES = 8_000_000    # of the texts of a label
 WINDOW = 24
 STRIDE = 12
 BUCKETS = 1 << 17
@@ -43,6 +44,7 @@ HIDDEN = 8
 STEPS = 260
 BATCH = 48
 CHUNK_ROWS = 8192       # windows at once
+CHUNK_TEXTS = 256       # training texts whose word pieces are counted at once
 CACHE = 400_000
 SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -207,22 +209,31 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
     n1, n0 = labels.sum(), (1 - labels).sum()
     prior1, prior0 = PRIOR * n1 / len(labels), PRIOR * n0 / len(labels)     # an unseen unit has no odds
 
-    def odds(units):
-        units = np.unique(units)
-        d, b = units // BUCKETS, units % BUCKETS
-        c1 = np.bincount(b, labels[d], BUCKETS)
-        c0 = np.bincount(b, minlength=BUCKETS) - c1
+    def odds(parts):
+        c1, c0 = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for units in parts:
+            units = np.unique(units)
+            d, b = units // BUCKETS, units % BUCKETS
+            one = np.bincount(b, labels[d], BUCKETS)
+            c1 += one
+            c0 += np.bincount(b, minlength=BUCKETS) - one
         return np.log((c1 + prior1) / (n1 + prior1)) - np.log((c0 + prior0) / (n0 + prior0))
 
     pairs = np.unique(doc * len(words) + codes) if len(codes) else np.zeros(0, np.int64)
     pd_, pw = (pairs // len(words), pairs % len(words)) if len(words) else (pairs, pairs)
-    net.words[:, 0] = odds(pd_ * BUCKETS + bucket[pw]) / 2
+    cuts = np.searchsorted(pd_, np.arange(0, len(labels) + CHUNK_TEXTS, CHUNK_TEXTS))
+    blocks = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+    net.words[:, 0] = odds(pd_[k] * BUCKETS + bucket[pw[k]] for k in blocks) / 2
     size = np.array([len(p) for p in pieces])
     flat_p = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
     at = np.concatenate(([0], np.cumsum(size)))[:-1]
-    take = size[pw]
-    place = np.repeat(at[pw] - (np.cumsum(take) - take), take) + np.arange(take.sum())
-    net.chars[:, 0] = odds(np.repeat(pd_, take) * BUCKETS + flat_p[place]) / 2
+
+    def piece_units(k):
+        take = size[pw[k]]
+        place = np.repeat(at[pw[k]] - (np.cumsum(take) - take), take) + np.arange(take.sum())
+        return np.repeat(pd_[k], take) * BUCKETS + flat_p[place]
+
+    net.chars[:, 0] = odds(map(piece_units, blocks)) / 2
 
     vec = np.concatenate((net.inputs(words), np.zeros((1, 2 * DIM), np.float32)))
     pad = len(words)
@@ -234,13 +245,15 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
         pick = rng.integers(0, len(labels), BATCH)
         own = np.concatenate([np.arange(start[i], start[i + 1]) for i in pick])
         whose = np.repeat(np.arange(BATCH), start[pick + 1] - start[pick])
-        c, mask = _fill(codes, first[own], end[own], pad)
-        used, inv = np.unique(c, return_inverse=True)
-        s = net.sums(vec[used])
-        logit = net.forward(s[inv.reshape(c.shape)], mask)
+        logit = np.empty(len(own), np.float32)
+        for lo in range(0, len(own), CHUNK_ROWS):
+            some = own[lo:lo + CHUNK_ROWS]
+            c, mask = _fill(codes, first[some], end[some], pad)
+            used, inv = np.unique(c, return_inverse=True)
+            logit[lo:lo + CHUNK_ROWS] = net.forward(net.sums(vec[used])[inv.reshape(c.shape)], mask)
         order = np.lexsort((-logit, whose))
-        best = order[np.searchsorted(whose[order], np.arange(BATCH))]
-        cb, mb = c[:, best], mask[:, best]
+        best = own[order[np.searchsorted(whose[order], np.arange(BATCH))]]
+        cb, mb = _fill(codes, first[best], end[best], pad)
         _, g, dvec = net.gradient(vec[cb], mb, labels[pick].astype(np.float32), weight[pick].astype(np.float32))
         rate = .02 * min(1, step / 20) * (1 - .9 * step / steps)
         for k, v in net.p.items():
@@ -286,14 +299,25 @@ class Scorer:
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        sample: int = SAMPLE) -> Network | None:
+        sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network | None:
     """Train on a bounded sample of labelled rows (see the module's text)."""
     rows = labelled.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.col(f"`{label}`").cast("int").alias("y"))
-    rows = rows.where(F.octet_length("t") <= SAMPLE_BYTES)
-    got = []
+    rows = rows.where("y IN (0, 1)").withColumns({"h": F.xxhash64("k"), "u": F.xxhash64("t"), "b": F.octet_length("t")})
+    got, kinds = [], 0
     for y in (0, 1):
-        got += rows.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k", "t").limit(sample).collect()
-    return train([r["t"] for r in got], np.array([r["y"] for r in got]))
+        mine = rows.where(F.col("y") == y)
+        # sizes first, so that texts beyond the bound don't reach the driver; a row without a text teaches nothing
+        sized = mine.where("b IS NOT NULL").select("h", "k", "u", "b").orderBy("h", "k", "u").limit(sample).collect()
+        before = np.cumsum([0, *(r["b"] for r in sized)])[:-1]
+        n = int((before < sample_bytes).sum())
+        if n:
+            near = mine.where("b IS NOT NULL").where(F.col("h") <= sized[n - 1]["h"])
+            got += near.orderBy("h", "k", "u").limit(n).select("t", "y").collect()
+        kinds += bool(n) or bool(mine.limit(1).count())
+    labels = np.array([r["y"] for r in got])
+    if kinds == 2 and len(set(labels.tolist())) < 2:
+        raise ValueError(f"labelled rows of both kinds, but the sample ({sample} rows, {sample_bytes} bytes a label) has not both")
+    return train([r["t"] for r in got], labels)
 
 
 def score(docs: DataFrame, net: Network | None, carry: list[Column | str], text: str = "text") -> DataFrame:
