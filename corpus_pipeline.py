@@ -7,7 +7,8 @@ written as Parquet and read again.
 1. toxicity      documents that the network scores at 0.5 or more go
 2. jaccard       of documents with Jaccard similarity of 0.8 or more on
                  five-word shingles (linked directly or through others) the one
-                 with the smallest id stays; documents without words all stay
+                 with the smallest id stays, one row of it; other texts of that
+                 id are documents of their own; documents without words all stay
 3. substrings    bytes of passages of 50 bytes or more that a smaller id also
                  holds are cut; UTF-8 sequences that a cut splits go whole,
                  and n_chars is the new length.  Texts that were empty or null
@@ -40,12 +41,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"), words=SHINGLE_WORDS, share=SHINGLE_SHARE)
-    gone = (found.where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    found = jaccard.jaccard_components(docs.select("doc_id", "text"), words=SHINGLE_WORDS, share=SHINGLE_SHARE, keys=True)
+    found = found.where("component_key IS NOT NULL").select(F.struct("doc_id", "text_key").alias("row"), "component_key").distinct()
+    first = found.groupBy("component_key").agg(F.min("row").alias("stays"))
+    gone = (found.join(first, "component_key").where("row <> stays")
+            .select(F.col("row.doc_id").alias("gone"), F.col("row.text_key").alias("gone_key")))
+    kept = (docs.withColumn("__key", jaccard.text_key())
+            .join(gone, (F.col("doc_id") == F.col("gone")) & (F.col("__key") == F.col("gone_key")), "left_anti"))
     # repeated rows of one id are copies too where their texts are equal
-    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars", "lang", "source")
-    again = F.col("doc_id").isNotNull() & (F.trim(F.coalesce("text", F.lit(""))) != "") & (F.col("__n") > 1)
+    one = Window.partitionBy("doc_id", "__key").orderBy("n_chars", "lang", "source")
+    words = F.coalesce("text", F.lit("")).rlike(r"[^\t-\r ]")
+    again = F.col("doc_id").isNotNull() & words & (F.col("__n") > 1)
     return kept.withColumn("__n", F.row_number().over(one)).where(~again).select(*docs.columns)
 
 

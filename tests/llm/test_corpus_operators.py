@@ -278,6 +278,26 @@ def test_ngram_counts_and_language(spark):
     assert {r.lang_pred for r in few.collect()} == {"und"}
 
 
+def test_near_copies_of_clashing_ids(spark):
+    import corpus_pipeline
+    r = random.Random(4)
+
+    def prose():
+        return " ".join("".join(r.choice("aeioulmnrst") for _ in range(6)) for _ in range(80))
+
+    a, b, u, n = prose(), prose(), prose(), prose()
+    # an id's own text beside a copy, unlike texts that begin a component each, near texts under one id
+    rows = [(1, a), (2, a), (2, u), (1, b), (6, b), (3, n), (3, n + " end"), (5, u + " end"), (7, a), (7, a),
+            (4, ""), (4, ""), (8, "\n"), (8, "\n"), (None, a), (None, a), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.drop_near_copies(spark, docs, None).collect()]
+    near = [x for x in got if x[0] == 3]
+    assert len(near) == 1 and near[0] in rows
+    _same([x for x in got if x[0] != 3],
+          [(1, a), (2, u), (1, b), (4, ""), (4, ""), (8, "\n"), (8, "\n"), (None, a), (None, a), (9, None), (9, None)])
+
+
 # --- toxicity --------------------------------------------------------------
 
 def test_toxicity_network():

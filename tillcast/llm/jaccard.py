@@ -124,7 +124,7 @@ def need(n: np.ndarray, share: int) -> np.ndarray:
 
 
 def _arrow_sets(docs: DataFrame, words: int, share: int, full: bool) -> DataFrame:
-    """id, node, n and either the prefix or the whole set (array<long>) of every row of (id, t)."""
+    """id, key, node, n and either the prefix or the whole set (array<long>) of every row of (id, key, t)."""
     def run(batches):
         for batch in batches:
             for lo, hi, raw, offs in text_chunks(batch.column("t"), CHUNK):
@@ -138,10 +138,10 @@ def _arrow_sets(docs: DataFrame, words: int, share: int, full: bool) -> DataFram
                 flat = np.concatenate([np.zeros(0, np.uint64), *kept]).view(np.int64)
                 offsets = np.concatenate(([0], np.cumsum(take))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(lo, hi - lo), pa.array(node.view(np.int64)), pa.array(n),
+                    [batch.column("id").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo), pa.array(node.view(np.int64)), pa.array(n),
                      pa.array(need(n, share)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    ["id", "node", "n", "need", "grams"])
-    return docs.mapInArrow(run, "id long, node long, n long, need long, grams array<bigint>")
+                    ["id", "key", "node", "n", "need", "grams"])
+    return docs.mapInArrow(run, "id long, key long, node long, n long, need long, grams array<bigint>")
 
 
 def _linked(inter: Column, a: Column, b: Column, share: int) -> Column:
@@ -162,10 +162,20 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         now = nxt.select("node", "label")
 
 
+def text_key(text: str = "text") -> Column:
+    """Hash that tells apart the texts of an id."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
 def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = WORDS,
-                       share: int = SHARE) -> DataFrame:
-    """doc, n_shingles, component_id for every row of ``docs``."""
-    src = docs.select(F.col(f"`{doc}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+                       share: int = SHARE, keys: bool = False) -> DataFrame:
+    """doc, n_shingles, component_id for every row of ``docs``.
+
+    ``keys`` adds ``text_key`` and ``component_key``: components of unlike texts under one id can share
+    a component_id but not a component_key (null without a component).
+    """
+    src = docs.select(F.col(f"`{doc}`").cast("long").alias("id"), text_key(text).alias("key"),
+                      F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     rows = stage(_arrow_sets(src, words, share, full=False))
     points = stage(rows.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("label"), F.first("n").alias("n"), F.first("need").alias("need")))
@@ -250,7 +260,9 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     comp = points.select("node", F.col("label").alias("own")).join(found, "node", "left").select(
         "node", "own", F.coalesce("label", "node").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("own").alias("component"))
-    label = comp.join(least, "comp").select(F.col("node").alias("pnode"), "component")
-    out = rows.select("id", "node", "n").join(label, (F.col("node") == F.col("pnode")) & (F.col("n") > 0), "left")
+    label = comp.join(least, "comp").select(F.col("node").alias("pnode"), "component", "comp")
+    out = rows.select("id", "key", "node", "n").join(label, (F.col("node") == F.col("pnode")) & (F.col("n") > 0), "left")
+    more = [F.col("key").alias("text_key"), F.when(F.col("id").isNotNull(), F.col("comp")).alias("component_key")]
     return out.select(F.col("id").alias(doc), F.col("n").alias("n_shingles"),
-                      F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"))
+                      F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"),
+                      *(more if keys else []))
