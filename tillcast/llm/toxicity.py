@@ -303,17 +303,20 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     """Train on a bounded sample of labelled rows (see the module's text)."""
     rows = labelled.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.col(f"`{label}`").cast("int").alias("y"))
     rows = rows.where("y IN (0, 1)").withColumns({"h": F.xxhash64("k"), "u": F.xxhash64("t"), "b": F.octet_length("t")})
+    order = ["h", "k", "u"]
+    mine = [rows.where(F.col("y") == y) for y in (0, 1)]
+    # sizes first, so that texts beyond the bound don't reach the driver; a row without a text teaches nothing
+    sized = [r.where("b IS NOT NULL").select("y", *order, "b").orderBy(*order).limit(sample) for r in mine]
+    sized = sized[0].unionByName(sized[1]).collect()
     got, kinds = [], 0
     for y in (0, 1):
-        mine = rows.where(F.col("y") == y)
-        # sizes first, so that texts beyond the bound don't reach the driver; a row without a text teaches nothing
-        sized = mine.where("b IS NOT NULL").select("h", "k", "u", "b").orderBy("h", "k", "u").limit(sample).collect()
-        before = np.cumsum([0, *(r["b"] for r in sized)])[:-1]
+        own = sorted((r for r in sized if r["y"] == y), key=lambda r: r["h"])
+        before = np.cumsum([0, *(r["b"] for r in own)])[:-1]
         n = int((before < sample_bytes).sum())
         if n:
-            near = mine.where("b IS NOT NULL").where(F.col("h") <= sized[n - 1]["h"])
-            got += near.orderBy("h", "k", "u").limit(n).select("t", "y").collect()
-        kinds += bool(n) or bool(mine.limit(1).count())
+            near = mine[y].where("b IS NOT NULL").where(F.col("h") <= own[n - 1]["h"])
+            got += near.orderBy(*order).limit(n).select("t", "y").collect()
+        kinds += bool(n) or bool(mine[y].limit(1).count())
     labels = np.array([r["y"] for r in got])
     if kinds == 2 and len(set(labels.tolist())) < 2:
         raise ValueError(f"labelled rows of both kinds, but the sample ({sample} rows, {sample_bytes} bytes a label) has not both")
