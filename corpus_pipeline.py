@@ -16,8 +16,9 @@ written as Parquet and read again.
 4. benchmark     documents that the contamination rule flags go
 5. pieces        ids of the remaining texts, which decode to them
 
-``ORACLE_SQL`` is None: SQL can't express the first stage.  The stages are
-tested against brute force.
+``ORACLE_SQL`` is None: SQL can't express the first stage.  The operators are
+tested against brute force and stage 2 on clashing ids; the other stages and
+``run`` have no test of their own.
 """
 
 from __future__ import annotations
