@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spiece, toxicity, urlfilter, warc, winnow
+from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spelling, spiece, toxicity, urlfilter, warc, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,34 @@ def op3_toxicity(spark, sf_dir):
     out = toxicity.score(table(spark, sf_dir, "documents"), toxicity_network(spark, sf_dir),
                          ["doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out")])
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+MISSPELT = 97
+
+
+@register("op11_spelling", """
+WITH RECURSIVE c AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, [1,2,3,4,5,6,7,8]::UBIGINT[]),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)) AS tab),
+r AS (SELECT doc_id, run, count(*) AS m FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+h AS (SELECT run, m, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+    regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'), lambda x: ('0x' || x)::UBIGINT)),
+    lambda a, b: xor(a >> 8, tab[(xor(a & 255, b) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS h FROM r, c),
+w AS MATERIALIZED (SELECT word, sum(m)::BIGINT AS n FROM (SELECT m, CASE WHEN h % 97 = 0
+    THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word FROM h)
+    WHERE length(word) >= 5 GROUP BY 1 HAVING sum(m) >= 3),
+v AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS MATERIALIZED (SELECT a.word, b.word AS near FROM v a JOIN v b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+    UNION SELECT v.word, w.word FROM v JOIN w ON v.less = w.word UNION SELECT w.word, v.word FROM v JOIN w ON v.less = w.word),
+f AS MATERIALIZED (SELECT w.word, any_value(w.n) AS n, count(near)::BIGINT AS n_near, first(near ORDER BY x.n DESC, near) AS best, max(x.n) AS best_n
+    FROM w LEFT JOIN e USING (word) LEFT JOIN w x ON x.word = e.near GROUP BY 1),
+g AS MATERIALIZED (SELECT word, n, n_near, CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM f),
+k AS (SELECT word, word AS root FROM g UNION ALL SELECT k.word, g.form FROM k JOIN g ON g.word = k.root WHERE g.form IS NOT NULL)
+SELECT g.word, g.form, k.root, g.n, g.n_near, g.form_n FROM g JOIN k ON k.word = g.word JOIN g l ON l.word = k.root WHERE l.form IS NULL""")
+def op11_spelling(spark, sf_dir):
+    runs = spelling.word_runs(table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    at = h % F.length("run")
+    less = F.concat(F.expr("substring(run, 1, cast(at as int))"), F.expr("substring(run, cast(at as int) + 2)"))
+    runs = runs.withColumns({"h": h, "at": at})
+    return spelling.group_variants(spelling.word_counts(runs, F.when(F.col("h") % MISSPELT == 0, less).otherwise(F.col("run"))))
