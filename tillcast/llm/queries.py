@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spelling, spiece, toxicity, urlfilter, warc, winnow
+from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spelling, spiece, toxicity, urlfilter, warc, whitening, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,8 @@ def op11_spelling(spark, sf_dir):
     less = F.concat(F.expr("substring(run, 1, cast(at as int))"), F.expr("substring(run, cast(at as int) + 2)"))
     runs = runs.withColumns({"h": h, "at": at})
     return spelling.group_variants(spelling.word_counts(runs, F.when(F.col("h") % MISSPELT == 0, less).otherwise(F.col("run"))))
+
+
+@register("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
