@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillcast.session import stage
 
-__all__ = ["stage", "table", "ascii_lower", "text_chunks", "mix64", "buckets_for", "same_key"]
+__all__ = ["stage", "table", "ascii_lower", "text_chunks", "mix64", "buckets_for", "same_key", "carried"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -30,6 +30,13 @@ def ascii_lower(c: Column) -> Column:
     return F.when(plain, F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+def carried(df: DataFrame, carry: list[Column | str], results: list[str]) -> list[Column]:
+    """The columns to carry; one named like a result column becomes ``input_<name>``."""
+    names = df.select(*carry).columns
+    cols = [F.col(f"`{c}`") if isinstance(c, str) else c for c in carry]
+    return [c.alias(f"input_{n}") if n in results else c for c, n in zip(cols, names)]
+
+
 def same_key(df: DataFrame, other: DataFrame, cols: list[str]) -> Column:
     """Null-safe equality of ``cols`` in both frames."""
     cond = F.lit(True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import ann, exactdedup, jaccard, langid, sharding, spelling, spiece, toxicity, urlfilter, warc, whitening, winnow
+from tillcast.llm import ann, exactdedup, jaccard, langid, pii, sharding, spelling, spiece, toxicity, urlfilter, warc, whitening, winnow
 from tillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,13 @@ def op11_spelling(spark, sf_dir):
 @register("op12_whitening")
 def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_private")
+def op13_private(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = pii.find(docs, pii.fit(docs), ["doc_id"])
+    listed = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.array_join(F.transform(F.filter("spans", lambda x: x["base"]), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    counts = [F.expr(f"cast(size(filter(spans, x -> x.base AND x.kind = '{k}')) AS long)").alias(f"n_{k}") for k in pii.BASE]
+    return out.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
