@@ -21,7 +21,8 @@ distinct vector once.  Then:
 
 What reaches the driver is of the size of the dimension times the rank, never of
 the rows.  Exact sums and deviations are whole-number arithmetic (Python integers
-where 64 bits could overflow); a deviation beyond 64 bits is null.
+where 64 bits could overflow); a deviation beyond 64 bits is null, and an entry
+beyond them counts as the largest or smallest there is.
 
 Defined results: vectors null, empty or with null or non-finite entries take no
 part and have no row; nor have vectors of another length than most vectors (ties:
