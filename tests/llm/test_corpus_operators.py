@@ -351,7 +351,7 @@ def test_toxicity_trains_on_long_texts(spark):
         rows.append((i, " ".join(w), int(i % 3 == 1)))
     assert min(len(t) for _, t, y in rows if y) > 8_000
     labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    net = toxicity.fit(labelled)
+    net = toxicity.fit(labelled, labelled)
     fresh = _docs(spark, [(1, rows[0][1]), (2, f"{rows[0][1]} {bad}"), (3, rows[2][1]), (4, f"{rows[2][1]} {bad}")])
     got = {x.doc_id: x.score for x in toxicity.score(fresh, net, ["doc_id"]).collect()}
     assert got[1] < .5 < got[2] and got[3] < .5 < got[4]
@@ -361,20 +361,62 @@ def test_toxicity_sample_is_bounded(spark, monkeypatch):
     rows = [(i, "x" * (10 if i % 4 else 5_000), i % 2) for i in range(40)] + [(40, None, 1), (41, "y", None)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     monkeypatch.setattr(toxicity, "train", lambda texts, labels: (texts, labels.tolist()))
-    hashed = labelled.select("*", F.xxhash64("doc_id").alias("h")).where("text IS NOT NULL").orderBy("h").collect()
+    hashed = labelled.select("*", F.xxhash64("doc_id").alias("h")).where("toxic IS NOT NULL").orderBy("h").collect()
     for sample, size in ((2000, 10 ** 6), (7, 10 ** 6), (2000, 12_000), (2000, 1)):
         want = []
         for y in (0, 1):
             n = 0
-            for k, t in enumerate(x.text for x in hashed if x.toxic == y):
-                if k < sample and n < size:
+            # ids are chosen by label; a chosen row without a text teaches nothing
+            for t in [x.text for x in hashed if x.toxic == y][:sample]:
+                if t is not None and n < size:
                     want.append((t, y))
-                n += len(t)
-        assert list(zip(*toxicity.fit(labelled, sample=sample, sample_bytes=size))) == want
+                n += len(t or "")
+        assert list(zip(*toxicity.fit(labelled, labelled, sample=sample, sample_bytes=size))) == want
     monkeypatch.undo()
-    assert toxicity.fit(labelled.where("toxic = 1")) is None
+    assert toxicity.fit(labelled, labelled.where("toxic = 1")) is None
     with pytest.raises(ValueError, match="both kinds"):
-        toxicity.fit(labelled.where("toxic = 0 OR text IS NULL"))
+        toxicity.fit(labelled.where("toxic = 0 OR text IS NULL"), labelled)
+
+
+def test_toxicity_scores_equal_a_plain_forward_pass(spark):
+    """Every window of a text by loops over words and hidden units; the text's score is the worst window's."""
+    net = toxicity.Network(5)
+    r = random.Random(9)
+    texts = [" ".join(r.choice(["ab", "cde", "fghij", "k"]) for _ in range(n)) for n in (0, 1, 5, 24, 25, 40, 61)]
+
+    def sig(x):
+        return 1 / (1 + np.exp(-x))
+
+    def plain(words):
+        if not words:
+            return sig(float(net.p["c"][0]))
+        x = [net.inputs([w.encode()])[0].astype(float) for w in words]
+        sides = []
+        for d in "fb":
+            h, out = np.zeros(toxicity.HIDDEN), []
+            for v in x if d == "f" else x[::-1]:
+                a, u = v @ net.p["W" + d] + net.p["b" + d], h @ net.p["U" + d]
+                H = toxicity.HIDDEN
+                z, reset = sig(a[:H] + u[:H]), sig(a[H:2 * H] + u[H:2 * H])
+                h = (1 - z) * np.tanh(a[2 * H:] + reset * u[2 * H:]) + z * h
+                out.append(h)
+            sides.append(out if d == "f" else out[::-1])
+        states = [np.concatenate(s) for s in zip(*sides)]
+        e = np.exp([s @ net.p["a"] for s in states])
+        return sig(sum(w * s for w, s in zip(e / e.sum(), states)) @ net.p["o"] + float(net.p["c"][0]))
+
+    want = {}
+    for i, t in enumerate(texts):
+        w = t.split()
+        starts = range(0, max(len(w) - toxicity.WINDOW + toxicity.STRIDE, 1), toxicity.STRIDE)
+        want[i] = max(plain(w[a:a + toxicity.WINDOW]) for a in starts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("score", F.lit("mine"))
+    out = toxicity.score(docs, net, ["doc_id", "score"])
+    assert out.columns == ["doc_id", "input_score", "score"]
+    got = {x.doc_id: x.score for x in out.collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-5 for i in want)
+    assert [x.score for x in toxicity.score(docs, None, ["doc_id"]).collect()] == [0.0] * len(texts)
+    assert toxicity.score(docs.where("false"), net, ["doc_id"]).collect() == []
 
 
 def test_windows_cover_every_word():

@@ -146,9 +146,8 @@ def op2_jaccard(spark, sf_dir):
 
 def toxicity_network(spark, sf_dir):
     """Network trained on the labelled documents outside the held-out fold."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rows = docs.join(labels.where("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id").where(~held_out())
-    return toxicity.fit(rows)
+    labels = table(spark, sf_dir, "labels").where("toxic IS NOT NULL").where(~held_out())
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
 
 
 @register("op3_toxicity")

@@ -3,8 +3,8 @@
 Inputs of a word: a hashed word embedding and a character vector (hashed
 4-character pieces of the framed word: the largest of the first component, the
 mean of the others).  The first components start from smoothed log-odds of the
-training labels, the others from fixed random numbers; word embeddings and all
-network weights are trained.  Two gated recurrent layers read a window of
+training labels, the others from fixed random numbers; word embeddings, character
+vectors and all network weights are trained.  Two gated recurrent layers read a window of
 words in both directions, attention weighs their states, and a logistic unit
 scores the window.
 
@@ -19,7 +19,8 @@ further row once they hold ``SAMPLE_BYTES`` bytes.  The trained weights (a few M
 map over Arrow batches.  A word's input sums are computed once a task.
 
 Defined results: a null or wordless text is one empty window; without labelled
-rows of both kinds every score is 0.  Labelled rows of both kinds of which the
+rows of both kinds every score is 0.  A carried column named ``score`` is returned
+as ``input_score``.  Labelled rows of both kinds of which the
 sample has one only are an error.  Rows repeat as given.
 """
 
@@ -33,6 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm.common import carried, stage
+
 SAMPLE = 2000
 SAMPLE_BYTES = 8_000_000    # of the texts of a label
 WINDOW = 24
@@ -201,8 +204,16 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
     enc = flat.dictionary_encode()
     words = [w.encode() for w in enc.dictionary.to_pylist()]
     codes = enc.indices.to_numpy().astype(np.int64)
-    bucket = np.array([_hash(w) for w in words], np.int64)
-    pieces = [np.unique(_pieces(w)) for w in words]
+    bucket = np.fromiter(map(_hash, words), np.int64, len(words))
+    size = np.empty(len(words), np.int32)
+    flat_p = np.empty(sum(map(len, words)) + 2 * len(words), np.int32)
+    end = 0
+    for i, w in enumerate(words):
+        own = _pieces(w)
+        size[i] = len(own)
+        flat_p[end:end + len(own)] = own
+        end += len(own)
+    flat_p = flat_p[:end]
 
     # smoothed log-odds of presence: words, and the pieces of words
     doc = np.repeat(np.arange(len(labels)), np.diff(offs))
@@ -224,18 +235,30 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
     cuts = np.searchsorted(pd_, np.arange(0, len(labels) + CHUNK_TEXTS, CHUNK_TEXTS))
     blocks = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
     net.words[:, 0] = odds(pd_[k] * BUCKETS + bucket[pw[k]] for k in blocks) / 2
-    size = np.array([len(p) for p in pieces])
-    flat_p = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
-    at = np.concatenate(([0], np.cumsum(size)))[:-1]
+    at = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))[:-1]
 
     def piece_units(k):
         take = size[pw[k]]
         place = np.repeat(at[pw[k]] - (np.cumsum(take) - take), take) + np.arange(take.sum())
-        return np.repeat(pd_[k], take) * BUCKETS + flat_p[place]
+        return np.repeat(pd_[k], take) * BUCKETS + flat_p[place].astype(np.int64)
 
     net.chars[:, 0] = odds(map(piece_units, blocks)) / 2
 
-    vec = np.concatenate((net.inputs(words), np.zeros((1, 2 * DIM), np.float32)))
+    def vectors(who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Input vectors of word numbers (the pad's are zeros), and the places and owners of their pieces."""
+        real = who[who < len(words)]
+        n = size[real].astype(np.int64)
+        start = np.cumsum(n) - n
+        place = np.repeat(at[real] - start, n) + np.arange(n.sum())
+        out = np.zeros((len(who), 2 * DIM), np.float32)
+        if len(real):
+            e = net.chars[flat_p[place]]
+            mine = out[:len(real)]      # the pad has the largest number
+            mine[:, :DIM] = net.words[bucket[real]]
+            mine[:, DIM:] = np.add.reduceat(e, start, axis=0) / n[:, None]
+            mine[:, DIM] = np.maximum.reduceat(e[:, 0], start)
+        return out, flat_p[place], np.repeat(np.arange(len(real)), n)
+
     pad = len(words)
     text, first, end = windows_of(offs)
     start = np.searchsorted(text, np.arange(len(labels) + 1))
@@ -250,21 +273,29 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
             some = own[lo:lo + CHUNK_ROWS]
             c, mask = _fill(codes, first[some], end[some], pad)
             used, inv = np.unique(c, return_inverse=True)
-            logit[lo:lo + CHUNK_ROWS] = net.forward(net.sums(vec[used])[inv.reshape(c.shape)], mask)
+            logit[lo:lo + CHUNK_ROWS] = net.forward(net.sums(vectors(used)[0])[inv.reshape(c.shape)], mask)
         order = np.lexsort((-logit, whose))
         best = own[order[np.searchsorted(whose[order], np.arange(BATCH))]]
         cb, mb = _fill(codes, first[best], end[best], pad)
-        _, g, dvec = net.gradient(vec[cb], mb, labels[pick].astype(np.float32), weight[pick].astype(np.float32))
+        used, inv = np.unique(cb, return_inverse=True)
+        vec, piece, owner = vectors(used)
+        _, g, dvec = net.gradient(vec[inv.reshape(cb.shape)], mb, labels[pick].astype(np.float32), weight[pick].astype(np.float32))
         rate = .02 * min(1, step / 20) * (1 - .9 * step / steps)
         for k, v in net.p.items():
             a, b = mom[k]
             a[:] = .9 * a + .1 * g[k]
             b[:] = .99 * b + .01 * g[k] ** 2
             v -= (rate * (a / (1 - .9 ** step)) / (np.sqrt(b / (1 - .99 ** step)) + 1e-6)).astype(np.float32)
-        touched = cb[mb]
-        np.add.at(net.words, bucket[touched], -.05 * rate * dvec[mb][:, :DIM])
-        again = np.unique(touched)
-        vec[again, :DIM] = net.words[bucket[again]]
+        # a word's gradient goes to its embedding and to its pieces: the largest first component, the mean of the others
+        dword = np.zeros((len(used), 2 * DIM), np.float32)
+        np.add.at(dword, inv.reshape(cb.shape)[mb], dvec[mb])
+        real = used < len(words)
+        np.add.at(net.words, bucket[used[real]], -.05 * rate * dword[real, :DIM])
+        part = dword[owner, DIM:]
+        top = net.chars[piece, 0] == vec[owner, DIM]
+        part[:, 0] *= top
+        part[:, 1:] /= size[used[owner]][:, None]
+        np.add.at(net.chars, piece, -.05 * rate * part)
     return net
 
 
@@ -298,35 +329,50 @@ class Scorer:
         return _sigmoid(best)
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+def choose(labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
+    """k, y of the ``sample`` smallest id hashes of each label, from the narrow label table alone (repeated rows once)."""
+    rows = labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y")).where("y IN (0, 1) AND k IS NOT NULL").distinct()
+    rows = rows.withColumn("h", F.xxhash64("k"))
+    mine = [rows.where(F.col("y") == y).orderBy("h", "k").limit(sample) for y in (0, 1)]
+    return mine[0].unionByName(mine[1]).select("k", "y")
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network | None:
-    """Train on a bounded sample of labelled rows (see the module's text)."""
-    rows = labelled.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.col(f"`{label}`").cast("int").alias("y"))
-    rows = rows.where("y IN (0, 1)").withColumns({"h": F.xxhash64("k"), "u": F.xxhash64("t"), "b": F.octet_length("t")})
+    """Train on a bounded sample of labelled rows (see the module's text).
+
+    Ids are chosen in the label table, 2 x ``sample`` at most, and broadcast: ``docs`` is scanned once and no text
+    is shuffled but those of the chosen ids, which are staged.  Rows without a text teach nothing.
+    """
+    ids = choose(labels, key, label, sample)
+    src = docs.select(F.col(f"`{key}`").alias("dk"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL")
+    got = stage(src.join(F.broadcast(ids), F.col("dk") == F.col("k")).select("k", "y", "t"))
+    sized = got.select("y", F.xxhash64("k").alias("h"), "k", F.xxhash64("t").alias("u"), F.octet_length("t").alias("b"))
     order = ["h", "k", "u"]
-    mine = [rows.where(F.col("y") == y) for y in (0, 1)]
-    # sizes first, so that texts beyond the bound don't reach the driver; a row without a text teaches nothing
-    sized = [r.where("b IS NOT NULL").select("y", *order, "b").orderBy(*order).limit(sample) for r in mine]
+    sized = [sized.where(F.col("y") == y).orderBy(*order).limit(sample) for y in (0, 1)]
     sized = sized[0].unionByName(sized[1]).collect()
-    got, kinds = [], 0
+    texts, labelled = [], []
     for y in (0, 1):
-        own = sorted((r for r in sized if r["y"] == y), key=lambda r: r["h"])
+        own = sorted((r for r in sized if r["y"] == y), key=lambda r: (r["h"], r["k"], r["u"]))
         before = np.cumsum([0, *(r["b"] for r in own)])[:-1]
         n = int((before < sample_bytes).sum())
         if n:
-            near = mine[y].where("b IS NOT NULL").where(F.col("h") <= own[n - 1]["h"])
-            got += near.orderBy(*order).limit(n).select("t", "y").collect()
-        kinds += bool(n) or bool(mine[y].limit(1).count())
-    labels = np.array([r["y"] for r in got])
-    if kinds == 2 and len(set(labels.tolist())) < 2:
-        raise ValueError(f"labelled rows of both kinds, but the sample ({sample} rows, {sample_bytes} bytes a label) has not both")
-    return train([r["t"] for r in got], labels)
+            near = got.where((F.col("y") == y) & (F.xxhash64("k") <= own[n - 1]["h"]))
+            near = near.orderBy(F.xxhash64("k"), "k", F.xxhash64("t")).limit(n).select("t").collect()
+            texts += [r["t"] for r in near]
+            labelled += [y] * len(near)
+    if len(set(labelled)) < 2:
+        kinds = {r["y"] for r in ids.select("y").distinct().collect()}
+        if kinds == {0, 1} and texts:
+            raise ValueError(f"labelled rows of both kinds, but the sample ({sample} rows, {sample_bytes} bytes a label) has texts of one only")
+        return None
+    return train(texts, np.array(labelled))
 
 
 def score(docs: DataFrame, net: Network | None, carry: list[Column | str], text: str = "text") -> DataFrame:
     """carry..., score of every whole text."""
-    src = docs.select(*carry, F.col(f"`{text}`").alias("__text"))
-    fields = src.drop("__text").schema.fields
+    src = docs.select(*carried(docs, carry, ["score"]), F.col(f"`{text}`").alias("__text"))
+    fields = src.schema.fields[:-1]
     kept = [f.name for f in fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
