@@ -38,11 +38,11 @@ def w1_w2_dense_series_stats(spark, sf):
 
 
 @register("w1_dense_calendar_lag_364", with_dense("""
-SELECT d.store_id, d.item_id, d.date, round(p.quantity, 6) AS lag_364
-FROM dense d LEFT JOIN dense p
-  ON p.store_id = d.store_id AND p.item_id = d.item_id AND p.date = CAST(d.date - INTERVAL 364 DAY AS DATE)"""))
+SELECT store_id, item_id, date, round(max(quantity) OVER (PARTITION BY store_id, item_id ORDER BY date
+         RANGE BETWEEN INTERVAL 364 DAY PRECEDING AND INTERVAL 364 DAY PRECEDING), 6) AS lag_364
+FROM dense"""))
 def w1_dense_calendar_lag_364(spark, sf):
-    """W1 calendar mode (equi self-join on the shifted date)."""
+    """W1 calendar mode (one-day RANGE frames)."""
     d = star.panel_dense(spark, sf, HZ)
     out = windows.lags(d, "quantity", [364], mode="calendar")
     return rounded(out.select("store_id", "item_id", "date", "lag_364"))

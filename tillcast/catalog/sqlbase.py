@@ -5,7 +5,7 @@ raw tables (``lineitem part supplier nation region``), used only to check the
 Spark results.
 """
 
-PANEL_CTE = r"""
+_FACTS = r"""
 li AS (
   SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_discount, CAST(l_shipdate AS DATE) AS date
   FROM lineitem
@@ -25,6 +25,22 @@ agg AS (
          min(l_orderkey) AS min_ok, max(l_discount) AS max_disc
   FROM li JOIN parts ON l_partkey = p_partkey JOIN stores ON l_suppkey = s_suppkey
   GROUP BY sk, r_name, item_id, category, date),
+"""
+
+# the rows that become the panel: what was observed, or that before the test start and every cell from it on
+_OBSERVED = r"""
+cells AS (SELECT * FROM agg),
+"""
+_FUTURE = r"""
+cells AS (
+  SELECT sk, r_name, item_id, category, date, qty, min_ok, max_disc FROM agg WHERE date < DATE '2000-10-01'
+  UNION ALL
+  SELECT s.sk, s.r_name, i.item_id, i.category, CAST(t.d AS DATE), NULL, NULL, 0.0
+  FROM (SELECT DISTINCT sk, r_name FROM stores) s, (SELECT DISTINCT item_id, category FROM parts) i,
+       generate_series(DATE '2000-10-01', DATE '2000-12-31', INTERVAL 1 DAY) t(d)),
+"""
+
+_PANEL = r"""
 base AS (
   SELECT date, 'S' || lpad(CAST(sk AS VARCHAR), 2, '0') AS store_id, item_id,
          r_name || '-' || CAST(sk % 2 AS VARCHAR) AS city, r_name AS state, category,
@@ -32,7 +48,7 @@ base AS (
          CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
          CAST(isodow(date) - 1 AS INTEGER) AS day_of_week_num,
          CAST(dayofyear(date) AS INTEGER) AS doy, sk, max_disc
-  FROM agg JOIN item_price USING (item_id)),
+  FROM cells JOIN item_price USING (item_id)),
 base2 AS (
   SELECT *, 70.0 - abs(doy - 200) * 0.25 + CAST(sk % 5 AS DOUBLE) AS avg_temp_f,
          CAST(greatest((doy * 7 + sk * 13) % 10 - 5, 0) AS DOUBLE) / 5.0 AS precip_inches,
@@ -66,6 +82,9 @@ prep AS (
 train AS (SELECT * FROM prep WHERE date < DATE '2000-10-01' AND quantity_filled IS NOT NULL)
 """
 
+PANEL_CTE = _FACTS + _OBSERVED + _PANEL
+FUTURE_CTE = _FACTS + _FUTURE + _PANEL
+
 DENSE_CTE = r"""
 dli AS (
   SELECT l_partkey, l_suppkey, l_quantity, CAST(l_shipdate AS DATE) AS date FROM lineitem
@@ -98,8 +117,9 @@ def clip(x: str, lo=None, hi=None) -> str:
     return f"(CASE {' '.join(parts)} ELSE ({x}) END)"
 
 
-def with_panel(body: str) -> str:
-    return "WITH " + PANEL_CTE + "\n" + body
+def with_panel(body: str, future: bool = False) -> str:
+    """``future``: the complete grid from the test start on in place of the cells that sold."""
+    return "WITH " + (FUTURE_CTE if future else PANEL_CTE) + "\n" + body
 
 
 def with_dense(body: str) -> str:

@@ -11,15 +11,16 @@ def grid_values(grid=None) -> str:
     return ", ".join(f"({g}, {a!r}::DOUBLE, {b!r}::DOUBLE, {c!r}::DOUBLE)" for g, a, b, c in grid)
 
 
-def forecast_cte(grid=None) -> str:
-    dom = clip("coalesce(f.struct_rimdow, f.struct_cmdow) * f.holiday_mult * f.event_mult"
-               " * (1.0 + f.weather_impact) * f.store_growth_mult * f.promo_lift_cat", lo=0.0)
+def forecast_cte(grid=None, last: str = "0.0") -> str:
+    raw = ("coalesce(f.struct_rimdow, f.struct_cmdow) * f.holiday_mult * f.event_mult"
+           " * (1.0 + f.weather_impact) * f.store_growth_mult * f.promo_lift_cat")
+    dom = clip(raw, lo=0.0)
     return f"""
 , MEM AS (
   SELECT f.date, f.store_id, f.item_id, f.category, f.month, f.quantity, f.quantity_filled, f.struct_rimdow,
-         coalesce(f.struct_rimdow, f.struct_cmdow, 0.0) AS m_struct,
-         coalesce({dom}, 0.0) AS m_domain,
-         coalesce(n.quantity_filled, f.struct_cmdow, 0.0) AS m_naive,
+         coalesce(f.struct_rimdow, f.struct_cmdow, {last}) AS m_struct,
+         coalesce({dom}, {last}) AS m_domain, coalesce({raw}, {last}) AS m_domain_raw,
+         coalesce(n.quantity_filled, f.struct_cmdow, {last}) AS m_naive,
          CASE WHEN f.date >= DATE '1999-10-01' AND f.date <= DATE '1999-12-31' AND f.quantity_filled IS NOT NULL
               THEN 'val' WHEN f.date >= DATE '2000-10-01' THEN 'test' END AS split
   FROM FEATS f LEFT JOIN FEATS n
@@ -42,6 +43,8 @@ BL AS (SELECT m.*, w.w1, w.w2, w.w3, coalesce(w.w1, 0.33) * m.m_struct + coalesc
        FROM MEMS m LEFT JOIN WEIGHTS w USING (store_id)),
 BIAS AS (SELECT store_id, CASE WHEN avg(ensemble) > 0 THEN avg(quantity_filled) / avg(ensemble) ELSE 1.0 END AS bias
          FROM BL WHERE split = 'val' GROUP BY store_id),
-PRED AS (SELECT b.*, bi.bias, {clip('b.ensemble * coalesce(bi.bias, 1.0)', lo=0.0)} AS predicted
+PRED AS (SELECT b.*, bi.bias,
+                (coalesce(b.w1, 0.33) * b.m_struct + coalesce(b.w2, 0.33) * b.m_domain_raw + coalesce(b.w3, 0.34) * b.m_naive)
+                * coalesce(bi.bias, 1.0) AS raw_prediction, {clip('b.ensemble * coalesce(bi.bias, 1.0)', lo=0.0)} AS predicted
          FROM BL b LEFT JOIN BIAS bi USING (store_id))
 """

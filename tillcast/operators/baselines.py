@@ -21,10 +21,14 @@ def structural(f: DataFrame) -> Column:
 def domain_forecast(f: DataFrame | None = None) -> Column:
     """Base x holiday x event x (1 + elasticity x temperature deviation)
     x store growth x promotion lift, clipped at 0 (the model-free formula chain)."""
+    return fn.clip(domain_raw(), lo=0.0)
+
+
+def domain_raw() -> Column:
+    """The formula before the clip: a weather impact below -1 makes it negative."""
     base = F.coalesce(F.col("struct_rimdow"), F.col("struct_cmdow"))
-    raw = (base * F.col("holiday_mult") * F.col("event_mult") * (F.lit(1.0) + F.col("weather_impact"))
-           * F.col("store_growth_mult") * F.col("promo_lift_cat"))
-    return fn.clip(raw, lo=0.0)
+    return (base * F.col("holiday_mult") * F.col("event_mult") * (F.lit(1.0) + F.col("weather_impact"))
+            * F.col("store_growth_mult") * F.col("promo_lift_cat"))
 
 
 def series_regression(p: DataFrame, x: str = "avg_temp_f", y: str = TARGET, keys=KEYS,

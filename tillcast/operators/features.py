@@ -274,9 +274,10 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
     # pre-aggregated once to sums and counts at that grain and every coarser
     # mean or total is summed from that small table (one pass over the fact).
     xs = F.col(x)
-    fine = grain.group_agg(t, [S, I, M, D, "category", "city", "state", "component_group"],
-                           __s=F.sum(xs), __n=F.count(xs),
-                           __ss=F.sum(F.when(season, xs)), __sn=F.count(F.when(season, xs)))
+    # staged: ten coarser grains read it, and no reuse of an exchange serves them all
+    fine = keep(grain.group_agg(t, [S, I, M, D, "category", "city", "state", "component_group"],
+                                __s=F.sum(xs), __n=F.count(xs),
+                                __ss=F.sum(F.when(season, xs)), __sn=F.count(F.when(season, xs))))
 
     gm = grain.scalar(fine, fn.safe_div(F.sum("__s"), F.sum("__n")))
 
@@ -321,8 +322,9 @@ def build_features(p: DataFrame, hz: Horizon = DEFAULT, cat: Catalog = DRIVER_CA
                                           F.sum("__rest_total").over(Window.partitionBy("city", M)), 1)
                      .alias("rest_city_share"), *[v.alias(k) for k, v in ratio_cols.items()])
     # holiday / event lifts from one pre-aggregate (NULL names are real groups here)
-    flags = (t.groupBy("category", "is_holiday", "holiday_name", "is_special_event", "special_event_name")
-              .agg(F.sum(xs).alias("__s"), F.count(xs).alias("__n")))
+    # staged: eight lifts and baselines read it
+    flags = keep(t.groupBy("category", "is_holiday", "holiday_name", "is_special_event", "special_event_name")
+                  .agg(F.sum(xs).alias("__s"), F.count(xs).alias("__n")))
     lift = dict(sum_col="__s", cnt_col="__n")
     hol = grain.lift_vs_baseline(flags, "is_holiday", x, "holiday_mult", level="holiday_name", **lift)
     cat_hol = grain.lift_vs_baseline(flags, "is_holiday", x, "cat_holiday_mult", by="category",

@@ -29,17 +29,20 @@ def lag_columns(x: str, ns: Sequence[int], keys: Sequence[str] = KEYS, order: st
 
 def lags(p: DataFrame, x: str, ns: Sequence[int], keys: Sequence[str] = KEYS, order: str = "date",
          mode: str = "row", prefix: str = "lag_") -> DataFrame:
-    """W1.  ``mode='calendar'``: value at exactly ``date - n`` days (equi self-join on the
-    shifted date), NULL when that day has no row — correct on sparse panels."""
+    """W1.  ``mode='calendar'``: value at exactly ``date - n`` days, NULL when that day has no row —
+    correct on sparse panels.  One-day RANGE frames on the day number, so all lags share the one
+    series sort and nothing is joined."""
     if mode == "row":
         return p.withColumns(lag_columns(x, ns, keys, order, prefix))
     if mode != "calendar":
         raise ValueError(mode)
-    out = p
-    for n in ns:
-        src = p.select(*keys, F.date_add(order, n).alias(order), F.col(x).alias(f"{prefix}{n}"))
-        out = out.join(src, [*keys, order], "left")
-    return out
+    return p.withColumns(calendar_lag_columns(x, ns, keys, order, prefix))
+
+
+def calendar_lag_columns(x: str, ns: Sequence[int], keys: Sequence[str] = KEYS, order: str = "date",
+                         prefix: str = "lag_") -> dict[str, Column]:
+    w = Window.partitionBy(*keys).orderBy(F.unix_date(order))
+    return {f"{prefix}{n}": F.first(x).over(w.rangeBetween(-n, -n)) for n in ns}
 
 
 def rolling_expr(x: str, n: int, fn_: str = "mean", min_periods: int = 1, shift: int = 0,
@@ -110,5 +113,5 @@ def lag_null_audit(p: DataFrame, cols: Sequence[str], where: Column | None = Non
     return null_audit(p, cols, where)
 
 
-__all__ = ["series_window", "lag_columns", "lags", "rolling_expr", "rolling", "store_order_memory",
+__all__ = ["series_window", "lag_columns", "lags", "calendar_lag_columns", "rolling_expr", "rolling", "store_order_memory",
            "store_date_memory", "lag_null_audit", "fn"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tillcast import functions as fn
 from tillcast.horizon import DEFAULT, Horizon
 from tillcast.operators import baselines, ensemble, metrics
+from tillcast.operators.features import build_features
 from tillcast.operators.prep import TARGET
 from tillcast.session import stage
 
@@ -24,14 +25,19 @@ MEMBERS = ("m_struct", "m_domain", "m_naive")
 ID_COLS = ("date", "store_id", "item_id", "category", "month", "quantity", TARGET)
 
 
-def member_frame(f: DataFrame) -> DataFrame:
-    """Closed-form members on a feature frame (NULL members fall back to 0)."""
+def member_frame(f: DataFrame, last: str | None = None) -> DataFrame:
+    """Closed-form members on a feature frame.
+
+    A member that is NULL (neither the series nor its category has history for the month and weekday) falls back
+    to the column ``last``, or to 0 without one.  ``m_domain_raw`` is the formula before its clip at 0.
+    """
     f = baselines.seasonal_naive(f)
-    zero = F.lit(0.0)
+    end = F.lit(0.0) if last is None else F.coalesce(F.col(last), F.lit(0.0))
     return f.select(*ID_COLS, "struct_rimdow",
-                    F.coalesce(baselines.structural(f), zero).alias("m_struct"),
-                    F.coalesce(baselines.domain_forecast(f), zero).alias("m_domain"),
-                    F.coalesce(F.col("seasonal_naive"), zero).alias("m_naive"))
+                    F.coalesce(baselines.structural(f), end).alias("m_struct"),
+                    F.coalesce(baselines.domain_forecast(f), end).alias("m_domain"),
+                    F.coalesce(F.col("seasonal_naive"), end).alias("m_naive"),
+                    F.coalesce(baselines.domain_raw(), end).alias("m_domain_raw"))
 
 
 def with_split(df: DataFrame, hz: Horizon = DEFAULT, target: str = TARGET) -> DataFrame:
@@ -40,18 +46,32 @@ def with_split(df: DataFrame, hz: Horizon = DEFAULT, target: str = TARGET) -> Da
 
 
 def ensemble_forecast(f: DataFrame, hz: Horizon = DEFAULT, members: Sequence[str] = MEMBERS,
-                      grid=None, by=("store_id",)) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Returns (predictions with split/ensemble/predicted, weights, bias factors)."""
-    m = stage(with_split(member_frame(f), hz).where(F.col("split").isNotNull()))
+                      grid=None, by=("store_id",), last: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Returns (predictions with split/ensemble/predicted/raw_prediction, weights, bias factors).
+
+    ``raw_prediction`` blends the members before their clips at 0; ``last``: see ``member_frame``.
+    """
+    m = stage(with_split(member_frame(f, last), hz).where(F.col("split").isNotNull()))
     val = m.where(F.col("split") == "val")
     weights = ensemble.blend_grid(val, members, y=TARGET, by=by, grid=grid)
     b = ensemble.blend(m, weights, members, by=by)
     factors = ensemble.bias_factors(b.where(F.col("split") == "val"), y=TARGET, yhat="ensemble", by=by)
     out = ensemble.bias_correct(b, factors, "ensemble", "predicted", by=by)
+    raw = [f"{m}_raw" if f"{m}_raw" in out.columns else m for m in members]
+    blended = sum((F.col(f"w{i}") * F.col(c) for i, c in enumerate(raw, 1)), F.lit(0.0))
+    out = out.withColumn("raw_prediction", blended * F.coalesce(F.col("bias"), F.lit(1.0)))
     out = ensemble.clip_predictions(out, "predicted")
     return out, weights, factors
 
 
+def future_forecast(p: DataFrame, hz: Horizon = DEFAULT, **build) -> DataFrame:
+    """Blended, bias-corrected forecast of every cell of the test season, for a prepared panel that holds the
+    complete skeleton there (``star.panel_with_future``).  Cells fall back from their series to their category and
+    then to the smoothed training mean (``target_enc_rim``), so none is left without a value."""
+    out, _, _ = ensemble_forecast(build_features(p, hz, **build), hz, last="target_enc_rim")
+    return out.where(F.col("split") == "test")
+
+
 def score_breakdown(preds: DataFrame, y: str = "quantity", yhat: str = "predicted") -> DataFrame:
     """wMAPE, volume and volume share overall / by category / by month / by store
     in one GROUPING SETS aggregate."""

@@ -30,36 +30,56 @@ def write_forecast(preds: DataFrame, path: str, yhat: str = "predicted", fmt: st
         w.format(fmt).save(path)
 
 
-def forecast_quality(fc: DataFrame, expected_rows=None, expected_dates=None,
-                     expected_stores=None, expected_items=None, yhat: str = "predicted_quantity",
+def forecast_quality(fc: DataFrame, expected: DataFrame | None = None, yhat: str = "predicted_quantity",
                      required=FORECAST_COLUMNS) -> DataFrame:
-    """Output contract as rows (check, ok, value) from one aggregate pass."""
-    stats = fc.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(yhat).alias("min_pred"),
-        F.count_if(F.col(yhat).isNull()).alias("null_preds"),
-        F.count_if(F.col(yhat) < 0).alias("negative_preds"),
-        F.count_distinct("date").alias("dates"),
-        F.count_distinct("store_id").alias("stores"),
-        F.count_distinct("item_id").alias("items"),
-        F.count_distinct("date", "store_id", "item_id").alias("distinct_keys"),
-    )
+    """Output contract as rows (check, ok, value).
+
+    ``expected``: the cells (date, store_id, item_id) that must be there, such as the future skeleton.  Rows, dates,
+    stores and items are then held against it, and missing and unexpected cells are counted by anti joins.  One
+    aggregate by cell serves all; a count of distinct values is a group by of its own, so no row is copied for it.
+    """
+    keys = list(FORECAST_COLUMNS[:3])
+    cells = fc.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(yhat).isNull()).alias("__null"),
+                                  F.count_if(F.col(yhat) < 0).alias("__neg"))
+    none = F.lit(0).cast("long")
+    stats = cells.agg(F.coalesce(F.sum("__n"), none).alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                      F.coalesce(F.sum("__null"), none).alias("null_preds"), F.coalesce(F.sum("__neg"), none).alias("negative_preds"))
+
+    def levels(df, col):
+        return df.select(col).distinct().agg(F.count(col)).scalar()
+
+    stats = stats.withColumns({n: levels(fc, c) for n, c in (("dates", "date"), ("stores", "store_id"), ("items", "item_id"))})
+    want = {}
+    if expected is not None:
+        exp = expected.select(fn.date_text("date").alias("date") if dict(expected.dtypes)["date"] == "date" else F.col("date"),
+                              "store_id", "item_id")
+        want = {"rows": exp.agg(F.count(F.lit(1))).scalar(), "dates": levels(exp, "date"),
+                "stores": levels(exp, "store_id"), "items": levels(exp, "item_id")}
+        stats = stats.withColumns({
+            "missing": exp.join(cells, keys, "left_anti").agg(F.count(F.lit(1))).scalar(),
+            "unexpected": cells.join(exp, keys, "left_anti").agg(F.count(F.lit(1))).scalar()})
+        stats = stats.withColumns({f"want_{k}": v for k, v in want.items()})
     has_cols = all(c in fc.columns for c in required) and len(fc.columns) == len(required)
 
     def chk(name, ok, value):
         return F.struct(F.lit(name).alias("check"), ok.alias("ok"), value.cast("double").alias("value"))
 
-    exp = lambda v, c: F.lit(True) if v is None else (F.col(c) == F.lit(v))
+    def held(c):
+        return F.col(c) == F.col(f"want_{c}") if want else F.lit(True)
+
     checks = [
-        chk("row_count", exp(expected_rows, "rows"), F.col("rows")),
+        chk("row_count", held("rows"), F.col("rows")),
         chk("non_negative", F.col("negative_preds") == 0, F.col("negative_preds")),
         chk("no_nulls", F.col("null_preds") == 0, F.col("null_preds")),
         chk("unique_keys", F.col("distinct_keys") == F.col("rows"), F.col("distinct_keys")),
-        chk("date_coverage", exp(expected_dates, "dates"), F.col("dates")),
-        chk("store_coverage", exp(expected_stores, "stores"), F.col("stores")),
-        chk("item_coverage", exp(expected_items, "items"), F.col("items")),
+        chk("date_coverage", held("dates"), F.col("dates")),
+        chk("store_coverage", held("stores"), F.col("stores")),
+        chk("item_coverage", held("items"), F.col("items")),
         chk("exact_columns", F.lit(has_cols), F.lit(float(len(fc.columns)))),
     ]
+    if want:
+        checks += [chk("missing_cells", F.col("missing") == 0, F.col("missing")),
+                   chk("unexpected_cells", F.col("unexpected") == 0, F.col("unexpected"))]
     return stats.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
 
 

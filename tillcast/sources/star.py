@@ -15,12 +15,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillcast import functions as fn
 from tillcast.horizon import DEFAULT, Horizon
-from tillcast.schema import DOW
+from tillcast.schema import DOW, PANEL_SCHEMA
 
 # ---- fixed values of the binding (FIXTURES §2) --------------------------------
 # Holiday calendar: Thanksgiving Day = 4th Thursday of November;
@@ -77,6 +77,70 @@ def holiday_name(d) -> F.Column:
     return expr
 
 
+PANEL_COLUMNS = [f.name for f in PANEL_SCHEMA.fields]
+
+
+def with_covariates(agg: DataFrame) -> DataFrame:
+    """Panel columns of rows (sk, r_name, item_id, category, date, qty, min_orderkey, max_discount, unit_price):
+    calendar, weather, holidays and events are rules of the date and the store."""
+    d = F.col("date")
+    sk = F.col("sk")
+    doy = F.dayofyear(d)
+    temp = (F.lit(70.0) - F.abs(doy - F.lit(200)).cast("double") * F.lit(0.25) + (sk % 5).cast("double"))
+    precip = F.greatest((doy * 7 + sk * 13) % 10 - F.lit(5), F.lit(0)).cast("double") / F.lit(5.0)
+    ev_code = doy + sk * EVENT_STORE_STEP
+    event = F.when(ev_code % EVENT_PERIOD == 0,
+                   F.concat(F.lit("Event_"), (F.floor(ev_code / EVENT_PERIOD) % EVENT_KINDS).cast("string")))
+    hol = holiday_name(d)
+    return (agg.select(
+                d.alias("date"),
+                F.concat(F.lit("S"), F.lpad(sk.cast("string"), 2, "0")).alias("store_id"),
+                "item_id",
+                F.concat(F.col("r_name"), F.lit("-"), (sk % 2).cast("string")).alias("city"),
+                F.col("r_name").alias("state"),
+                "category",
+                F.when(F.col("min_orderkey") % NULL_QTY_MODULUS == 0, F.lit(None).cast("double"))
+                 .otherwise(F.col("qty")).alias("quantity"),
+                "unit_price",
+                F.year(d).alias("year"), F.month(d).alias("month"), F.weekday(d).alias(DOW),
+                temp.alias("avg_temp_f"), precip.alias("precip_inches"),
+                hol.alias("holiday_name"), event.alias("special_event_name"),
+                fn.flag(F.col("max_discount") >= PROMO_DISCOUNT).alias("is_promotion"))
+            .withColumns({
+                "is_weekend": fn.flag(F.col(DOW) >= 5),
+                "precip_type": F.when(F.col("precip_inches") == 0, F.lit(None).cast("string"))
+                                .when(F.col("avg_temp_f") < 32, F.lit("Snow")).otherwise(F.lit("Rain")),
+                "is_holiday": fn.flag(F.col("holiday_name").isNotNull()),
+                "is_special_event": fn.flag(F.col("special_event_name").isNotNull()),
+            }))
+
+
+def future_skeleton(spark: SparkSession, sf_dir: str, hz: Horizon = DEFAULT) -> DataFrame:
+    """Panel rows of every (store, item, day) of the test season, whatever sold then or before.
+
+    Stores and items come from the dimension tables, days from the horizon; covariates are the rules of
+    ``with_covariates`` and no promotion is planned.  No table is crossed with another: the item catalog is one
+    array of a scalar subquery that each store explodes, then each series explodes its days.  Quantity is NULL.
+    """
+    parts = part_items(spark, sf_dir)
+    items = parts.groupBy("item_id", "category").agg(F.min("p_retailprice").alias("__p"))
+    price = Window.partitionBy("item_id")
+    items = items.select("item_id", "category", F.min("__p").over(price).alias("unit_price"))
+    catalog = items.agg(F.sort_array(F.collect_list(F.struct("item_id", "category", "unit_price")))).scalar()
+    stores = supplier_stores(spark, sf_dir).select("sk", "r_name").distinct()
+    keys = stores.select("sk", "r_name", F.explode(catalog).alias("i")).select("sk", "r_name", "i.*")
+    cells = fn.date_spine(keys, hz.test_start, hz.test_end)
+    none = F.lit(None)
+    cells = cells.withColumns({"qty": none.cast("double"), "min_orderkey": none.cast("long"), "max_discount": F.lit(0.0)})
+    return with_covariates(cells).select(*PANEL_COLUMNS)
+
+
+def panel_with_future(spark: SparkSession, sf_dir: str, hz: Horizon = DEFAULT) -> DataFrame:
+    """The observed panel before the test start and the complete skeleton from it on."""
+    past = panel_from_star(spark, sf_dir, hz, partition_by_series=False).where(F.col("date") < F.lit(hz.test_start))
+    return past.unionByName(future_skeleton(spark, sf_dir, hz)).repartition("store_id", "item_id")
+
+
 def panel_from_star(spark: SparkSession, sf_dir: str, hz: Horizon = DEFAULT,
                     partition_by_series: bool = True) -> DataFrame:
     """The sparse daily panel (one row per observed store, item, date)."""
@@ -90,41 +154,8 @@ def panel_from_star(spark: SparkSession, sf_dir: str, hz: Horizon = DEFAULT,
              .agg(F.sum("l_quantity").alias("qty"),
                   F.min("l_orderkey").alias("min_orderkey"),
                   F.max("l_discount").alias("max_discount")))
-    d = F.col("date")
-    sk = F.col("sk")
-    doy = F.dayofyear(d)
-    temp = (F.lit(70.0) - F.abs(doy - F.lit(200)).cast("double") * F.lit(0.25) + (sk % 5).cast("double"))
-    precip = F.greatest((doy * 7 + sk * 13) % 10 - F.lit(5), F.lit(0)).cast("double") / F.lit(5.0)
-    ev_code = doy + sk * EVENT_STORE_STEP
-    event = F.when(ev_code % EVENT_PERIOD == 0,
-                   F.concat(F.lit("Event_"), (F.floor(ev_code / EVENT_PERIOD) % EVENT_KINDS).cast("string")))
-    hol = holiday_name(d)
-    panel = (agg.join(prices, "item_id")
-             .select(
-                 d.alias("date"),
-                 F.concat(F.lit("S"), F.lpad(sk.cast("string"), 2, "0")).alias("store_id"),
-                 "item_id",
-                 F.concat(F.col("r_name"), F.lit("-"), (sk % 2).cast("string")).alias("city"),
-                 F.col("r_name").alias("state"),
-                 "category",
-                 F.when(F.col("min_orderkey") % NULL_QTY_MODULUS == 0, F.lit(None).cast("double"))
-                  .otherwise(F.col("qty")).alias("quantity"),
-                 "unit_price",
-                 F.year(d).alias("year"), F.month(d).alias("month"), F.weekday(d).alias(DOW),
-                 temp.alias("avg_temp_f"), precip.alias("precip_inches"),
-                 hol.alias("holiday_name"), event.alias("special_event_name"),
-                 fn.flag(F.col("max_discount") >= PROMO_DISCOUNT).alias("is_promotion"))
-             .withColumns({
-                 "is_weekend": fn.flag(F.col(DOW) >= 5),
-                 "precip_type": F.when(F.col("precip_inches") == 0, F.lit(None).cast("string"))
-                                 .when(F.col("avg_temp_f") < 32, F.lit("Snow")).otherwise(F.lit("Rain")),
-                 "is_holiday": fn.flag(F.col("holiday_name").isNotNull()),
-                 "is_special_event": fn.flag(F.col("special_event_name").isNotNull()),
-             }))
-    cols = ["date", "store_id", "item_id", "city", "state", "category", "quantity", "unit_price",
-            "year", "month", DOW, "is_weekend", "is_holiday", "is_special_event", "is_promotion",
-            "holiday_name", "special_event_name", "precip_type", "avg_temp_f", "precip_inches"]
-    panel = panel.select(*cols)
+    panel = with_covariates(agg.join(prices, "item_id"))
+    panel = panel.select(*PANEL_COLUMNS)
     if partition_by_series:
         panel = panel.repartition("store_id", "item_id")
     return panel
