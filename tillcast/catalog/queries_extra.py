@@ -8,9 +8,10 @@ from tillcast.catalog.queries_core import panel
 from tillcast.catalog.registry import register, rounded
 from tillcast.catalog.sqlbase import with_dense, with_panel
 from tillcast.horizon import DEFAULT as HZ
-from tillcast.operators import ensemble, grain, metrics, models, prep, windows
+from tillcast.operators import ensemble, grain, metrics, models, prep, sketch, windows
 from tillcast.operators.prep import TARGET
 from tillcast.plans import reports
+from tillcast.session import stage
 from tillcast.sources import star
 
 

@@ -87,6 +87,22 @@ def m8_weight_grid_size(spark, sf):
                                               F.max("grid_id").alias("last_id"), F.min("wmape").alias("best_wmape")))
 
 
+FINE = ensemble.weight_grid("0.02", "0.05", "0.85", ())
+
+
+@register("m8_weight_grid_741", with_panel(features_cte(CAT) + forecast_cte(grid=FINE) + """
+, N AS (SELECT store_id, count(*) AS points FROM GSCORE GROUP BY store_id)
+SELECT store_id, points, grid_id, round(w1, 6) AS w1, round(w2, 6) AS w2, round(w3, 6) AS w3, round(wmape, 6) AS wmape
+FROM WEIGHTS JOIN N USING (store_id)"""))
+def m8_weight_grid_741(spark, sf):
+    """The fine grid: 741 points for each store, and the best one."""
+    m = forecasts.with_split(forecasts.member_frame(features(spark, sf)), HZ).where(F.col("split") == "val")
+    sc = stage(ensemble.grid_scores(m, forecasts.MEMBERS, y="quantity_filled", grid=FINE))
+    points = sc.groupBy("store_id").agg(F.count(F.lit(1)).alias("points"))
+    return rounded(points.join(ensemble.best_points(sc), "store_id")
+                   .select("store_id", "points", "grid_id", "w1", "w2", "w3", "wmape"))
+
+
 @register("m9_m10_blend_bias", _sql(
     "SELECT store_id, item_id, date, split, ensemble, bias, predicted FROM PRED", ["ensemble", "bias", "predicted"]))
 def m9_m10_blend_bias(spark, sf):

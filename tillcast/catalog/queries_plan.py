@@ -6,13 +6,13 @@ from __future__ import annotations
 from tillcast.catalog.queries_core import panel
 from tillcast.catalog.registry import register, rounded, sql_round
 from tillcast.catalog.sqlbase import with_panel
-from tillcast.catalog.sqlplan import PLAN_CTE
+from tillcast.catalog.sqlplan import plan_cte
 from tillcast.horizon import DEFAULT as HZ
 from tillcast.plans import monthly
 
 
-def _sql(body, cols=None):
-    return with_panel(PLAN_CTE + (sql_round(body, cols) if cols else body))
+def _sql(body, cols=None, bins=monthly.TEMP_BINS):
+    return with_panel(plan_cte(bins) + (sql_round(body, cols) if cols else body))
 
 
 @register("p1_base_forecast", _sql("SELECT * FROM PBASE", ["last_year_qty", "avg_growth", "base_qty"]))
@@ -38,6 +38,12 @@ def p4_elasticity_binned(spark, sf):
     return rounded(monthly.elasticity_binned(panel(spark, sf), HZ))
 
 
+@register("p4_elasticity_cold_bins", _sql("SELECT * FROM ELAST", ["elasticity"], monthly.COLD_BINS))
+def p4_elasticity_cold_bins(spark, sf):
+    """The same with bins inside the season's temperatures, so that every category has a slope."""
+    return rounded(monthly.elasticity_binned(panel(spark, sf), HZ, bins=monthly.COLD_BINS))
+
+
 @register("p5_store_multiplier", _sql("SELECT * FROM SMULT", ["store_mult"]))
 def p5_store_multiplier(spark, sf):
     return rounded(monthly.store_multiplier(panel(spark, sf), HZ))
@@ -84,6 +90,14 @@ def p11_adjust_daily(spark, sf):
     return rounded(d.select("store_id", "item_id", "date", "daily_qty", "adjusted_qty"))
 
 
+@register("p11_adjust_daily_weather", _sql(
+    "SELECT store_id, item_id, date, daily_qty, adjusted_qty FROM ADJ", ["daily_qty", "adjusted_qty"], monthly.COLD_BINS))
+def p11_adjust_daily_weather(spark, sf):
+    """With elasticities from the cold bins: the weather factor is not 1."""
+    d = monthly.daily_plan(panel(spark, sf), HZ, monthly.COLD_BINS)
+    return rounded(d.select("store_id", "item_id", "date", "daily_qty", "adjusted_qty"))
+
+
 @register("p12_reconcile_check", _sql("""
 SELECT d.store_id, d.item_id, d.month, d.day_sum, t.target_qty, abs(d.day_sum - t.target_qty) / nullif(t.target_qty, 0) AS rel_error,
        coalesce(abs(d.day_sum - t.target_qty) / nullif(t.target_qty, 0) < 0.01, false) AS ok

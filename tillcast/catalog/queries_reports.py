@@ -141,15 +141,14 @@ def w7_lag_null_rates_test(spark, sf):
 
 
 @register("r10_prediction_distribution", with_panel(features_cte(CAT) + forecast_cte() + """
-, tdist AS (SELECT ensemble * coalesce(bias, 1.0) AS raw, predicted FROM PRED WHERE split = 'test')
+, tdist AS (SELECT raw_prediction AS raw, greatest(raw_prediction, 0.0) AS predicted FROM PRED WHERE split = 'test')
 SELECT round(min(raw), 6) AS min_raw, round(avg(raw), 6) AS mean_raw, round(avg(predicted), 6) AS mean_clipped,
        round(median(predicted), 6) AS median, round(max(predicted), 6) AS max, count(*) FILTER (WHERE raw < 0) AS clipped_rows
 FROM tdist"""))
 def r10_prediction_distribution(spark, sf):
     from tillcast.operators.ensemble import clip_report
     out, _, _ = _fc(spark, sf)
-    t = out.where(F.col("split") == "test").withColumn("raw_prediction", F.col("ensemble") * F.coalesce("bias", F.lit(1.0)))
-    return rounded(clip_report(t, "raw_prediction"))
+    return rounded(clip_report(out.where(F.col("split") == "test"), "raw_prediction"))
 
 
 @register("r11_sample_series", with_panel(features_cte(CAT) + forecast_cte() + """

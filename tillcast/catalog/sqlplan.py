@@ -54,9 +54,7 @@ DAILY AS (
                             THEN target_qty / sum(skeleton) OVER (PARTITION BY store_id, item_id, month)
                             ELSE 1.0 END AS daily_qty FROM pdays),
 pel0 AS (
-  SELECT category, CASE WHEN avg_temp_f >= 0 AND avg_temp_f < 60 THEN 30.0 WHEN avg_temp_f >= 60 AND avg_temp_f < 70 THEN 65.0
-                        WHEN avg_temp_f >= 70 AND avg_temp_f < 80 THEN 75.0 WHEN avg_temp_f >= 80 AND avg_temp_f < 90 THEN 85.0 END AS mid,
-         quantity
+  SELECT category, (SELECT (lo + hi) / 2.0 FROM BINS WHERE avg_temp_f >= lo AND avg_temp_f < hi) AS mid, quantity
   FROM pq4 WHERE quantity IS NOT NULL AND avg_temp_f IS NOT NULL),
 pel1 AS (SELECT category, mid, avg(quantity) AS dm FROM pel0 WHERE mid IS NOT NULL GROUP BY ALL),
 ELAST AS (SELECT category, count(*) AS bins, regr_slope(dm, mid) / avg(dm) AS elasticity FROM pel1
@@ -77,3 +75,8 @@ ADJ AS (
                  WHEN month(d.date) = 7 AND day(d.date) = 4 THEN 'Independence Day'
                  WHEN month(d.date) = 11 AND day(d.date) = 11 THEN 'Veterans Day' END)) d)
 """
+
+
+def plan_cte(bins) -> str:
+    """The plan with its temperature bins [lo, hi)."""
+    return ", BINS AS (SELECT * FROM (VALUES " + ", ".join(f"({lo}, {hi})" for lo, hi in bins) + ") b(lo, hi))" + PLAN_CTE

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillcast import functions as fn
 from tillcast.horizon import DEFAULT, Horizon
@@ -77,28 +80,51 @@ def weight_grid(step: str = "0.05", lo: str = "0.10", cap: str = "0.80",
     return out
 
 
-def _grid_column(grid) -> Column:
-    return F.array(*[F.struct(F.lit(g).alias("grid_id"), F.lit(a).alias("w1"), F.lit(b).alias("w2"),
-                              F.lit(c).alias("w3")) for g, a, b, c in grid])
+BLOCK_ROWS = 4096
 
 
 def grid_scores(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("store_id",),
                 grid=None, positive_only: bool = True) -> DataFrame:
     """M8: wMAPE of every grid point per group: (by..., grid_id, w1, w2, w3, wmape).
 
-    The grid (parameter-sized) is exploded per prediction row and consumed by
-    a partial aggregate in the same stage, so only (group, grid_id) partial
-    sums are shuffled.
+    A vector-valued aggregate: each task blends its rows with all grid points as one matrix product per block of
+    rows and keeps, per group, one vector of absolute errors and the total of y (the map side of the aggregate).
+    Only those vectors are taken apart and summed by (group, point); no prediction row is repeated.
+    A missing prediction makes the group's errors unknown, as in ``wmape_expr``.
     """
     grid = grid or weight_grid()
     by = [by] if isinstance(by, str) else list(by)
-    m1, m2, m3 = members
-    ex = preds.select(*by, y, m1, m2, m3, F.explode(_grid_column(grid)).alias("g"))
-    blend = F.col("g.w1") * F.col(m1) + F.col("g.w2") * F.col(m2) + F.col("g.w3") * F.col(m3)
-    return (ex.withColumn("__b", blend)
-              .groupBy(*by, F.col("g.grid_id").alias("grid_id"), F.col("g.w1").alias("w1"),
-                       F.col("g.w2").alias("w2"), F.col("g.w3").alias("w3"))
-              .agg(wmape_expr(y, "__b", positive_only).alias("wmape")))
+    weights = np.array([g[1:] for g in grid], float).T
+    used = F.col(y) > 0 if positive_only else F.col(y).isNotNull()
+    src = preds.where(used).select(*by, F.col(y).cast("double").alias("__y"),
+                                   *[F.col(m).cast("double").alias(f"__m{i}") for i, m in enumerate(members)])
+    keys = src.select(*by).schema.fields
+    schema = T.StructType([*keys, T.StructField("__t", T.DoubleType()), T.StructField("__e", T.ArrayType(T.DoubleType()))])
+
+    def partial(batches):
+        acc: dict = {}
+        for pdf in batches:
+            for key, g in pdf.groupby(by, sort=False, dropna=False):
+                key = tuple(None if pd.isna(k) else k for k in key)
+                total, errors = acc.get(key, (0.0, np.zeros(weights.shape[1])))
+                yv, m = g["__y"].to_numpy(float), g[[f"__m{i}" for i in range(len(members))]].to_numpy(float)
+                for lo in range(0, len(g), BLOCK_ROWS):
+                    errors = errors + np.abs(yv[lo:lo + BLOCK_ROWS, None] - m[lo:lo + BLOCK_ROWS] @ weights).sum(0)
+                acc[key] = (total + float(yv.sum()), errors)
+        if acc:
+            out = pd.DataFrame(list(acc), columns=by, dtype=object)
+            out["__t"], out["__e"] = [t for t, _ in acc.values()], [e for _, e in acc.values()]
+            yield out
+
+    parts = src.mapInPandas(partial, schema)
+    points = F.array(*[F.struct(F.lit(g).alias("grid_id"), F.lit(a).alias("w1"), F.lit(b).alias("w2"),
+                                F.lit(c).alias("w3")) for g, a, b, c in grid])
+    summed = (parts.select(*by, "__t", F.posexplode("__e").alias("__i", "__v"))
+                   .groupBy(*by, "__i").agg(F.sum("__t").alias("__t"), F.sum("__v").alias("__v")))
+    point = F.element_at(points, F.col("__i") + 1)
+    error = F.when(~F.isnan("__v"), F.col("__v"))
+    return (summed.withColumn("__g", point)
+                  .select(*by, "__g.*", F.when(F.col("__t") != 0, error / F.col("__t")).alias("wmape")))
 
 
 def blend_grid(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("store_id",),
@@ -108,8 +134,12 @@ def blend_grid(preds: DataFrame, members: Sequence[str], y: str = TARGET, by=("s
     Returns (by..., grid_id, w1, w2, w3, wmape).  A group whose best point is not
     below 1.0 gets ``DEFAULT_WEIGHTS`` and no grid_id.
     """
+    return best_points(grid_scores(preds, members, y, by, grid, positive_only), by)
+
+
+def best_points(scored: DataFrame, by=("store_id",)) -> DataFrame:
+    """K5: the best point of each group of ``grid_scores``."""
     by = [by] if isinstance(by, str) else list(by)
-    scored = grid_scores(preds, members, y, by, grid, positive_only)
     best = F.min_by(F.struct("grid_id", "w1", "w2", "w3", "wmape"),
                     F.struct(F.round(F.coalesce("wmape", F.lit(float("inf"))), 12), F.col("grid_id")))
     won = F.col("b.wmape") < 1.0
@@ -150,11 +180,16 @@ def clip_predictions(df: DataFrame, col: str = "predicted") -> DataFrame:
 
 
 def clip_report(df: DataFrame, raw: str = "raw_prediction") -> DataFrame:
-    """Distribution before/after the non-negative clip and the clipped count."""
+    """Distribution before/after the non-negative clip and the clipped count.
+
+    The median is exact without one task that holds the column: see ``sketch.exact_median``.
+    """
+    from tillcast.operators.sketch import exact_median
     clipped = fn.clip(raw, lo=0.0)
-    return df.agg(F.min(raw).alias("min_raw"), F.avg(raw).alias("mean_raw"),
-                  F.avg(clipped).alias("mean_clipped"), F.median(clipped).alias("median"),
-                  F.max(clipped).alias("max"), F.count_if(F.col(raw) < 0).alias("clipped_rows"))
+    median = exact_median(df.select(clipped.alias("__c")), "__c")
+    return df.agg(F.min(raw).alias("min_raw"), F.avg(raw).alias("mean_raw"), F.avg(clipped).alias("mean_clipped"),
+                  F.lit(median).cast("double").alias("median"), F.max(clipped).alias("max"),
+                  F.count_if(F.col(raw) < 0).alias("clipped_rows"))
 
 
 def compare_runs(metrics: DataFrame, run_col: str = "run", order_col: str = "step",

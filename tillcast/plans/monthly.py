@@ -9,6 +9,8 @@ by a cross join.
 
 from __future__ import annotations
 
+import calendar
+
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,12 +19,15 @@ from tillcast import functions as fn
 from tillcast.horizon import DEFAULT, Horizon
 from tillcast.operators import baselines, grain, metrics
 from tillcast.schema import DOW
+from tillcast.session import stage
 
 S, I = "store_id", "item_id"
 
 # ---- fixed values of the plan ---------------------------------------------------
 # temperature bins (°F, [lo, hi)) used by the binned elasticity
 TEMP_BINS = ((0, 60), (60, 70), (70, 80), (80, 90))
+# for climates whose season stays below the second bin
+COLD_BINS = ((20, 35), (35, 40), (40, 45), (45, 50), (50, 60))
 # sanity bands: season growth vs last year, store multipliers
 GROWTH_BAND = (-0.10, 0.20)
 MULT_BAND = (0.90, 1.10)
@@ -56,9 +61,11 @@ def base_forecast(p: DataFrame, hz: Horizon = DEFAULT, y: str = "quantity") -> D
     growth = grain.geo_mean(rates)
     base = base.withColumns({"last_year_qty": q[yrs[-1]], "avg_growth": growth,
                              "__base": q[yrs[-1]] * growth})
-    cat_avg = F.avg(F.when(F.col("__base") > 0, F.col("__base"))).over(Window.partitionBy("category", "month"))
-    return base.select(S, I, "category", "month", "last_year_qty", "avg_growth",
-                       F.when(F.col("__base") > 0, F.col("__base")).otherwise(cat_avg).alias("base_qty"))
+    # a group by with a map side and a small join: a window would gather all series of a category in one task
+    cat_avg = base.groupBy("category", "month").agg(F.avg(F.when(F.col("__base") > 0, F.col("__base"))).alias("__avg"))
+    return (base.join(cat_avg, ["category", "month"], "left")
+                .select(S, I, "category", "month", "last_year_qty", "avg_growth",
+                        F.when(F.col("__base") > 0, F.col("__base")).otherwise(F.col("__avg")).alias("base_qty")))
 
 
 def holiday_impact_by_year(p: DataFrame, hz: Horizon = DEFAULT, y: str = "quantity") -> DataFrame:
@@ -187,11 +194,12 @@ def monthly_targets(p: DataFrame, hz: Horizon = DEFAULT) -> DataFrame:
                .withColumn("target_qty", F.col("holiday_adj_qty") * F.coalesce(F.col("store_mult"), F.lit(1.0))))
 
 
-def daily_plan(p: DataFrame, hz: Horizon = DEFAULT) -> DataFrame:
-    """P1..P11 chained: daily forecast for the test season."""
+def daily_plan(p: DataFrame, hz: Horizon = DEFAULT, bins=TEMP_BINS, materialize: bool = True) -> DataFrame:
+    """P1..P11 chained: daily forecast for the test season.  ``materialize`` stages the panel, which five branches read."""
+    p = stage(p) if materialize else p
     targets = monthly_targets(p, hz)
     daily = disaggregate(targets, dow_profile(p, hz), hz)
-    return adjust_daily(daily, p, elasticity_binned(p, hz), holiday_impact_by_year(p, hz), hz)
+    return adjust_daily(daily, p, elasticity_binned(p, hz, bins=bins), holiday_impact_by_year(p, hz), hz)
 
 
 def reconcile_check(daily: DataFrame, targets: DataFrame, col: str = "daily_qty",
@@ -204,20 +212,19 @@ def reconcile_check(daily: DataFrame, targets: DataFrame, col: str = "daily_qty"
                     F.coalesce(err < tol, F.lit(False)).alias("ok"))
 
 
-def sanity_checks(targets: DataFrame, mult: DataFrame) -> DataFrame:
+def sanity_checks(targets: DataFrame, mult: DataFrame, hz: Horizon = DEFAULT) -> DataFrame:
     """Growth band vs last year, store multiplier band, season month means."""
     g = fn.safe_div(F.col("target_qty") - F.col("last_year_qty"), F.col("last_year_qty"))
     a = targets.agg(
         F.count_if(g.isNotNull() & ((g <= GROWTH_BAND[0]) | (g >= GROWTH_BAND[1]))).alias("growth_out"),
-        *[F.avg(F.when(F.col("month") == m, F.col("target_qty"))).alias(f"mean_m{m}") for m in (10, 11, 12)])
+        *[F.avg(F.when(F.col("month") == m, F.col("target_qty"))).alias(f"mean_m{m}") for m in hz.season_months])
     m = mult.agg(F.min("store_mult").alias("mn"), F.max("store_mult").alias("mx"))
     lo, hi = MULT_BAND
     checks = F.array(
         F.struct(F.lit("growth_in_band").alias("check"), (F.col("growth_out") == 0).alias("ok"),
                  F.col("growth_out").cast("double").alias("value")),
-        F.struct(F.lit("mean_oct").alias("check"), F.lit(True).alias("ok"), F.col("mean_m10").alias("value")),
-        F.struct(F.lit("mean_nov").alias("check"), F.lit(True).alias("ok"), F.col("mean_m11").alias("value")),
-        F.struct(F.lit("mean_dec").alias("check"), F.lit(True).alias("ok"), F.col("mean_m12").alias("value")))
+        *[F.struct(F.lit(f"mean_{calendar.month_abbr[m].lower()}").alias("check"), F.lit(True).alias("ok"),
+                   F.col(f"mean_m{m}").alias("value")) for m in hz.season_months])
     mult_checks = F.array(
         F.struct(F.lit("min_store_mult").alias("check"), ((F.col("mn") > lo) & (F.col("mn") < hi)).alias("ok"),
                  F.col("mn").alias("value")),

@@ -17,11 +17,11 @@ TEMP_EDGES = (0, 32, 50, 70, 120)   # fixed value: right-closed temperature bins
 
 def dataset_profile(p: DataFrame, y: str = "quantity") -> DataFrame:
     """Rows, date range, distinct stores/items/categories, target NULL count and rate."""
-    return p.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-                 F.count_distinct(S).alias("stores"), F.count_distinct(I).alias("items"),
-                 F.count_distinct("category").alias("categories"),
-                 F.count_if(F.col(y).isNull()).alias("null_qty"),
-                 F.avg(F.col(y).isNull().cast("double")).alias("null_rate"))
+    one = p.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+                F.count_if(F.col(y).isNull()).alias("null_qty"),
+                F.avg(F.col(y).isNull().cast("double")).alias("null_rate"))
+    levels = {n: p.select(c).distinct().agg(F.count(c)).scalar() for n, c in (("stores", S), ("items", I), ("categories", "category"))}
+    return one.withColumns(levels).select("rows", "first_date", "last_date", "stores", "items", "categories", "null_qty", "null_rate")
 
 
 def category_share(p: DataFrame, where: Column | None = None, y: str = "quantity") -> DataFrame:
@@ -65,11 +65,15 @@ def event_lift(t: DataFrame, y: str = "quantity_filled") -> DataFrame:
     return g.withColumn("lift_pct", (fn.safe_div(F.col("mean_qty"), base) - 1) * 100).orderBy(F.desc("lift_pct"))
 
 
-def unseen_levels(p: DataFrame, col: str, hz: Horizon = DEFAULT) -> DataFrame:
-    """Levels of ``col`` occurring in the test period but never before it (anti join)."""
-    test = p.where((F.col("date") >= F.lit(hz.test_start)) & F.col(col).isNotNull()).select(col).distinct()
-    train = p.where((F.col("date") < F.lit(hz.test_start)) & F.col(col).isNotNull()).select(col).distinct()
-    return test.join(train, col, "left_anti")
+def unseen_levels(p: DataFrame, cols, hz: Horizon = DEFAULT) -> DataFrame:
+    """Levels of a column, or combinations of columns, of the test period that never occur before it (anti join)."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull()
+    test = p.where((F.col("date") >= F.lit(hz.test_start)) & known).select(*cols).distinct()
+    train = p.where((F.col("date") < F.lit(hz.test_start)) & known).select(*cols).distinct()
+    return test.join(train, cols, "left_anti")
 
 
 def event_coverage(f: DataFrame, hz: Horizon = DEFAULT) -> DataFrame:
