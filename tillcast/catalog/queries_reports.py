@@ -14,11 +14,11 @@ from tillcast.catalog.sqlbase import with_panel
 from tillcast.catalog.sqlfeatures import features_cte
 from tillcast.catalog.sqlforecast import forecast_cte
 from tillcast.horizon import DEFAULT as HZ
-from tillcast.operators import grain
+from tillcast.operators import grain, sketch
 from tillcast.operators.features import DRIVER_CATALOG as CAT
 from tillcast.operators.prep import train_slice
 from tillcast.plans import reports
-from tillcast.session import ensure_checkpoint_dir
+from tillcast.session import ensure_checkpoint_dir, stage
 from tillcast.sources import readers
 
 
@@ -101,6 +101,30 @@ def u2_unseen_items(spark, sf):
     return reports.unseen_levels(panel(spark, sf), "item_id", HZ)
 
 
+@register("u2_unseen_cells", with_panel("""
+SELECT DISTINCT store_id, item_id, month, day_of_week_num FROM panel WHERE date >= DATE '2000-10-01'
+EXCEPT SELECT DISTINCT store_id, item_id, month, day_of_week_num FROM panel WHERE date < DATE '2000-10-01'"""))
+def u2_unseen_cells(spark, sf):
+    """Cells of the structural mean that test rows ask for and training never filled."""
+    return reports.unseen_levels(panel(spark, sf), ["store_id", "item_id", "month", "day_of_week_num"], HZ)
+
+
+_LEVELS = ["date", "store_id", "item_id", "category", "holiday_name"]
+
+
+@register("a6_distinct_counts", with_panel("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, true AS sketch_within_bound FROM panel" for c in _LEVELS) + ") x"))
+def a6_distinct_counts(spark, sf):
+    """Exact distinct counts, and whether sketches by store, merged, are within five standard errors of them."""
+    p = stage(panel(spark, sf).select(*_LEVELS, F.col("store_id").alias("__s")))
+    near = stage(sketch.distinct_estimates(sketch.distinct_sketches(p, _LEVELS, ["__s"]), _LEVELS))
+    both = sketch.distinct_exact(p, _LEVELS).withColumns({f"__{c}": near.select(c).scalar() for c in _LEVELS})
+    bound = 5 * sketch.sketch_error()
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values"),
+                              (F.abs(F.col(f"__{c}") - F.col(c)) <= bound * F.col(c)).alias("sketch_within_bound")) for c in _LEVELS])
+    return both.select(F.explode(rows).alias("r")).select("r.*")
+
+
 @register("r7_event_coverage", with_panel(features_cte(CAT) + """
 , tst AS (SELECT * FROM FEATS WHERE date >= DATE '2000-10-01' AND special_event_name IS NOT NULL),
 uns AS (SELECT DISTINCT special_event_name FROM tst
