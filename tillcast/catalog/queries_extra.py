@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillcast.catalog.queries_core import panel
+from tillcast.catalog.queries_features import features
 from tillcast.catalog.registry import register, rounded
 from tillcast.catalog.sqlbase import with_dense, with_panel
 from tillcast.horizon import DEFAULT as HZ
 from tillcast.operators import ensemble, grain, metrics, models, prep, windows
 from tillcast.operators.prep import TARGET
-from tillcast.plans import reports
+from tillcast.plans import forecasts, learners, reports
+from tillcast.session import stage
 from tillcast.sources import star
 
 
@@ -65,20 +67,14 @@ def _global_frame(spark, sf):
 
 @register("m4_global_gbt_v2")
 def m4_global_gbt_v2(spark, sf):
-    """Notebook entry: one global L1 GBT on the 60-feature list, early stopped on the
-    validation season, refit on the full history; wMAPE by split."""
-    from tillcast.operators.features import FEATURES_60
-    info = _global_frame(spark, sf)
-    df = info["frame"]
-    feats = [f for f in FEATURES_60 if f in df.columns]
-    sub = models.assemble(df.drop("features"), feats)
-    sp = ensemble.temporal_split(sub, HZ)
-    model, n = models.fit_gbt(sp["train1"], sp["val"], sp["train2"], TARGET, "weight", max_iter=20, max_depth=5)
-    scored = models.predict_clipped(model, sub.where(F.col("date") >= F.lit(HZ.val_start)), "predicted")
-    scored = scored.withColumn("split", F.when(F.col("date") >= F.lit(HZ.test_start), "test")
-                                         .when(F.col("date") <= F.lit(HZ.val_end), "val"))
-    return rounded(metrics.wmape(scored.where(F.col("split").isNotNull()), "quantity", "predicted", by="split")
-                   .withColumn("n_trees", F.lit(n)))
+    """Notebook entry: one global L1 GBT on the 60-feature list, best iteration by wMAPE on the validation season,
+    refit on the full history, one global bias factor; wMAPE by split."""
+    df, _ = learners.model_frame(features(spark, sf), HZ, "v2")
+    sp = ensemble.temporal_split(df, HZ)
+    model, n = models.fit_gbt(sp["train1"], sp["val"], sp["train2"], TARGET, "weight", max_iter=20, patience=5)
+    scored = forecasts.with_split(models.predict_clipped(model, df, "yhat").drop("features"), HZ).where("split IS NOT NULL")
+    scored = ensemble.global_bias(stage(scored), F.col("split") == "val", TARGET, "yhat", "predicted")
+    return rounded(metrics.wmape(scored, "quantity", "predicted", by="split").withColumn("n_trees", F.lit(n)))
 
 
 LAYERS = {

@@ -18,7 +18,8 @@ _MEMO: dict = {}
 def _ens(spark, sf):
     key = (id(spark), spark.sparkContext.applicationId, sf)
     if key not in _MEMO:
-        _MEMO[key] = learners.learner_ensemble(features(spark, sf), HZ)
+        _MEMO[key] = learners.learner_ensemble(features(spark, sf), HZ, gbt_iter=8, rf_trees=8, rf_depth=6, patience=3,
+                                               per_store=True, min_rows=1_000, trials=learners.TRIALS)
     return _MEMO[key]
 
 
@@ -64,31 +65,31 @@ def m13_feature_importance(spark, sf):
 
 @register("m7_random_search")
 def m7_random_search(spark, sf):
-    _, _, _, info = _ens(spark, sf)
-    sp = ensemble.temporal_split(info["frame"], HZ)
-    trials = models.random_space(3, {"stepSize": (0.05, 0.3, "log"), "maxDepth": (3, 5, "int"),
-                                     "subsamplingRate": (0.6, 0.95)})
+    """All trials of the successive-halving search whose winners the fits use."""
+    return rounded(_ens(spark, sf)[3]["trials"])
 
-    def fit(params):
-        from pyspark.ml.regression import GBTRegressor
-        return GBTRegressor(featuresCol="features", labelCol=TARGET, weightCol="weight", lossType="absolute",
-                            maxIter=10, seed=models.SEED, **params).fit(sp["train1"])
-    return rounded(models.search(fit, sp["val"], TARGET, trials, parallelism=3))
+
+@register("m7_store_winners")
+def m7_store_winners(spark, sf):
+    """The winning trial of each store and the number of trees its own model kept."""
+    info = _ens(spark, sf)[3]
+    kept = spark.createDataFrame([(s, n) for s, (_, n) in sorted(info["store_models"].items())], "store_id string, n_trees int")
+    return rounded(info["winners"].join(kept, "store_id", "left"))
 
 
 @register("m14_ablation")
 def m14_ablation(spark, sf):
-    from tillcast.operators.features import feature_list
+    """Nested feature sets at the searched parameters and the kept number of trees: wMAPE and its change, val and test."""
     _, _, _, info = _ens(spark, sf)
     df = info["frame"]
     sp = ensemble.temporal_split(df, HZ)
     base = ["menu_item_enc", "category_enc", "unit_price", "month", "day_of_week_num", "is_weekend",
             "day_of_year", "week_of_year", "day_of_month", "is_holiday", "is_special_event", "is_promotion"]
-    structural = base + ["struct_rimdow", "struct_rim", "struct_cmdow", "lag_364__missing", "lag_7_filled",
+    structural = base + ["struct_rimdow", "struct_rim", "struct_cmdow", "lag_7_filled",
                          "lag_14_filled", "rolling_mean_28", "rolling_std_28"]
     domain = structural + ["holiday_mult", "cat_holiday_mult", "event_mult", "store_growth_mult", "promo_lift_cat",
                            "weather_impact", "q4_trend_ratio"]
-    full = [c for c in info["names"] if c in set(feature_list("v4")) | {f"{n}__missing" for n in learners.NULLABLE}]
+    full = list(info["names"])
     steps = [("base", base), ("structural_and_lags", structural), ("domain_layers", domain), ("full", full)]
     ev_y = TARGET
 
@@ -96,14 +97,13 @@ def m14_ablation(spark, sf):
         from pyspark.ml.feature import VectorAssembler
         from pyspark.ml.regression import GBTRegressor
         va = VectorAssembler(inputCols=list(feats), outputCol="fx")
-        tr, va_df = va.transform(sp["train2"]), va.transform(sp["val"])
         m = GBTRegressor(featuresCol="fx", labelCol=ev_y, weightCol="weight", lossType="absolute",
-                         maxIter=10, maxDepth=5, seed=models.SEED).fit(tr)
-        pred = m.transform(va_df).withColumn("yh", fn.clip("prediction", lo=0.0))
-        return {"val_wmape": pred.agg(metrics.wmape_expr(ev_y, "yh")).first()[0]}
+                         maxIter=info["n_trees"], seed=models.SEED, **info["params"]).fit(va.transform(sp["train2"]))
+        pred = forecasts.with_split(m.transform(va.transform(df)).withColumn("yh", fn.clip("prediction", lo=0.0)), HZ)
+        got = pred.where("split IS NOT NULL").groupBy("split").agg(metrics.wmape_expr("quantity", "yh").alias("w")).collect()
+        return {r["split"]: r["w"] for r in got}
 
     recs = models.ablate(steps, fit_and_score)
-    rows = [(r["step"], r["name"], r["n_features"], float(r["val_wmape"])) for r in recs]
-    out = spark.createDataFrame(rows, "step int, name string, n_features int, val_wmape double") \
-               .withColumn("split", F.lit("val"))
-    return rounded(ensemble.compare_runs(out, "name", "step", "val_wmape", by="split"))
+    rows = [(r["step"], r["name"], r["n_features"], split, float(r[split])) for r in recs for split in ("val", "test")]
+    out = spark.createDataFrame(rows, "step int, name string, n_features int, split string, wmape double")
+    return rounded(ensemble.compare_runs(out, "name", "step", "wmape", by="split"))

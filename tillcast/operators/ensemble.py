@@ -174,6 +174,13 @@ def bias_correct(preds: DataFrame, factors: DataFrame, yhat: str = "ensemble", o
                  .withColumn(out, F.col(yhat) * F.coalesce(F.col("bias"), F.lit(1.0))))
 
 
+def global_bias(preds: DataFrame, val: Column, y: str = TARGET, yhat: str = "ensemble", out: str = "predicted") -> DataFrame:
+    """M10, one factor for all groups: mean(y) / mean(yhat) on the validation rows, 1 when mean(yhat) <= 0."""
+    mean_y, mean_p = F.avg(F.when(val, F.col(y))), F.avg(F.when(val, F.col(yhat)))
+    factor = preds.agg(F.when(mean_p > 0, mean_y / mean_p).otherwise(F.lit(1.0))).scalar()
+    return preds.withColumns({"bias": factor, out: F.col(yhat) * factor})
+
+
 def clip_predictions(df: DataFrame, col: str = "predicted") -> DataFrame:
     """Non-negative predictions."""
     return df.withColumn(col, fn.clip(col, lo=0.0))
