@@ -8,7 +8,6 @@ collected to the driver.  Sub-packages:
 * ``operators`` preparation, grain aggregates, lookups, windows, encoders,
                  feature layers, metrics, ensembles and MLlib learners
 * ``plans``     composed forecasts, the model-free monthly plan, reports
-* ``streaming`` (intentionally empty: the workload has no streams)
 """
 
 from tillcast.horizon import Horizon
