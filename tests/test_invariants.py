@@ -73,7 +73,7 @@ def test_entry_contract(spark):
     if importlib.util.find_spec("tillcast.llm") is None:
         assert not corpus
     else:
-        assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in corpus - {"pipeline"}}
+        assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in corpus - {"pipeline"}}
 
 
 def test_honest_mode_has_no_leak(spark):
