@@ -3,14 +3,15 @@
 Jaccard distance is a metric.  Documents with equal n-gram sets are one point.
 The join keeps exact by these steps:
 
-1. *Candidates.*  Under the order of n-gram hashes, two sets that link share
-   ``need(n)`` n-grams of their prefixes (all of a short set, a share of a long
-   one).  Points with fewer shared prefix n-grams can't link and leave; this is
-   repeated once among those left.
-2. *Regions.*  N-grams are put in order of how many candidates hold them, rare
-   ones first; every shared prefix n-gram is a region.  Its first point is the
-   region's pivot, and the distances of all its points to the pivot are
-   computed from whole sets.  Points within the threshold link to the pivot.
+1. *Order.*  A sketch of fixed width counts the n-grams of all rows by hash
+   buckets.  Each set is put in order of these counts, rare ones first, and
+   keeps the prefix that a linked set must meet.  Any one order of n-grams
+   keeps the prefix rule, so collisions in the sketch cost time, not results.
+2. *Regions.*  Every prefix n-gram that two points share is a region.  Its
+   first point is the region's pivot, and the distances of its points to the
+   pivot are computed from whole sets.  Points within the threshold link to the
+   pivot.  Pairs whose parity signatures differ in more bits than two linked
+   sets can differ in n-grams are ruled out before whole sets are read.
 3. *Windows and recursion.*  Points beyond the threshold stay for the next
    round with a pivot of their own, met by those points of the region whose
    pivot distance lies within the threshold of theirs (triangle inequality:
@@ -37,10 +38,11 @@ from tillcast.llm.common import mix64, stage, text_chunks
 
 WORDS = 4
 SHARE = 85                  # percent: 100 * intersection >= SHARE * union
-SHORT, MIDDLE = 250, 700    # prefix rules change at these set sizes
-EXTRA_MIDDLE, EXTRA_LONG = 15, 5    # percent of the set that prefixes share besides the first
 CHUNK = 1 << 21
 PIVOTS = 32                 # pivots of a region in each round after the first
+COUNTERS = 1 << 16, 1 << 22     # least and largest width of the count sketch
+SLICE = 1 << 12             # counters in a row of partial counts
+SIGNATURE = 256             # bits of a parity signature
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _RI = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -104,28 +106,58 @@ def shingle_sets(raw: np.ndarray, offs: np.ndarray, words: int) -> list[np.ndarr
     return out
 
 
-def _shared(n: np.ndarray, share: int) -> np.ndarray:
-    """N-grams that the prefixes of two linked sets of n share at least (the prefix rule)."""
-    least = -(-n * share // 100)
-    return np.where(n <= SHORT, least, 1 + n * np.where(n <= MIDDLE, EXTRA_MIDDLE, EXTRA_LONG) // 100)
+def prefix_length(n: int, share: int) -> int:
+    return n - -(-n * share // 100) + 1
 
 
-def prefix_length(n: np.ndarray, share: int) -> np.ndarray:
-    return np.minimum(n, n - -(-n * share // 100) + _shared(n, share))
+def count_sketch(docs: DataFrame, words: int, width: int) -> np.ndarray:
+    """How many sets of (t) hold an n-gram, by bucket of its hash: ``width`` counts, whatever the input."""
+    def count(batches):
+        held = np.zeros(width, np.int64)
+        for batch in batches:
+            for _, _, raw, offs in text_chunks(batch.column("t"), CHUNK):
+                sets = [x for x in shingle_sets(raw, offs, words) if len(x)]
+                if sets:
+                    held += np.bincount((np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+        if held.any():
+            yield slices(dict(enumerate(held.astype(np.int32).reshape(-1, SLICE))))
+
+    def slices(rows: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array([v.tobytes() for v in rows.values()], pa.binary())],
+                                          ["part", "counts"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                v = np.frombuffer(counts.as_buffer(), np.int32)
+                total[part] = total[part] + v if part in total else v.astype(np.int64)
+        if total:
+            yield slices(total)
+
+    schema = "part long, counts binary"
+    sums = docs.select("t").mapInArrow(count, schema).repartition("part").mapInArrow(add, schema)
+    out = np.zeros(width, np.int64)
+    for row in sums.collect():
+        out[row["part"] * SLICE:(row["part"] + 1) * SLICE] = np.frombuffer(row["counts"], np.int64)
+    return out
 
 
-def need(n: np.ndarray, share: int) -> np.ndarray:
-    """Shared prefix n-grams that a set of n needs to link with anything: the least over partner sizes."""
-    lo, hi = -(-n * share // 100), n * 100 // share
-    out = np.minimum(_shared(lo, share), _shared(n, share))
-    for t in (SHORT + 1, MIDDLE + 1):
-        out = np.where((lo <= t) & (t <= hi), np.minimum(out, _shared(np.array(t), share)), out)
-    return np.maximum(out, 1)
+def _parity(s: np.ndarray) -> np.ndarray:
+    """Which of the signature's bits an odd number of the set's n-grams fall on, as four longs."""
+    odd = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _arrow_sets(docs: DataFrame, words: int, share: int, full: bool) -> DataFrame:
-    """id, key, node, n and either the prefix or the whole set (array<long>) of every row of (id, key, t)."""
+def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray | None = None) -> DataFrame:
+    """id, key, node, n and grams (array<long>) of every row of (id, key, t).
+
+    Grams are the whole set, or with ``counts`` its prefix of rare n-grams; s0 to s3 are the parity signature.
+    """
+    shared = None if counts is None else docs.sparkSession.sparkContext.broadcast(counts)
+
     def run(batches):
+        held = None if shared is None else shared.value
         for batch in batches:
             for lo, hi, raw, offs in text_chunks(batch.column("t"), CHUNK):
                 sets = shingle_sets(raw, offs, words)
@@ -133,15 +165,19 @@ def _arrow_sets(docs: DataFrame, words: int, share: int, full: bool) -> DataFram
                 with np.errstate(over="ignore"):
                     node = np.array([0 if not len(s) else
                                      int(mix64(np.bitwise_xor.reduce(mix64(s * _RI)) + s.sum(dtype=np.uint64) * _R)) for s in sets], np.uint64)
-                take = n if full else prefix_length(n, share)
-                kept = [s[:k] for s, k in zip(sets, take.tolist())]
-                flat = np.concatenate([np.zeros(0, np.uint64), *kept]).view(np.int64)
-                offsets = np.concatenate(([0], np.cumsum(take))).astype(np.int32)
+                signs = np.array([_parity(s) for s in sets], np.int64).reshape(-1, 4)
+                if held is not None:
+                    mask = np.uint64(len(held) - 1)
+                    # sets are sorted, so a stable sort leaves equal counts in order of hashes
+                    sets = [s[np.argsort(held[(s & mask).astype(np.int64)], kind="stable")[:prefix_length(len(s), share)]]
+                            if len(s) else s for s in sets]
+                flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo), pa.array(node.view(np.int64)), pa.array(n),
-                     pa.array(need(n, share)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    ["id", "key", "node", "n", "need", "grams"])
-    return docs.mapInArrow(run, "id long, key long, node long, n long, need long, grams array<bigint>")
+                     *(pa.array(np.ascontiguousarray(c)) for c in signs.T), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    ["id", "key", "node", "n", "s0", "s1", "s2", "s3", "grams"])
+    return docs.mapInArrow(run, "id long, key long, node long, n long, s0 long, s1 long, s2 long, s3 long, grams array<bigint>")
 
 
 def _linked(inter: Column, a: Column, b: Column, share: int) -> Column:
@@ -149,14 +185,20 @@ def _linked(inter: Column, a: Column, b: Column, share: int) -> Column:
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, label: smallest label reachable over edges (a, b), for the nodes (node, label) on any edge."""
+    """node, label: smallest label reachable over edges (a, b), for the nodes (node, label) on any edge.
+
+    Labels are nodes.  Every round takes the least label of the neighbours and then that label's own
+    label (pointer jumping), so a chain takes rounds in the order of its length's logarithm.
+    """
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     now = stage(both.select(F.col("a").alias("node")).distinct().join(nodes, "node"))
     while True:
         near = (both.join(now.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy("a").agg(F.min("label").alias("best")))
-        nxt = stage(now.join(near, F.col("node") == F.col("a"))
-                    .select("node", F.least("label", "best").alias("label"), (F.col("best") < F.col("label")).alias("moved")))
+        hooked = now.join(near, F.col("node") == F.col("a")).select("node", "label", F.least("label", "best").alias("to"))
+        nxt = stage(hooked.join(now.select(F.col("node").alias("ln"), F.col("label").alias("up")), F.col("to") == F.col("ln"), "left")
+                    .select("node", F.least("to", F.coalesce("up", "to")).alias("new"), "label")
+                    .select("node", F.col("new").alias("label"), (F.col("new") < F.col("label")).alias("moved")))
         if not nxt.where("moved").limit(1).count():
             return nxt.select("node", "label")
         now = nxt.select("node", "label")
@@ -176,44 +218,34 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     """
     src = docs.select(F.col(f"`{doc}`").cast("long").alias("id"), text_key(text).alias("key"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
-    rows = stage(_arrow_sets(src, words, share, full=False))
+    # 1. order: rare n-grams first
+    least, most = COUNTERS
+    width = 1 << min(max(4 * src.count(), least), most).bit_length() - 1
+    rows = stage(_arrow_sets(src, words, share, count_sketch(src, words, width)))
+    signs = ["s0", "s1", "s2", "s3"]
     points = stage(rows.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("label"), F.first("n").alias("n"), F.first("need").alias("need")))
+        F.min("id").alias("label"), F.first("n").alias("n"), *(F.first(c).alias(c) for c in signs)))
     # prefixes stay in one table: a point's are those of its first row
-    live = points.join(rows.where("n > 0").select(F.col("node").alias("rn"), F.col("id").alias("ri"), "grams"),
-                       (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).drop("rn", "ri")
-
-    # 1. candidates: points with enough shared prefix n-grams, twice
-    for _ in range(2):
-        grams = live.select("node", F.explode("grams").alias("g"))
-        common = grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
-        enough = grams.join(common, "g").groupBy("node").agg(F.count("*").alias("c"))
-        live = stage(live.join(enough, "node").where("c >= need").drop("c"))
-
-    # whole sets of the candidates only: one row of each point gives its text
-    chosen = live.select("node", "label")
-    sets = src.join(chosen.select(F.col("label").alias("id")).distinct(), "id", "left_semi")
-    sets = _arrow_sets(sets, words, share, full=True).join(chosen.select("node"), "node", "left_semi").select("node", "n", "grams")
-    sets = stage(sets.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams")))
+    grams = (points.select("node", "label", "n")
+             .join(rows.where("n > 0").select(F.col("node").alias("rn"), F.col("id").alias("ri"), "grams"),
+                   (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", "n", F.explode("grams").alias("g")))
 
     # 2. and 3. regions, pivots, windows
-    # Any order of n-grams keeps the prefix rule.  Rare ones come first from here on, so that a passage which
-    # many documents hold is no region of theirs unless most of their text is such passages.
-    grams = sets.select("node", "n", F.explode("grams").alias("g"))
-    counts = grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = grams.join(counts, "g").groupBy("node").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "g"))).alias("shared"))
-    # n-grams of one point alone are the rarest: they fill the prefix but are no regions
-    plain = F.expr(f"cast(ceil(n * {share} / 100) as int)")
-    ordered = ordered.withColumn("take", F.size("shared") - plain + 1).where("take > 0")
-    prefix = stage(ordered.select("node", "n", F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("e"))
-                   .select("node", "n", F.col("e.g").alias("g")))
-    common = prefix.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
-    region = stage(prefix.join(common, "g").select("g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
-                                                   F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
+    common = grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
+    region = stage(grams.join(common, "g").select("g", "node", "n").distinct().select(
+        "g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
+        F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
+
+    # whole sets of the regions' points only: one row of each point gives its text
+    chosen = stage(region.select("node").distinct().join(points.select("node", "label"), "node"))
+    sets = src.join(chosen.select(F.col("label").alias("id")).distinct(), "id", "left_semi")
+    sets = _arrow_sets(sets, words, share).join(chosen.select("node"), "node", "left_semi").select("node", "n", "grams")
+    sets = stage(sets.dropDuplicates(["node"]))
     tau = 1 - share / 100 + 1e-9
-    mine = sets.select(F.col("node").alias("an"), F.col("n").alias("na"), F.col("grams").alias("ga"))
-    theirs = sets.select(F.col("node").alias("bn"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
+    mine = sets.select(F.col("node").alias("an"), F.col("grams").alias("ga"))
+    theirs = sets.select(F.col("node").alias("bn"), F.col("grams").alias("gb"))
+    sign_a = points.select(F.col("node").alias("an"), F.col("n").alias("na"), *(F.col(c).alias("a" + c) for c in signs))
+    sign_b = points.select(F.col("node").alias("bn"), F.col("n").alias("nb"), *(F.col(c).alias("b" + c) for c in signs))
     links, found, pivots = None, None, 1
     while True:
         # pivots of each region: its first open points, with their components and distances to the last pivot
@@ -227,11 +259,22 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
         low, high = F.least("n", "pn"), F.greatest("n", "pn")
         seen = seen.withColumn("meets", (F.col("comp") != F.col("pcomp")) & near & (100 * low >= share * high))
         pairs = stage(seen.where("meets").select("node", "pivot").distinct())
+        # sets differ in at least as many n-grams as their signatures in bits: with a difference of x n-grams
+        # the similarity is at most (na + nb - x) / (na + nb + x)
+        bits = sum((F.bit_count(F.col("a" + c).bitwiseXOR(F.col("b" + c))) for c in signs), F.lit(0))
+        both = F.col("na") + F.col("nb")
+        signed = (pairs.join(sign_a, F.col("node") == F.col("an")).drop("an").join(sign_b, F.col("pivot") == F.col("bn")).drop("bn")
+                  .select("node", "pivot", "na", "nb", (1 - (both - bits) / (both + bits)).alias("bound"),
+                          (100 * (both - bits) >= share * (both + bits)).alias("may")))
+        signed = stage(signed)
         inter = F.size(F.array_intersect("ga", "gb")).cast("long")
-        dist = (pairs.join(mine, F.col("node") == F.col("an")).join(theirs, F.col("pivot") == F.col("bn"))
+        full = (signed.where("may").join(mine, F.col("node") == F.col("an")).join(theirs, F.col("pivot") == F.col("bn"))
                 .select(F.col("node").alias("dn"), F.col("pivot").alias("dp"), "na", "nb", inter.alias("i")))
-        dist = stage(dist.select("dn", "dp", (1 - F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("dist"),
-                                 _linked(F.col("i"), F.col("na"), F.col("nb"), share).alias("hit")))
+        full = full.select("dn", "dp", (1 - F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("dist"),
+                           F.lit(True).alias("whole"), _linked(F.col("i"), F.col("na"), F.col("nb"), share).alias("hit"))
+        dist = stage(full.unionByName(signed.where("NOT may").select(
+            F.col("node").alias("dn"), F.col("pivot").alias("dp"), F.col("bound").alias("dist"),
+            F.lit(False).alias("whole"), F.lit(False).alias("hit"))))
         new = dist.where("hit").select(F.col("dn").alias("a"), F.col("dp").alias("b"))
         links = new if links is None else links.unionByName(new)
         found = components(links, points.select("node", F.col("node").alias("label")))
@@ -243,7 +286,7 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
         state = met.groupBy("g", "node", "n", "open", "duty").agg(
             F.max(F.coalesce("hit", F.lit(False))).alias("hit"), F.max(F.col("node") == F.col("pivot")).alias("self"),
             F.collect_set(F.when((F.col("comp") != F.col("pcomp")) & ~far, F.coalesce("now", "pivot"))).alias("close"),
-            F.max(F.when(F.col("lead"), F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("dist")))).alias("d"))
+            F.max(F.when(F.col("lead"), F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.expr("IF(whole, dist, NULL)")))).alias("d"))
         state = (state.join(found.select(F.col("node").alias("fn"), "label"), F.col("node") == F.col("fn"), "left")
                  .withColumn("comp", F.coalesce("label", "node")))
         owes = F.size(F.array_remove(F.col("close"), F.col("comp"))) > 0
