@@ -231,7 +231,8 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                    (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", "n", F.explode("grams").alias("g")))
 
     # 2. and 3. regions, pivots, windows
-    common = grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g")
+    # staged, so that Spark knows their size before it chooses how to join the many n-grams of one point alone
+    common = stage(grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g"))
     region = stage(grams.join(common, "g").select("g", "node", "n").distinct().select(
         "g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
         F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
@@ -239,8 +240,10 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     # whole sets of the regions' points only: one row of each point gives its text
     chosen = stage(region.select("node").distinct().join(points.select("node", "label"), "node"))
     sets = src.join(chosen.select(F.col("label").alias("id")).distinct(), "id", "left_semi")
-    sets = _arrow_sets(sets, words, share).join(chosen.select("node"), "node", "left_semi").select("node", "n", "grams")
-    sets = stage(sets.dropDuplicates(["node"]))
+    sets = stage(_arrow_sets(sets, words, share).join(chosen.select("node"), "node", "left_semi").select("node", "grams"))
+    # repeated rows of one id give a set twice; only those are shuffled to keep one
+    twice = stage(sets.groupBy("node").count().where("count > 1").select("node"))
+    sets = sets.join(twice, "node", "left_anti").unionByName(sets.join(twice, "node", "left_semi").dropDuplicates(["node"]))
     tau = 1 - share / 100 + 1e-9
     mine = sets.select(F.col("node").alias("an"), F.col("grams").alias("ga"))
     theirs = sets.select(F.col("node").alias("bn"), F.col("grams").alias("gb"))
@@ -267,9 +270,12 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                   .select("node", "pivot", "na", "nb", (1 - (both - bits) / (both + bits)).alias("bound"),
                           (100 * (both - bits) >= share * (both + bits)).alias("may")))
         signed = stage(signed)
+        may = stage(signed.where("may").select("node", "pivot"))
+        pivot_sets = theirs.join(may.select(F.col("pivot").alias("bn")).distinct(), "bn", "left_semi")
         inter = F.size(F.array_intersect("ga", "gb")).cast("long")
-        full = (signed.where("may").join(mine, F.col("node") == F.col("an")).join(theirs, F.col("pivot") == F.col("bn"))
-                .select(F.col("node").alias("dn"), F.col("pivot").alias("dp"), "na", "nb", inter.alias("i")))
+        size_of = F.size("ga").cast("long"), F.size("gb").cast("long")
+        full = (may.join(mine, F.col("node") == F.col("an")).join(pivot_sets, F.col("pivot") == F.col("bn"))
+                .select(F.col("node").alias("dn"), F.col("pivot").alias("dp"), size_of[0].alias("na"), size_of[1].alias("nb"), inter.alias("i")))
         full = full.select("dn", "dp", (1 - F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("dist"),
                            F.lit(True).alias("whole"), _linked(F.col("i"), F.col("na"), F.col("nb"), share).alias("hit"))
         dist = stage(full.unionByName(signed.where("NOT may").select(
