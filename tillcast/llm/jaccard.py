@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,22 +144,42 @@ def count_sketch(docs: DataFrame, words: int, width: int) -> np.ndarray:
     return out
 
 
+def _slot(ids: np.ndarray, width: int) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(np.uint64)) & np.uint64(width - 1)).astype(np.int64)
+
+
+def _marked(ids: DataFrame, width: int) -> np.ndarray:
+    """A filter of ``width`` slots, true at those of the ids in (label): at most ``width`` slots reach the driver."""
+    def slots(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slot(batch.column(0).to_numpy(), width)))], ["slot"])
+
+    out = np.zeros(width, bool)
+    out[ids.mapInArrow(slots, "slot long").distinct().toArrow().column("slot").to_numpy()] = True
+    return out
+
+
 def _parity(s: np.ndarray) -> np.ndarray:
     """Which of the signature's bits an odd number of the set's n-grams fall on, as four longs."""
     odd = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SIGNATURE) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray | None = None) -> DataFrame:
-    """id, key, node, n and grams (array<long>) of every row of (id, key, t).
+def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray | None = None,
+                only: np.ndarray | None = None) -> DataFrame:
+    """id, key, node, n and grams (array<long>) of every row of (id, key, t), or of the rows ``_marked`` in ``only``.
 
     Grams are the whole set, or with ``counts`` its prefix of rare n-grams; s0 to s3 are the parity signature.
     """
     shared = None if counts is None else docs.sparkSession.sparkContext.broadcast(counts)
+    wanted = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches):
         held = None if shared is None else shared.value
         for batch in batches:
+            if wanted is not None:
+                batch = batch.filter(pc.is_valid(batch.column("id")))
+                batch = batch.filter(pa.array(wanted.value[_slot(batch.column("id").to_numpy(), len(wanted.value))]))
             for lo, hi, raw, offs in text_chunks(batch.column("t"), CHUNK):
                 sets = shingle_sets(raw, offs, words)
                 n = np.array([len(s) for s in sets], np.int64)
@@ -231,22 +252,15 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                    (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", "n", F.explode("grams").alias("g")))
 
     # 2. and 3. regions, pivots, windows
-    # staged, so that Spark knows their size before it chooses how to join the many n-grams of one point alone
-    common = stage(grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("g"))
-    region = stage(grams.join(common, "g").select("g", "node", "n").distinct().select(
+    # both sides of the join read one exchange of the n-grams; n is carried through so that their columns agree
+    grams = grams.repartition("g")
+    common = (grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("n").alias("most"))
+              .where("lo < hi AND most > 0").select(F.col("g").alias("cg")))
+    region = stage(grams.join(common, F.col("g") == F.col("cg")).select("g", "node", "n").distinct().select(
         "g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
         F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
 
-    # whole sets of the regions' points only: one row of each point gives its text
-    chosen = stage(region.select("node").distinct().join(points.select("node", "label"), "node"))
-    sets = src.join(chosen.select(F.col("label").alias("id")).distinct(), "id", "left_semi")
-    sets = stage(_arrow_sets(sets, words, share).join(chosen.select("node"), "node", "left_semi").select("node", "grams"))
-    # repeated rows of one id give a set twice; only those are shuffled to keep one
-    twice = stage(sets.groupBy("node").count().where("count > 1").select("node"))
-    sets = sets.join(twice, "node", "left_anti").unionByName(sets.join(twice, "node", "left_semi").dropDuplicates(["node"]))
     tau = 1 - share / 100 + 1e-9
-    mine = sets.select(F.col("node").alias("an"), F.col("grams").alias("ga"))
-    theirs = sets.select(F.col("node").alias("bn"), F.col("grams").alias("gb"))
     sign_a = points.select(F.col("node").alias("an"), F.col("n").alias("na"), *(F.col(c).alias("a" + c) for c in signs))
     sign_b = points.select(F.col("node").alias("bn"), F.col("n").alias("nb"), *(F.col(c).alias("b" + c) for c in signs))
     links, found, pivots = None, None, 1
@@ -271,7 +285,15 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                           (100 * (both - bits) >= share * (both + bits)).alias("may")))
         signed = stage(signed)
         may = stage(signed.where("may").select("node", "pivot"))
-        pivot_sets = theirs.join(may.select(F.col("pivot").alias("bn")).distinct(), "bn", "left_semi")
+        # whole sets are read from the texts again, and only of points that some pair still needs
+        asked = may.select("node").unionByName(may.select(F.col("pivot").alias("node"))).distinct().join(points.select("node", "label"), "node")
+        sets = stage(_arrow_sets(src, words, share, only=_marked(asked.select("label"), width)).select("node", "grams"))
+        # repeated rows of one id give a set twice; only those are shuffled to keep one
+        twice = stage(sets.groupBy("node").count().where("count > 1").select("node"))
+        sets = sets.join(twice, "node", "left_anti").unionByName(sets.join(twice, "node", "left_semi").dropDuplicates(["node"]))
+        mine = sets.select(F.col("node").alias("an"), F.col("grams").alias("ga"))
+        pivot_sets = (sets.join(may.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
+                      .select(F.col("node").alias("bn"), F.col("grams").alias("gb")))
         inter = F.size(F.array_intersect("ga", "gb")).cast("long")
         size_of = F.size("ga").cast("long"), F.size("gb").cast("long")
         full = (may.join(mine, F.col("node") == F.col("an")).join(pivot_sets, F.col("pivot") == F.col("bn"))
