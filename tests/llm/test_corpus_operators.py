@@ -153,6 +153,33 @@ def test_jaccard_empty(spark):
     assert jaccard.jaccard_components(_docs(spark, [])).count() == 0
 
 
+def test_parity_signatures_never_exceed_the_difference():
+    r = np.random.default_rng(3)
+    for size in (1, 40, 900):
+        a = np.unique(r.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        b = np.unique(np.concatenate((a[size // 10:], r.integers(0, 1 << 63, size // 8, dtype=np.uint64))))
+        bits = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in jaccard._parity(a) ^ jaccard._parity(b))
+        assert bits <= len(np.setxor1d(a, b))
+        assert not jaccard._parity(a[:0]).any()
+
+
+def test_count_sketch_counts_sets(spark):
+    docs = _docs(spark, [(1, "a b c d"), (2, "A B C D"), (3, None), (4, "a b c d a b c d")]).selectExpr("text AS t")
+    width = jaccard.COUNTERS[0]
+    got = jaccard.count_sketch(docs, 4, width)
+    raw = np.frombuffer(b"a b c d", np.uint8)
+    gram = jaccard.shingle_sets(raw, np.array([0, len(raw)]), 4)[0][0]
+    assert len(got) == width and got[int(gram) & width - 1] == 3 and got.sum() == 1 + 1 + 4
+
+
+def test_components_of_a_long_chain(spark):
+    ids = [(i * 7919) % 1000 for i in range(60)]
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])) + [(5000, 5001)], "a long, b long")
+    nodes = spark.createDataFrame([(i, i) for i in [*ids, 5000, 5001]], "node long, label long")
+    got = dict(map(tuple, jaccard.components(edges, nodes).collect()))
+    assert got == {**{i: min(ids) for i in ids}, 5000: 5000, 5001: 5000}
+
+
 # --- winnowing -------------------------------------------------------------
 
 def test_winnowing_finds_every_window(spark):
