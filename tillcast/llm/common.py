@@ -9,13 +9,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.session import stage
+from tillcast import session
 
 __all__ = ["stage", "table", "ascii_lower", "text_chunks", "mix64", "buckets_for", "same_key", "carried"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder; the write's shuffle files go when it ends, as the table replaces them."""
+    conf = df.sparkSession.conf
+    before = conf.get(RELEASE)
+    conf.set(RELEASE, "true")
+    try:
+        return session.stage(df)
+    finally:
+        conf.set(RELEASE, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

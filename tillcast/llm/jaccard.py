@@ -7,11 +7,11 @@ The join keeps exact by these steps:
    buckets.  Each set is put in order of these counts, rare ones first, and
    keeps the prefix that a linked set must meet.  Any one order of n-grams
    keeps the prefix rule, so collisions in the sketch cost time, not results.
-2. *Regions.*  Every prefix n-gram that two points share is a region.  Its
-   first point is the region's pivot, and the distances of its points to the
-   pivot are computed from whole sets.  Points within the threshold link to the
+2. *Regions.*  Every prefix n-gram that two points share is a region; n-grams
+   that the same points share are one.  Its first point is the region's pivot,
+   and the distances of its points to the pivot are computed from whole texts.  Points within the threshold link to the
    pivot.  Pairs whose parity signatures differ in more bits than two linked
-   sets can differ in n-grams are ruled out before whole sets are read.
+   sets can differ in n-grams are ruled out before whole texts are read.
 3. *Windows and recursion.*  Points beyond the threshold stay for the next
    round with a pivot of their own, met by those points of the region whose
    pivot distance lies within the threshold of theirs (triangle inequality:
@@ -165,21 +165,17 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray | None = None,
-                only: np.ndarray | None = None) -> DataFrame:
-    """id, key, node, n and grams (array<long>) of every row of (id, key, t), or of the rows ``_marked`` in ``only``.
+def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray) -> DataFrame:
+    """id, key, node, n and grams (array<long>) of every row of (id, key, t).
 
-    Grams are the whole set, or with ``counts`` its prefix of rare n-grams; s0 to s3 are the parity signature.
+    Grams are the set's prefix of rare n-grams by ``counts``; s0 to s3 are the parity signature of the whole set.
     """
-    shared = None if counts is None else docs.sparkSession.sparkContext.broadcast(counts)
-    wanted = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
-        held = None if shared is None else shared.value
+        held = shared.value
+        mask = np.uint64(len(held) - 1)
         for batch in batches:
-            if wanted is not None:
-                batch = batch.filter(pc.is_valid(batch.column("id")))
-                batch = batch.filter(pa.array(wanted.value[_slot(batch.column("id").to_numpy(), len(wanted.value))]))
             for lo, hi, raw, offs in text_chunks(batch.column("t"), CHUNK):
                 sets = shingle_sets(raw, offs, words)
                 n = np.array([len(s) for s in sets], np.int64)
@@ -187,11 +183,9 @@ def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray | No
                     node = np.array([0 if not len(s) else
                                      int(mix64(np.bitwise_xor.reduce(mix64(s * _RI)) + s.sum(dtype=np.uint64) * _R)) for s in sets], np.uint64)
                 signs = np.array([_parity(s) for s in sets], np.int64).reshape(-1, 4)
-                if held is not None:
-                    mask = np.uint64(len(held) - 1)
-                    # sets are sorted, so a stable sort leaves equal counts in order of hashes
-                    sets = [s[np.argsort(held[(s & mask).astype(np.int64)], kind="stable")[:prefix_length(len(s), share)]]
-                            if len(s) else s for s in sets]
+                # sets are sorted, so a stable sort leaves equal counts in order of hashes
+                sets = [s[np.argsort(held[(s & mask).astype(np.int64)], kind="stable")[:prefix_length(len(s), share)]]
+                        if len(s) else s for s in sets]
                 flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -201,6 +195,37 @@ def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray | No
     return docs.mapInArrow(run, "id long, key long, node long, n long, s0 long, s1 long, s2 long, s3 long, grams array<bigint>")
 
 
+def _only(docs: DataFrame, marked: np.ndarray) -> DataFrame:
+    """The rows of (id, key, t) whose id falls on a slot that ``_marked`` set."""
+    wanted = docs.sparkSession.sparkContext.broadcast(marked)
+
+    def run(batches):
+        for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("id")))
+            yield batch.filter(pa.array(wanted.value[_slot(batch.column("id").to_numpy(), len(wanted.value))]))
+    return docs.mapInArrow(run, "id long, key long, t string")
+
+
+def _compared(pairs: DataFrame, words: int) -> DataFrame:
+    """dn, dp, na, nb, i: sizes of the n-gram sets of both texts of (node, pivot, ta, tb), and of what they share."""
+    def run(batches):
+        last, theirs = None, None       # pairs come in order of pivots
+        for batch in batches:
+            pivots = batch.column("pivot").to_pylist()
+            na, nb, both = [], [], []
+            for lo, hi, raw, offs in text_chunks(batch.column("ta"), CHUNK):
+                for k, mine in enumerate(shingle_sets(raw, offs, words), lo):
+                    if theirs is None or pivots[k] != last:
+                        _, _, braw, boffs = next(text_chunks(batch.column("tb").slice(k, 1), CHUNK))
+                        last, theirs = pivots[k], shingle_sets(braw, boffs, words)[0]
+                    na.append(len(mine))
+                    nb.append(len(theirs))
+                    both.append(len(np.intersect1d(mine, theirs, assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("pivot"), *(pa.array(c, pa.int64()) for c in (na, nb, both))],
+                                             ["dn", "dp", "na", "nb", "i"])
+    return pairs.mapInArrow(run, "dn long, dp long, na long, nb long, i long")
+
+
 def _linked(inter: Column, a: Column, b: Column, share: int) -> Column:
     return 100 * inter >= share * (a + b - inter)
 
@@ -245,18 +270,21 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     rows = stage(_arrow_sets(src, words, share, count_sketch(src, words, width)))
     signs = ["s0", "s1", "s2", "s3"]
     points = stage(rows.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("label"), F.first("n").alias("n"), *(F.first(c).alias(c) for c in signs)))
+        F.min(F.struct("id", "key")).alias("first"), F.first("n").alias("n"), *(F.first(c).alias(c) for c in signs))
+        .select("node", F.col("first.id").alias("label"), F.col("first.key").alias("tkey"), "n", *signs))
     # prefixes stay in one table: a point's are those of its first row
-    grams = (points.select("node", "label", "n")
+    grams = (points.select("node", "label")
              .join(rows.where("n > 0").select(F.col("node").alias("rn"), F.col("id").alias("ri"), "grams"),
-                   (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", "n", F.explode("grams").alias("g")))
+                   (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", F.explode("grams").alias("g")))
 
     # 2. and 3. regions, pivots, windows
-    # both sides of the join read one exchange of the n-grams; n is carried through so that their columns agree
-    grams = grams.repartition("g")
-    common = (grams.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("n").alias("most"))
-              .where("lo < hi AND most > 0").select(F.col("g").alias("cg")))
-    region = stage(grams.join(common, F.col("g") == F.col("cg")).select("g", "node", "n").distinct().select(
+    # a region's name is a hash of its points, so n-grams that the same points share are one region; if unlike
+    # regions meet under a name, their union is compared
+    held = Window.partitionBy("g")
+    named = (grams.withColumns({"lo": F.min("node").over(held), "hi": F.max("node").over(held), "x": F.bit_xor("node").over(held),
+                                "y": F.bit_xor(F.xxhash64("node")).over(held)})
+             .where("lo < hi").select(F.xxhash64("lo", "hi", "x", "y").alias("g"), "node").distinct())
+    region = stage(named.join(points.select(F.col("node").alias("pn"), "n"), F.col("node") == F.col("pn")).select(
         "g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
         F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
 
@@ -285,19 +313,19 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                           (100 * (both - bits) >= share * (both + bits)).alias("may")))
         signed = stage(signed)
         may = stage(signed.where("may").select("node", "pivot"))
-        # whole sets are read from the texts again, and only of points that some pair still needs
-        asked = may.select("node").unionByName(may.select(F.col("pivot").alias("node"))).distinct().join(points.select("node", "label"), "node")
-        sets = stage(_arrow_sets(src, words, share, only=_marked(asked.select("label"), width)).select("node", "grams"))
-        # repeated rows of one id give a set twice; only those are shuffled to keep one
-        twice = stage(sets.groupBy("node").count().where("count > 1").select("node"))
-        sets = sets.join(twice, "node", "left_anti").unionByName(sets.join(twice, "node", "left_semi").dropDuplicates(["node"]))
-        mine = sets.select(F.col("node").alias("an"), F.col("grams").alias("ga"))
-        pivot_sets = (sets.join(may.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
-                      .select(F.col("node").alias("bn"), F.col("grams").alias("gb")))
-        inter = F.size(F.array_intersect("ga", "gb")).cast("long")
-        size_of = F.size("ga").cast("long"), F.size("gb").cast("long")
-        full = (may.join(mine, F.col("node") == F.col("an")).join(pivot_sets, F.col("pivot") == F.col("bn"))
-                .select(F.col("node").alias("dn"), F.col("pivot").alias("dp"), size_of[0].alias("na"), size_of[1].alias("nb"), inter.alias("i")))
+        # whole texts are read again, only those of points that some pair still needs, and compared pair by pair
+        asked = may.select("node").unionByName(may.select(F.col("pivot").alias("node"))).distinct().join(
+            points.select("node", "label", "tkey"), "node")
+        texts = stage(_only(src, _marked(asked.select("label"), width)).join(
+            asked, (F.col("id") == F.col("label")) & (F.col("key") == F.col("tkey"))).select("node", "t"))
+        # repeated rows of one id give a text twice; only those are shuffled to keep one
+        twice = stage(texts.groupBy("node").count().where("count > 1").select("node"))
+        texts = texts.join(twice, "node", "left_anti").unionByName(texts.join(twice, "node", "left_semi").dropDuplicates(["node"]))
+        pivot_texts = (texts.join(may.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
+                       .select(F.col("node").alias("bn"), F.col("t").alias("tb")))
+        full = _compared(may.join(texts.select(F.col("node").alias("an"), F.col("t").alias("ta")), F.col("node") == F.col("an"))
+                         .join(pivot_texts, F.col("pivot") == F.col("bn")).select("node", "pivot", "ta", "tb")
+                         .sortWithinPartitions("pivot"), words)
         full = full.select("dn", "dp", (1 - F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("dist"),
                            F.lit(True).alias("whole"), _linked(F.col("i"), F.col("na"), F.col("nb"), share).alias("hit"))
         dist = stage(full.unionByName(signed.where("NOT may").select(
