@@ -40,7 +40,8 @@ from tillcast.llm.common import mix64, stage, text_chunks
 WORDS = 4
 SHARE = 85                  # percent: 100 * intersection >= SHARE * union
 CHUNK = 1 << 21
-PIVOTS = 32                 # pivots of a region in each round after the first
+PIVOTS = 32                 # pivots of a region in the second round
+GROWTH = 4                  # times as many in each later round: rounds grow with a region's logarithm
 COUNTERS = 1 << 16, 1 << 22     # least and largest width of the count sketch
 SLICE = 1 << 12             # counters in a row of partial counts
 SIGNATURE = 256             # bits of a parity signature
@@ -355,7 +356,7 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
         region = stage(nxt.join(left, "g"))
         if not region.limit(1).count():
             break
-        pivots = PIVOTS
+        pivots = PIVOTS if pivots == 1 else pivots * GROWTH
     comp = points.select("node", F.col("label").alias("own")).join(found, "node", "left").select(
         "node", "own", F.coalesce("label", "node").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("own").alias("component"))
