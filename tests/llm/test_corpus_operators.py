@@ -276,6 +276,24 @@ def test_neighbours(spark):
     assert ann.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_spread_out_vectors(spark):
+    # no clusters and norms that differ much: a fixed number of lists misses many of the nearest
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(6000, 32)) * np.exp(rng.normal(0, 0.5, (6000, 1)))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 40 == 0, per_list=10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    d = x.astype(np.float64)
+    found = []
+    for q in range(0, 6000, 40):
+        s = d @ d[q]
+        s[q] = -np.inf
+        found.append(len(got[q] & set(np.argsort(-s, kind="stable")[:20].tolist())) / 20)
+    assert np.mean(found) >= 0.95
+
+
+
 # --- language --------------------------------------------------------------
 
 def _ngrams_brute(text):

@@ -12,6 +12,14 @@ Search: the graph gives a query's nearest centroids, lists further than
 ``PRUNE`` times the nearest are left out, and queries meet postings in a
 cogroup by list, where blocks of both are multiplied in double precision.
 
+How many lists and which ratio a search needs depends on the vectors (spread
+out ones, or norms that differ much, need far more), so both are measured:
+``TUNE`` queries are searched by brute force in one pass over the table, and
+probes and ratio are raised from ``PROBES`` and ``PRUNE`` until their lists
+hold the share ``RECALL`` of these queries' true neighbours -- all lists if
+need be.  Where a query needs a good part of all lists, lists are merged, so
+that it isn't copied to each of them.
+
 Inner product becomes distance by one added component (sqrt(M^2 - |x|^2), M the
 largest norm).  Equal vectors are one posting with their ``k + 1`` smallest
 ids, so a vector in a third of all rows is searched once and expanded at the
@@ -39,7 +47,9 @@ MAX_SAMPLE = 200_000
 COPIES = 4
 REPLICATE = 1.10
 PRUNE = 1.35
-PROBES = 48                 # lists searched for a query at most
+PROBES = 48                 # lists searched for a query, before tuning
+TUNE = 128                  # queries whose true neighbours set probes and ratio
+RECALL = 0.99               # share of these neighbours that the searched lists hold
 DEGREE = 24
 BLOCK = 4_096
 
@@ -98,6 +108,10 @@ class CentroidGraph:
         n, b = len(self.c), len(x)
         width = min(width, n)
         xs = (x ** 2).sum(1)
+        if 4 * width >= n:                      # a walk would open most centroids one by one
+            d = xs[:, None] + self.sq - 2 * x @ self.c.T
+            ids = np.argsort(d, axis=1, kind="stable")[:, :width]
+            return ids, np.maximum(np.take_along_axis(d, ids, 1), 0)
 
         def dist(ids):
             return xs[:, None] + self.sq[ids] - 2 * np.einsum("bd,bkd->bk", x, self.c[ids])
@@ -163,6 +177,57 @@ def _exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _merged(rows: np.ndarray, lists: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs with ``span`` neighbouring lists taken as one."""
+    if span == 1 or not len(rows):
+        return rows, lists
+    lists = lists // span
+    wide = int(lists.max()) + 1
+    return np.divmod(np.unique(rows * wide + lists), wide)
+
+
+def _nearest_of_sample(reps: DataFrame, sample: np.ndarray, k: int, dim: int) -> DataFrame:
+    """qi, rep, v, norm2: the k vectors of largest inner product for each sample row, over all of ``reps``."""
+    def best(batches):
+        for b in batches:
+            x, ids = _matrix(b.column("v"), dim), b.column("rep").to_numpy()
+            s = sample @ x.T
+            top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k] if len(x) else np.zeros((len(sample), 0), int)
+            yield pa.RecordBatch.from_pydict({"qi": pa.array(np.repeat(np.arange(len(sample)), top.shape[1]), pa.int32()),
+                                              "rep": pa.array(ids[top].ravel(), pa.int64()),
+                                              "s": pa.array(np.take_along_axis(s, top, 1).ravel(), pa.float64())})
+
+    near = reps.select("rep", "v").mapInArrow(best, "qi int, rep long, s double")
+    w = Window.partitionBy("qi").orderBy(F.desc("s"), "rep")
+    near = near.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
+    return reps.select("rep", "v", "norm2").join(near.select("qi", "rep"), "rep")
+
+
+def tuned(graph: CentroidGraph, queries: np.ndarray, qi: np.ndarray, found: np.ndarray, copies: int, replicate: float,
+          prune: float, probes: int, recall: float = RECALL) -> tuple[float, int]:
+    """(ratio, probes) whose lists hold the share ``recall`` of the true neighbours ``found`` of ``queries[qi]``."""
+    rows, lists = _near_lists(graph, found, copies, replicate)
+    if not len(qi):
+        return prune, probes
+    held = [[] for _ in queries]                # (neighbour, list) of each query
+    for r, c in zip(rows.tolist(), lists.tolist()):
+        held[qi[r]].append((r, c))
+    n = len(graph.c)
+    while True:
+        ids, d = graph.search(queries, probes)
+        first = np.full(len(qi), np.inf)        # ratio at which a neighbour's first list is reached
+        for q, pairs in enumerate(held):
+            at = dict(zip(ids[q].tolist(), range(ids.shape[1])))
+            for r, c in pairs:
+                if c in at:
+                    far = d[q, at[c]] / d[q, 0] if d[q, 0] > 0 else (np.inf if d[q, at[c]] > 0 else 1.0)
+                    first[r] = min(first[r], np.sqrt(min(far, 1e300)))
+        if (first < np.inf).mean() >= recall or probes >= n:
+            need = np.sort(first)[max(int(np.ceil(recall * len(first))) - 1, 0)]
+            return (prune if need <= prune else min(float(need) * 1.01, 1e150)), min(probes, n)
+        probes = min(2 * probes, n)
+
+
 def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: str = "vec_id", k: int = 20,
            per_list: int = LIST, copies: int = COPIES, replicate: float = REPLICATE, prune: float = PRUNE,
            probes: int = PROBES) -> DataFrame:
@@ -193,11 +258,25 @@ def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: st
     graph = CentroidGraph(_lloyd(sample, balanced_centroids(sample, lists)))
     blocks = max(1, -(-n * copies // (len(graph.c) * BLOCK)))
 
+    queries = base.where("q").select("id", "v").join(reps.select("v", "rep"), "v").select("id", "rep")
+    queries = stage(queries)
+    asked = reps.join(queries.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
+    tune = asked.orderBy(F.xxhash64("rep"), "rep").limit(TUNE).toArrow()
+    if tune.num_rows:
+        x = _matrix(tune.column("v").combine_chunks(), dim)
+        true = _nearest_of_sample(reps, x, k + 1, dim).toArrow()
+        found = _matrix(true.column("v").combine_chunks(), dim)
+        lift = np.sqrt(np.maximum(top - true.column("norm2").to_numpy(), 0))
+        prune, probes = tuned(graph, np.concatenate((x, np.zeros((len(x), 1))), 1), true.column("qi").to_numpy(),
+                              np.concatenate((found, lift[:, None]), 1), copies, replicate, prune, probes)
+    span = max(1, probes // PROBES) if 4 * probes >= len(graph.c) else 1     # lists merged into one
+
     def postings(batches):
         for b in batches:
             x = _matrix(b.column("v"), dim)
             aug = np.concatenate((x, np.sqrt(np.maximum(top - b.column("norm2").to_numpy(), 0))[:, None]), 1)
             r, c = _near_lists(graph, aug, copies, replicate)
+            r, c = _merged(r, c, span)
             t = pa.Table.from_batches([b.select(["rep", "v"])]).take(pa.array(r))
             block = t.column("rep").to_numpy() % blocks
             yield from t.append_column("list", pa.array(c * blocks + block)).to_batches()
@@ -207,13 +286,11 @@ def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: st
             x = _matrix(b.column("v"), dim)
             aug = np.concatenate((x, np.zeros((len(x), 1))), 1)
             r, c = _near_lists(graph, aug, probes, prune)
+            r, c = _merged(r, c, span)
             r, c = np.repeat(r, blocks), (c[:, None] * blocks + np.arange(blocks)).ravel()
             t = pa.Table.from_batches([b.select(["rep", "v"])]).take(pa.array(r))
             yield from t.append_column("list", pa.array(c)).to_batches()
 
-    queries = base.where("q").select("id", "v").join(reps.select("v", "rep"), "v").select("id", "rep")
-    queries = stage(queries)
-    asked = reps.join(queries.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
     post = reps.select("rep", "v", "norm2").mapInArrow(postings, "rep long, v array<float>, list long")
     ask = asked.mapInArrow(probe, "rep long, v array<float>, list long")
 
@@ -224,10 +301,11 @@ def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: st
             qi, xi = qs.column("rep").to_numpy(), xs.column("rep").to_numpy()
             by = np.argsort(xi, kind="stable")          # ties: smaller id first
             xm, xi = xm[by], xi[by]
-            for lo in range(0, len(qi), 256):
-                s = _exact_products(qm[lo:lo + 256], xm)
+            step = max(1, min(256, 2_000_000 // len(xi)))
+            for lo in range(0, len(qi), step):
+                s = _exact_products(qm[lo:lo + step], xm)
                 best = np.argsort(-s, axis=1, kind="stable")[:, :k + 1]
-                out_q.append(np.repeat(qi[lo:lo + 256], best.shape[1]))
+                out_q.append(np.repeat(qi[lo:lo + step], best.shape[1]))
                 out_x.append(xi[best].ravel())
                 out_s.append(np.take_along_axis(s, best, 1).ravel())
         cat = lambda a, t: pa.array(np.concatenate(a) if a else np.zeros(0), t)
