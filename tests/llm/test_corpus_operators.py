@@ -104,6 +104,22 @@ def test_substring_dedup_empty(spark):
     assert exactdedup.dedup_substrings(_docs(spark, [])).count() == 0
 
 
+def test_substring_dedup_asks_only_for_sides_that_agree():
+    """Texts that share less than half of what a window has beside its anchor move no bytes."""
+    r = random.Random(5)
+    filler = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    common = "Q" + filler(30)                   # an anchor may lie in it, a window may not
+
+    def asked(texts):
+        group = exactdedup.Group(pa.chunked_array([list(range(len(texts)))]), pa.array(texts), 50, 16, 1, 64)
+        replies = exactdedup._resolve(group.messages(0), 4096)
+        return int(group.answers(replies)[1].sum())
+
+    assert asked([filler(80) + common + filler(80) for _ in range(20)]) == 0
+    line = filler(50)                           # one whole window: anchors at its edge stay to be sorted out
+    assert asked([filler(80) + line + filler(80) for _ in range(20)]) > 0
+
+
 # --- n-gram Jaccard --------------------------------------------------------
 
 def _jaccard_brute(rows, k, share):

@@ -15,9 +15,12 @@ How the passages meet, without moving the text of unique passages:
    its smallest id, so a passage in a third of all documents is one entry a
    task; the answers are one bit an entry.
 3. An anchor whose neighbourhoods differ (near an edit) may be covered in
-   part.  Those neighbourhoods' bytes are gathered by anchor, and a two-stage
-   suffix array with adjacent common prefixes (``suffix``) finds which of their
-   windows a smaller id holds.
+   part.  A window that two of them share reaches half of what it has beside
+   the anchor, or more, to the left or to the right, so neighbourhoods are
+   compared by a short hash of either side first.  The bytes of those that
+   agree on a side are gathered by anchor, and a two-stage suffix array with
+   adjacent common prefixes (``suffix``) finds which of their windows a smaller
+   id holds.
 4. Anchors with very many different neighbourhoods (the edge of a very common
    line) would be one large group; their windows are settled one by one
    instead, each sent once by a group of documents with its smallest id.
@@ -47,7 +50,8 @@ HOT = 4096                  # neighbourhoods of one anchor that are sorted toget
 SORT_BYTES = 4 << 20        # bytes in one suffix array
 PAD = 0xFF                  # never a byte of UTF-8
 BITS = 48
-BLOCK = 1 << 19
+BLOCK = 1 << 15             # places scanned at once: their hashes stay in the cache
+SIDE = np.uint64((1 << 16) - 1)         # hash of one side of an anchor
 WINDOW = np.int64(-1)       # mask that answers a single window
 MARKER = np.uint64((1 << BITS) - 1)     # neighbourhood of a marker
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -71,8 +75,8 @@ def padded(texts: pa.Array, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         begins.append(offs[:-1] + at + gap * np.arange(n))
         ends.append(offs[1:] + at + gap * np.arange(n))
         out = np.full(len(raw) + gap * n, PAD, np.uint8)
-        place = np.arange(len(raw)) + np.repeat(gap * np.arange(n), np.diff(offs))
-        out[place] = raw
+        for a, b, to in zip(offs[:-1].tolist(), offs[1:].tolist(), (offs[:-1] + gap * np.arange(n)).tolist()):
+            out[to:to + b - a] = raw[a:b]
         parts.append(out)
         at += len(out)
     buf = np.concatenate([np.full(gap, PAD, np.uint8), *parts, np.full(gap + 16, PAD, np.uint8)])
@@ -126,16 +130,18 @@ class Group:
         at, doc = at[keep], doc[keep]
         anchor = _hash_at(self.buf, at, gram)
         around = _hash_at(self.buf, at - self.margin, self.span)
-        bucket = (anchor % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((at, self.ids[doc], around, anchor, bucket))
+        # buckets are ranges of anchors, and places come in order, so two keys sort all
+        order = np.lexsort((around, anchor))
         self.at, self.doc = at[order], doc[order]
-        anchor, around, bucket = anchor[order], around[order], bucket[order]
+        anchor, around = anchor[order], around[order]
         new = np.ones(len(at), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (around[1:] != around[:-1])
         self.first = np.flatnonzero(new)
         self.entry = np.cumsum(new) - 1                 # of each anchor place
-        self.anchor, self.around, self.bucket = anchor[self.first], around[self.first], bucket[self.first]
-        self.least = self.ids[self.doc[self.first]]     # smallest id of each entry
+        self.anchor, self.around = anchor[self.first], around[self.first]
+        self.bucket = _range_of(self.anchor, buckets)
+        mine = self.ids[self.doc]                       # smallest id of each entry
+        self.least = np.minimum.reduceat(mine, self.first) if len(mine) else mine
         # what is sent: all entries, or one marker where an anchor has too many
         a = np.ones(len(self.first), bool)
         a[1:] = self.anchor[1:] != self.anchor[:-1]
@@ -152,11 +158,15 @@ class Group:
         if len(self.head):
             least_a = np.minimum.reduceat(self.least, self.head)
             least = np.where(self.many, least_a[self.of], least)
+        half = -(-self.margin // 2)
+        at = self.at[self.first[self.sent]]
+        left, right = (_hash_at(self.buf, p, self.length - self.margin + half) & SIDE for p in (at - half, at))
         for b in range(len(self.cut) - 1):
-            e = self.sent[self.cut[b]:self.cut[b + 1]]
+            lo, hi = self.cut[b], self.cut[b + 1]
+            e = self.sent[lo:hi]
             if len(e):
                 around = np.where(self.many[e], MARKER, np.minimum(self.around[e], MARKER - np.uint64(1)))
-                rows.append((b, g, len(e), _pack(self.anchor[e], around, least[e], self.many[e])))
+                rows.append((b, g, len(e), _pack(self.anchor[e], around, left[lo:hi], right[lo:hi], least[e], self.many[e])))
         cols = list(zip(*rows)) if rows else [[], [], [], []]
         return pa.table({"bucket": pa.array(cols[0], pa.int32()), "g": pa.array(cols[1], pa.int32()),
                          "n": pa.array(cols[2], pa.int32()), "data": pa.array(cols[3], pa.binary())})
@@ -178,8 +188,10 @@ class Group:
         """Windows of the entries flagged ``hot``: (entry, offset, window number), and per window two
         hashes and the smallest id."""
         h = np.flatnonzero(hot)
+        if not len(h):
+            return (np.zeros(0, np.int64),) * 6
         begin = self.at[self.first[h]] - self.margin
-        pads = np.cumsum(np.concatenate(([0], self.buf == PAD)))
+        pads = _running(self.buf == PAD)
         own, off, at = [], [], []
         for o in range(self.margin + 1):
             ok = pads[begin + o + self.length] - pads[begin + o] == 0
@@ -202,42 +214,64 @@ class Group:
         return self.buf[at[:, None] + np.arange(self.span)]
 
 
-def _pack(anchor, around, least, many) -> bytes:
+def _running(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place, and in all."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
+def _range_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each 48-bit hash: equal ranges of them, in order."""
+    return ((hashes >> np.uint64(BITS - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+PLANES = (6, 6, 2, 2, 8, 1)     # bytes of a packed column's values
+
+
+def _pack(*columns: np.ndarray) -> bytes:
     """Columns as byte planes, so that equal high bytes compress away."""
-    six = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes() for x in (anchor, around)]
-    return b"".join([*six, least.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), many.astype(np.uint8).tobytes()])
+    return b"".join(x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes() for x, k in zip(columns, PLANES))
 
 
 def _unpack(data: bytes, n: int):
-    raw = np.frombuffer(data, np.uint8)
-    cols = []
-    for k in range(2):
+    """anchor, around, left, right (unsigned), least and many of a message."""
+    raw, lo, cols = np.frombuffer(data, np.uint8), 0, []
+    for k in PLANES:
         x = np.zeros((n, 8), np.uint8)
-        x[:, :6] = raw[6 * n * k:6 * n * (k + 1)].reshape(6, n).T
-        cols.append(x.view("<u8").ravel())
-    cols.append(np.ascontiguousarray(raw[12 * n:20 * n].reshape(8, n).T).view("<i8").ravel())
-    cols.append(raw[20 * n:21 * n].astype(bool))
-    return cols
+        x[:, :k] = raw[lo:lo + k * n].reshape(k, n).T
+        cols.append(x.view("<i8").ravel())
+        lo += k * n
+    return *(c.view("<u8") for c in cols[:4]), cols[4], cols[5].astype(bool)
 
 
 def _resolve(messages: pa.Table, most: int) -> pa.Table:
     """Flags for each group's entries of one bucket: covered, wanted (its bytes), hot."""
     gs, ns = messages.column("g").to_numpy(), messages.column("n").to_numpy()
     parts = [_unpack(d, n) for d, n in zip(messages.column("data").to_pylist(), ns.tolist())]
-    anchor, around, least, many = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((least, around, anchor))
+    anchor, around, left, right, least, many = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((around, anchor))
     a, r, m, y = anchor[order], around[order], least[order], many[order]
     new_a = np.concatenate(([True], a[1:] != a[:-1]))
     new_r = new_a | np.concatenate(([True], r[1:] != r[:-1]))
     seg, anc = np.cumsum(new_r) - 1, np.cumsum(new_a) - 1
-    seg_least = m[np.flatnonzero(new_r)]
+    one = np.flatnonzero(new_r)                             # an entry of each neighbourhood
+    seg_least = np.minimum.reduceat(m, one)
     head = np.flatnonzero(new_a)
-    anc_least = np.minimum.reduceat(m, head)
     n_seg = np.add.reduceat(new_r.astype(np.int64), head)
     hot = np.logical_or.reduceat(y, head) | (n_seg > most)
-    top_seg = np.maximum.reduceat(seg_least[seg], head)     # largest of the neighbourhoods' smallest ids
     covered = (seg_least[seg] < m) & ~y
-    wanted = (n_seg[anc] > 1) & ~hot[anc] & (top_seg > anc_least)[anc] & (m == seg_least[seg])
+    # neighbourhoods that agree on a side with one of another id may share a window
+    shares = np.zeros(len(one), bool)
+    live = np.flatnonzero(((n_seg > 1) & ~hot)[anc[one]])
+    for side in (left, right) if len(live) else ():
+        key = anc[one[live]] << 16 | side[order[one[live]]].astype(np.int64)
+        by = np.argsort(key, kind="stable")
+        key, low = key[by], seg_least[live][by]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        at = np.flatnonzero(new)
+        shares[live[by]] |= (np.maximum.reduceat(low, at) > np.minimum.reduceat(low, at))[np.cumsum(new) - 1]
+    wanted = shares[seg] & (m == seg_least[seg])
     flags = np.zeros((3, len(order)), bool)
     flags[:, order] = np.stack((covered, wanted, hot[anc]))
     ends = np.cumsum(ns)
@@ -314,7 +348,7 @@ def _covered(group: Group, covered: np.ndarray, entries: np.ndarray, masks: np.n
             p = some[(held[group.entry[some]] >> o) & 1 == 1]
             a = group.at[p] - group.margin + o
             add(a, a + group.length)
-    return np.cumsum(step[:-1]) > 0
+    return np.cumsum(step[:-1], dtype=np.int32) > 0
 
 
 def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -407,7 +441,7 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
         ok = held[number] | (group.least[own] > low[number])
         gone = _covered(group, covered, np.concatenate((entry[~alone], own[ok])),
                         np.concatenate((mask[~alone], np.int64(1) << off[ok])))
-        sums = np.concatenate(([0], np.cumsum(gone)))
+        sums = _running(gone)
         n_removed = sums[group.end] - sums[group.begin]
         edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
         begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
