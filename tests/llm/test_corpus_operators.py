@@ -542,3 +542,21 @@ def test_byte_shards(spark):
     _same([(x.doc_id, x["size"], x.text_crc32) for x in out],
           [(d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in rows])
     assert sharding.shard_by_bytes(_docs(spark, []), ["doc_id"]).count() == 0
+
+
+def test_largest_products_are_those_of_exact_sums():
+    """Few pairs are summed component by component; ties and near ties come out as if all were."""
+    r = np.random.default_rng(11)
+    x = r.standard_normal((300, 16)).astype(np.float32).astype(np.float64)
+    x[100:140] = x[7]                                       # ties
+    x[200:210] = np.nextafter(np.float32(x[9]), np.float32(9)).astype(np.float64)
+    q = np.concatenate((x[5:12], np.zeros((1, 16)), 1e30 * x[20:23]))
+    every = np.zeros((len(q), len(x)))
+    for j in range(16):
+        every += q[:, j, None] * x[None, :, j]
+    for k in (1, 21, 300, 400):
+        best = np.argsort(-every, axis=1, kind="stable")[:, :k]
+        qi, xi, s = ann._largest(q, x, k)
+        assert qi.tolist() == np.repeat(np.arange(len(q)), best.shape[1]).tolist()
+        assert xi.tolist() == best.ravel().tolist()
+        assert s.tolist() == np.take_along_axis(every, best, 1).ravel().tolist()

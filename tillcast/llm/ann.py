@@ -10,7 +10,9 @@ its nearest centroid and, near a boundary, in those whose distance is within
 
 Search: the graph gives a query's nearest centroids, lists further than
 ``PRUNE`` times the nearest are left out, and queries meet postings in a
-cogroup by list, where blocks of both are multiplied in double precision.
+cogroup by list, where blocks of both are multiplied in double precision (as
+matrices; only products that may be among the k + 1 largest are then summed
+component by component, which gives the score).
 
 How many lists and which ratio a search needs depends on the vectors (spread
 out ones, or norms that differ much, need far more), so both are measured:
@@ -170,13 +172,33 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products summed component by component, so a pair's score never depends on its place."""
-    out = np.zeros((len(q), len(x)))
+    """Inner products of rows, summed component by component, so a pair's score never depends on its place."""
+    out = np.zeros(len(q))
     for j in range(q.shape[1]):
-        out += q[:, j, None] * x[None, :, j]
+        out += q[:, j] * x[:, j]
     return out
 
 
+def _largest(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, product) of each q's k largest products, ties to the first row of x.
+
+    A matrix product finds those that may be among them, given its rounding error; their products are
+    then summed exactly as ever.
+    """
+    k = min(k, len(x))
+    s = q @ x.T
+    least = np.partition(s, len(x) - k, axis=1)[:, len(x) - k]
+    error = 2 * q.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+    qi, xi = np.nonzero(s >= (least - 2 * error)[:, None])
+    out = _exact_products(q[qi], x[xi])
+    order = np.lexsort((xi, -out, qi))
+    qi, xi, out = qi[order], xi[order], out[order]
+    new = np.concatenate(([True], qi[1:] != qi[:-1]))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    best = np.arange(len(qi)) - first < k
+    return qi[best], xi[best], out[best]
+
+
 def _merged(rows: np.ndarray, lists: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs with ``span`` neighbouring lists taken as one."""
     if span == 1 or not len(rows):
@@ -303,11 +325,10 @@ def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: st
             xm, xi = xm[by], xi[by]
             step = max(1, min(256, 2_000_000 // len(xi)))
             for lo in range(0, len(qi), step):
-                s = _exact_products(qm[lo:lo + step], xm)
-                best = np.argsort(-s, axis=1, kind="stable")[:, :k + 1]
-                out_q.append(np.repeat(qi[lo:lo + step], best.shape[1]))
-                out_x.append(xi[best].ravel())
-                out_s.append(np.take_along_axis(s, best, 1).ravel())
+                r, c, s = _largest(qm[lo:lo + step], xm, k + 1)
+                out_q.append(qi[lo + r])
+                out_x.append(xi[c])
+                out_s.append(s)
         cat = lambda a, t: pa.array(np.concatenate(a) if a else np.zeros(0), t)
         return pa.table({"qrep": cat(out_q, pa.int64()), "xrep": cat(out_x, pa.int64()), "score": cat(out_s, pa.float64())})
 
