@@ -75,11 +75,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, names = _hidden(docs)
-    cut = exactdedup.dedup_substrings(rows)
-    # a cut can split a character: what is left of it goes
-    whole = exactdedup.valid_text(cut, "kept", "__text")
-    text = F.when(F.col("n_removed") > 0, F.col("__text")).otherwise(F.col("text"))
-    whole = whole.withColumn("text", text)
+    # a cut can split a character: what is left of it goes, in the task that cuts
+    whole = exactdedup.dedup_substrings(rows, as_text="__text").withColumn("text", F.col("__text"))
     if "n_chars" in names:
         n = names["n_chars"]
         whole = whole.withColumn(n, F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(n)))

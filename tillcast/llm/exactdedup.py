@@ -33,8 +33,8 @@ remove nothing.  Rows repeat as given.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +47,7 @@ GROUP_BYTES = 12 << 20      # text in one group of documents
 BUCKET_BYTES = 8 << 20      # text whose anchors share a bucket
 LOCAL_HOT = 64              # neighbourhoods of one anchor that a group of documents sends
 HOT = 4096                  # neighbourhoods of one anchor that are sorted together
-SORT_BYTES = 4 << 20        # bytes in one suffix array
+SORT_BYTES = 2 << 20        # bytes in one suffix array; whole anchors, so one alone may hold more
 PAD = 0xFF                  # never a byte of UTF-8
 BITS = 48
 BLOCK = 1 << 15             # places scanned at once: their hashes stay in the cache
@@ -288,7 +288,7 @@ def _windows_held(rows: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
     text = np.ascontiguousarray(rows).ravel()
     sa = suffix_array(text, length)
     off = sa % span
-    pads = np.cumsum(np.concatenate((np.zeros((n, 1), np.int64), rows == PAD), axis=1), axis=1)
+    pads = np.cumsum(np.concatenate((np.zeros((n, 1), bool), rows == PAD), axis=1), axis=1, dtype=np.int16)
     whole = np.zeros((n, span), bool)
     whole[:, :span - length + 1] = (pads[:, length:] - pads[:, :span - length + 1]) == 0
     sa = sa[whole.ravel()[sa]]
@@ -352,8 +352,12 @@ def _covered(group: Group, covered: np.ndarray, entries: np.ndarray, masks: np.n
 
 
 def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", length: int = LENGTH,
-                     gram: int = GRAM, local_hot: int = LOCAL_HOT, hot: int = HOT) -> DataFrame:
-    """Input columns of ``docs`` plus n_bytes, n_removed, n_spans, spans (array of begin, end) and kept (binary)."""
+                     gram: int = GRAM, local_hot: int = LOCAL_HOT, hot: int = HOT, as_text: str | None = None) -> DataFrame:
+    """Input columns of ``docs`` plus n_bytes, n_removed, n_spans, spans (array of begin, end) and kept (binary).
+
+    ``as_text`` names one more column: the kept bytes as text, without the remains of characters that a cut
+    split; a text that lost nothing as it was given.
+    """
     if not 16 <= gram <= length - 8 or 2 * length - gram > 126 or length - gram > 62:
         raise ValueError("length and gram are out of range")
     spark = docs.sparkSession
@@ -361,7 +365,7 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups, buckets = buckets_for(total, GROUP_BYTES, least), buckets_for(total, BUCKET_BYTES, least)
     span = 2 * length - gram
-    added = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+    added = ("n_bytes", "n_removed", "n_spans", "spans", "kept", *([as_text] if as_text else []))
     kept = [c for c in docs.columns if c not in added]
     base = docs.select(*[F.col(f"`{c}`") for c in kept],
                        F.pmod(F.xxhash64(f"`{doc}`", f"`{text}`"), F.lit(groups)).cast("int").alias("__g"))
@@ -426,7 +430,7 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema.fields)
     out_schema = (f"{fields}, n_bytes long, n_removed long, n_spans long, "
-                  "spans array<struct<begin: long, end: long>>, kept binary")
+                  "spans array<struct<begin: long, end: long>>, kept binary") + (f", `{as_text}` string" if as_text else "")
 
     def remove(t: pa.Table, r: pa.Table) -> pa.Table:
         t, group = load(t)
@@ -452,19 +456,16 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
             [pa.array(begins - group.begin[owner]), pa.array(ends - group.begin[owner])], names=["begin", "end"]))
         left = [group.buf[a:b][~gone[a:b]].tobytes() if x else group.buf[a:b].tobytes()
                 for a, b, x in zip(group.begin, group.end, n_removed)]
+        more = []
+        if as_text:
+            cut = np.flatnonzero(n_removed)
+            whole = pa.array([left[i].decode("utf-8", "ignore") for i in cut.tolist()], t.schema.field(text).type)
+            given = t.column(text).combine_chunks() if t.num_rows else pa.array([], t.schema.field(text).type)
+            more = [pc.replace_with_mask(given, pa.array(n_removed > 0), whole)]
         return pa.table([*[t.column(c) for c in kept], pa.array(group.end - group.begin), pa.array(n_removed.astype(np.int64)),
-                         pa.array(n_spans.astype(np.int64)), spans, pa.array(left, pa.binary())], names=[*kept, *added])
+                         pa.array(n_spans.astype(np.int64)), spans, pa.array(left, pa.binary()), *more], names=[*kept, *added])
 
     def removed(t: pa.Table, r: pa.Table) -> pa.Table:
         return remove(t, r) if t.num_rows else remove(t.slice(0, 0), r.slice(0, 0))
 
     return base.groupBy("__g").cogroup(answers.groupBy("g")).applyInArrow(removed, out_schema)
-
-
-def valid_text(df: DataFrame, kept: str, name: str) -> DataFrame:
-    """``df`` plus column ``name``: the kept bytes as text, without the remains of characters that a cut split."""
-    @F.pandas_udf("string")
-    def decode(left: pd.Series) -> pd.Series:
-        return left.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    return df.withColumn(name, decode(kept))
