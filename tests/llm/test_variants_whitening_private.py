@@ -69,6 +69,14 @@ def test_word_runs_of_whole_texts(spark):
     assert [tuple(r) for r in counts] == [("abc", 50_000)]
 
 
+def test_word_runs_of_a_least_length(spark):
+    rows = [(1, "Über Äpfel-ABCDE abcd÷x É ßüÿ"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    every = sorted(r["run"] for r in spelling.word_runs(df).collect())
+    assert every == sorted(["Über", "Äpfel", "abcde", "abcd÷x", "É", "ßüÿ"])
+    assert sorted(r["run"] for r in spelling.word_runs(df, shortest=5).collect()) == sorted(x for x in every if len(x) >= 5)
+
+
 # --- whitening ---------------------------------------------------------------
 
 def test_secular_equation_matches_eigh():

@@ -158,6 +158,7 @@ def op3_toxicity(spark, sf_dir):
 
 
 MISSPELT = 97
+SHORTEST = 5
 
 
 @register("op11_spelling", """
@@ -180,12 +181,13 @@ g AS MATERIALIZED (SELECT word, n, n_near, CASE WHEN best_n >= 2 * n THEN best E
 k AS (SELECT word, word AS root FROM g UNION ALL SELECT k.word, g.form FROM k JOIN g ON g.word = k.root WHERE g.form IS NOT NULL)
 SELECT g.word, g.form, k.root, g.n, g.n_near, g.form_n FROM g JOIN k ON k.word = g.word JOIN g l ON l.word = k.root WHERE l.form IS NULL""")
 def op11_spelling(spark, sf_dir):
-    runs = spelling.word_runs(table(spark, sf_dir, "documents"))
+    # a word is its run or one code point less, so shorter runs make none
+    runs = spelling.word_runs(table(spark, sf_dir, "documents"), shortest=SHORTEST)
     h = F.crc32(F.concat(F.coalesce(F.col("doc").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
     at = h % F.length("run")
     less = F.concat(F.expr("substring(run, 1, cast(at as int))"), F.expr("substring(run, cast(at as int) + 2)"))
     runs = runs.withColumns({"h": h, "at": at})
-    return spelling.group_variants(spelling.word_counts(runs, F.when(F.col("h") % MISSPELT == 0, less).otherwise(F.col("run"))))
+    return spelling.group_variants(spelling.word_counts(runs, F.when(F.col("h") % MISSPELT == 0, less).otherwise(F.col("run")), SHORTEST))
 
 
 @register("op12_whitening")

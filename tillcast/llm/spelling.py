@@ -44,15 +44,21 @@ SMALL_ROWS, SMALL_BYTES = 20_000, 2_000_000     # edges that may be broadcast
 LEAST_RATIO = 2
 
 
-def word_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, run: maximal letter runs of every whole text, A-Z lower-cased; null texts have none."""
-    runs = F.regexp_extract_all(ascii_lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(RUNS))
-    return docs.select(F.col(f"`{doc}`").alias("doc"), F.explode(runs).alias("run"))
+def word_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text", shortest: int = 1) -> DataFrame:
+    """doc, run: maximal letter runs of ``shortest`` code points or more of every whole text, A-Z lower-cased; null texts have none.
+
+    Runs are lower-cased one by one: most are ASCII, while a text with one other capital takes the slow way as a whole.
+    """
+    runs = F.regexp_extract_all(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(RUNS))
+    rows = docs.select(F.col(f"`{doc}`").alias("doc"), F.explode(runs).alias("run")).where(F.length("run") >= shortest)
+    plain = F.octet_length("run") == F.length("run")
+    return rows.select("doc", F.when(plain, F.lower("run")).otherwise(ascii_lower(F.col("run"))).alias("run"))
 
 
 def word_counts(words: DataFrame, word: Column, shortest: int = 5, least: int = 3) -> DataFrame:
     """word, n of the words of at least ``shortest`` code points that come ``least`` times or more."""
-    return (words.select(word.alias("word")).where(F.length("word") >= shortest)
+    # a generated column is computed once; a plain one would be computed again by the filter on it
+    return (words.select(F.explode(F.array(word)).alias("word")).where(F.length("word") >= shortest)
             .groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least))
 
 
