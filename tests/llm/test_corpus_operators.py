@@ -100,6 +100,18 @@ def test_substring_dedup(spark, limits):
     _same(got, _dedup_brute(rows))
 
 
+def test_substring_dedup_gives_the_text_that_is_left(spark):
+    """The cutting task decodes too: no second Python worker a task; split characters go, uncut texts stay as given."""
+    line = "é" + "abcdefghij" * 6
+    rows = [(0, line[1:] + "é"), (1, line), (2, "x" + line[1:] + "y"), (4, None), (5, ""), (6, "ê" + line), (7, line[1:] + "èz")]
+    out = exactdedup.dedup_substrings(_docs(spark, rows), as_text="left")
+    got = {r["doc_id"]: (r["left"], bytes(r["kept"])) for r in out.collect()}
+    assert {d: t for d, (t, _) in got.items()} == {0: line[1:] + "é", 1: "é", 2: "xy", 4: None, 5: "", 6: "ê", 7: "z"}
+    assert got[7][1] == "è".encode()[1:] + b"z"         # é and è share their first byte, which is cut
+    assert all(t == b.decode("utf-8", "ignore") for t, b in got.values() if t is not None)
+    assert out.select("left")._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 0
+
+
 def test_substring_dedup_empty(spark):
     assert exactdedup.dedup_substrings(_docs(spark, [])).count() == 0
 
