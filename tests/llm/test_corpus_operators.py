@@ -191,6 +191,45 @@ def test_parity_signatures_never_exceed_the_difference():
         assert not jaccard._parity(a[:0]).any()
 
 
+def test_signatures_tell_long_sets_apart():
+    # of 1,500 n-grams each, a fifth apart: linked sets may differ in 243 at most
+    r = np.random.default_rng(4)
+    a = np.unique(r.integers(0, 1 << 64, 1500, dtype=np.uint64))
+    b = np.unique(np.concatenate((a[300:], r.integers(0, 1 << 64, 300, dtype=np.uint64))))
+    assert 243 < sum(bin(int(x) & (1 << 64) - 1).count("1") for x in jaccard._parity(a) ^ jaccard._parity(b)) <= 600
+
+
+def test_jaccard_jobs_do_not_grow_with_regions_of_unlike_points(spark, monkeypatch):
+    # texts with a rare line in common that are near in size but no links, and links that no pivot has
+    r = random.Random(8)
+    words = [f"v{i}" for i in range(4000)]
+    line = [r.choice(words) for _ in range(9)]
+    rows = [(i, " ".join(line + [r.choice(words) for _ in range(30)])) for i in range(150)]
+    rows += [(1000 + i, t + " more" * (i % 3)) for i, t in rows[100:140]]
+    writes = []
+    whole = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", lambda df: writes.append(1) or whole(df))
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    _same(jaccard.jaccard_components(_docs(spark, rows), share=75).collect(), _jaccard_brute(rows, 4, 75))
+    assert len(writes) <= 3 + 2 * (4 + 2 + 4)
+
+
+def test_jaccard_compares_a_pair_once(spark):
+    r = random.Random(9)
+    base = [f"u{r.randrange(10 ** 6)}" for _ in range(120)]
+    texts = [" ".join(base[:-i] + [f"z{i}x{j}" for j in range(i)]) for i in range(1, 25)]
+    src = _docs(spark, list(enumerate(texts))).select(F.col("doc_id").alias("id"), jaccard.text_key().alias("key"), F.col("text").alias("t"))
+    rows = jaccard._arrow_sets(src, 4, 85, np.zeros(1 << 16, np.int64))
+    points = rows.select("node", F.col("id").alias("label"), "n", *jaccard.SIGNS)
+    region = jaccard._regions(points, rows)
+    none = spark.createDataFrame([], "node long, label long")
+    pairs = [tuple(x)[:2] for x in jaccard._pairs_apart(region, none, 85).collect()]
+    assert len(pairs) == len(set(pairs)) >= 23 and region.groupBy("node").count().where("count > 2").count()
+    # a whole group of one component is not compared again
+    one = points.select("node", F.lit(1).cast("long").alias("label"))
+    assert jaccard._pairs_apart(region, one, 85).count() == 0
+
+
 def test_count_sketch_counts_sets(spark):
     docs = _docs(spark, [(1, "a b c d"), (2, "A B C D"), (3, None), (4, "a b c d a b c d")]).selectExpr("text AS t")
     width = jaccard.COUNTERS[0]

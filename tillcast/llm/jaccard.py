@@ -1,26 +1,24 @@
-"""Exact Jaccard join of documents on word n-grams, by pivots and distance windows.
+"""Exact Jaccard join of documents on word n-grams, by regions, pivots and a join of what the pivots leave apart.
 
-Jaccard distance is a metric.  Documents with equal n-gram sets are one point.
-The join keeps exact by these steps:
+Documents with equal n-gram sets are one point.  The join keeps exact by these steps:
 
 1. *Order.*  A sketch of fixed width counts the n-grams of all rows by hash
    buckets.  Each set is put in order of these counts, rare ones first, and
    keeps the prefix that a linked set must meet.  Any one order of n-grams
    keeps the prefix rule, so collisions in the sketch cost time, not results.
 2. *Regions.*  Every prefix n-gram that two points share is a region; n-grams
-   that the same points share are one.  Its first point is the region's pivot,
-   and the distances of its points to the pivot are computed from whole texts.  Points within the threshold link to the
-   pivot.  Pairs whose parity signatures differ in more bits than two linked
-   sets can differ in n-grams are ruled out before whole texts are read.
-3. *Windows and recursion.*  Points beyond the threshold stay for the next
-   round with a pivot of their own, met by those points of the region whose
-   pivot distance lies within the threshold of theirs (triangle inequality:
-   others can't link).  Rounds go on until no region has a point left over.
-
-Links inside a pivot's ball are not enumerated: all of them lie in the pivot's
-component.  A pair of points is compared once, however many regions hold it.
-No group is gathered: pivots are pre-aggregated minima and distances are joins
-on point keys, which Spark splits where a point is hot.
+   that the same points share are one.  Points meet in regions only.
+3. *Pivots.*  A region's first point is its pivot.  All points of the region are
+   compared with it, and the links give first components: a group of near copies
+   is one by as many comparisons as it has points.
+4. *The rest.*  Any two points of a region that are in different components are
+   compared.  Large regions are cut into blocks, and each pair of blocks meets on
+   its own.  A pair that shares more regions meets in the first of them.
+
+Two sets whose sizes, or whose parity signatures, differ by more than two linked
+sets' can, are ruled out in the join; the others are compared on whole texts.
+Both steps are the same few jobs whatever the input.  Pairs inside a component of
+step 3 are not enumerated.
 
 Defined results: without words the set is empty and links with nothing; texts
 with fewer words than an n-gram are one n-gram.  A null id takes no part and
@@ -39,12 +37,14 @@ from tillcast.llm.common import mix64, stage, text_chunks
 
 WORDS = 4
 SHARE = 85                  # percent: 100 * intersection >= SHARE * union
-CHUNK = 1 << 21
-PIVOTS = 32                 # pivots of a region in the second round
-GROWTH = 4                  # times as many in each later round: rounds grow with a region's logarithm
+CHUNK = 1 << 19
+FLUSH = 1 << 20             # n-grams that are counted at once
+BLOCK = 2048                # points of a region that meet in one group
+REGIONS = 64                # a point's first regions, in which a pair is told to have met before
 COUNTERS = 1 << 16, 1 << 22     # least and largest width of the count sketch
 SLICE = 1 << 12             # counters in a row of partial counts
-SIGNATURE = 256             # bits of a parity signature
+SIGNATURE = 1 << 10         # bits of a parity signature, in longs
+SIGNS = [f"s{i}" for i in range(SIGNATURE // 64)]
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _RI = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -116,11 +116,22 @@ def count_sketch(docs: DataFrame, words: int, width: int) -> np.ndarray:
     """How many sets of (t) hold an n-gram, by bucket of its hash: ``width`` counts, whatever the input."""
     def count(batches):
         held = np.zeros(width, np.int64)
+        sets, n = [], 0
+
+        def flush():
+            if sets:
+                held[:] += np.bincount((np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+                sets.clear()
+
         for batch in batches:
             for _, _, raw, offs in text_chunks(batch.column("t"), CHUNK):
-                sets = [x for x in shingle_sets(raw, offs, words) if len(x)]
-                if sets:
-                    held += np.bincount((np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+                fresh = [x for x in shingle_sets(raw, offs, words) if len(x)]
+                sets += fresh
+                n += sum(map(len, fresh))
+                if n >= FLUSH:
+                    flush()
+                    n = 0
+        flush()
         if held.any():
             yield slices(dict(enumerate(held.astype(np.int32).reshape(-1, SLICE))))
 
@@ -161,15 +172,15 @@ def _marked(ids: DataFrame, width: int) -> np.ndarray:
 
 
 def _parity(s: np.ndarray) -> np.ndarray:
-    """Which of the signature's bits an odd number of the set's n-grams fall on, as four longs."""
-    odd = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SIGNATURE) & 1
+    """Which of the signature's bits an odd number of the set's n-grams fall on, as longs."""
+    odd = np.bincount((s >> np.uint64(65 - SIGNATURE.bit_length())).astype(np.int64), minlength=SIGNATURE) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray) -> DataFrame:
     """id, key, node, n and grams (array<long>) of every row of (id, key, t).
 
-    Grams are the set's prefix of rare n-grams by ``counts``; s0 to s3 are the parity signature of the whole set.
+    Grams are the set's prefix of rare n-grams by ``counts``; the longs named in ``SIGNS`` are the parity signature of the whole set.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -183,7 +194,7 @@ def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray) ->
                 with np.errstate(over="ignore"):
                     node = np.array([0 if not len(s) else
                                      int(mix64(np.bitwise_xor.reduce(mix64(s * _RI)) + s.sum(dtype=np.uint64) * _R)) for s in sets], np.uint64)
-                signs = np.array([_parity(s) for s in sets], np.int64).reshape(-1, 4)
+                signs = np.array([_parity(s) for s in sets], np.int64).reshape(-1, len(SIGNS))
                 # sets are sorted, so a stable sort leaves equal counts in order of hashes
                 sets = [s[np.argsort(held[(s & mask).astype(np.int64)], kind="stable")[:prefix_length(len(s), share)]]
                         if len(s) else s for s in sets]
@@ -192,8 +203,8 @@ def _arrow_sets(docs: DataFrame, words: int, share: int, counts: np.ndarray) ->
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo), pa.array(node.view(np.int64)), pa.array(n),
                      *(pa.array(np.ascontiguousarray(c)) for c in signs.T), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    ["id", "key", "node", "n", "s0", "s1", "s2", "s3", "grams"])
-    return docs.mapInArrow(run, "id long, key long, node long, n long, s0 long, s1 long, s2 long, s3 long, grams array<bigint>")
+                    ["id", "key", "node", "n", *SIGNS, "grams"])
+    return docs.mapInArrow(run, f"id long, key long, node long, n long, {', '.join(f'{c} long' for c in SIGNS)}, grams array<bigint>")
 
 
 def _only(docs: DataFrame, marked: np.ndarray) -> DataFrame:
@@ -231,14 +242,91 @@ def _linked(inter: Column, a: Column, b: Column, share: int) -> Column:
     return 100 * inter >= share * (a + b - inter)
 
 
-def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def _regions(points: DataFrame, rows: DataFrame) -> DataFrame:
+    """g, node, n, signature, before: every point of every region; ``before`` has those of the point's first regions that come before g."""
+    # prefixes stay in one table: a point's are those of its first row
+    grams = (points.select("node", "label")
+             .join(rows.where("n > 0").select(F.col("node").alias("rn"), F.col("id").alias("ri"), "grams"),
+                   (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", F.explode("grams").alias("g")))
+    # a region's name is a hash of its points, so n-grams that the same points share are one region; if unlike
+    # regions meet under a name, their union is compared
+    held = Window.partitionBy("g")
+    named = (grams.withColumns({"lo": F.min("node").over(held), "hi": F.max("node").over(held), "x": F.bit_xor("node").over(held),
+                                "y": F.bit_xor(F.xxhash64("node")).over(held)})
+             .where("lo < hi").select(F.xxhash64("lo", "hi", "x", "y").alias("g"), "node").distinct())
+    mine = named.groupBy("node").agg(F.sort_array(F.collect_list("g")).alias("all"))
+    return (mine.join(points.select(F.col("node").alias("pn"), "n", *SIGNS), F.col("node") == F.col("pn"))
+            .select("node", "n", *SIGNS, F.slice("all", 1, REGIONS).alias("first"), F.posexplode("all").alias("at", "g"))
+            .select("g", "node", "n", *SIGNS, F.expr("slice(first, 1, least(at, size(first)))").alias("before")))
+
+
+def _as(df: DataFrame, mark: str, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(mark + c) for c in columns])
+
+
+def _may_link(share: int) -> Column:
+    """Whether the points a and b of a joined row can link, by sizes and signatures."""
+    # sets differ in at least as many n-grams as their signatures in bits: with a difference of x n-grams
+    # the similarity is at most (na + nb - x) / (na + nb + x)
+    bits = sum((F.bit_count(F.col("a" + c).bitwiseXOR(F.col("b" + c))) for c in SIGNS), F.lit(0))
+    both = F.col("an") + F.col("bn")
+    sized = 100 * F.least("an", "bn") >= share * F.greatest("an", "bn")
+    return sized & (100 * (both - bits) >= share * (both + bits))
+
+
+def _pivot_pairs(region: DataFrame, share: int) -> DataFrame:
+    """anode, bnode, acomp, bcomp: points that may link to the pivot of a region of theirs; here each is a component of its own."""
+    first = region.groupBy("g").agg(F.min(F.struct("node", "n", *SIGNS)).alias("p")).select("g", "p.*")
+    met = _as(region, "a", "g", "node", "n", *SIGNS).join(
+        _as(first, "b", "g", "node", "n", *SIGNS), (F.col("ag") == F.col("bg")) & (F.col("anode") > F.col("bnode")) & _may_link(share))
+    return met.select("anode", "bnode", F.col("anode").alias("acomp"), F.col("bnode").alias("bcomp")).distinct()
+
+
+def _pairs_apart(region: DataFrame, found: DataFrame, share: int) -> DataFrame:
+    """anode, bnode, acomp, bcomp: points that share a region, may link and are in different components of (node, label)."""
+    now = (region.join(found.select(F.col("node").alias("fn"), "label"), F.col("node") == F.col("fn"), "left")
+           .select("g", "node", "n", *SIGNS, "before", F.coalesce("label", "node").alias("comp")))
+    mixed = (now.groupBy("g").agg(F.count("*").alias("held"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .where("lo < hi").select(F.col("g").alias("mg"), F.ceil(F.col("held") / BLOCK).alias("blocks")))
+    now = now.join(mixed, F.col("g") == F.col("mg")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    now = now.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    columns = ["g", "node", "n", *SIGNS, "before", "comp", "block", "other"]
+    met = _as(now, "a", *columns).join(
+        _as(now, "b", *columns),
+        (F.col("ag") == F.col("bg")) & (F.col("ablock") == F.col("bother")) & (F.col("aother") == F.col("bblock"))
+        & (F.col("anode") > F.col("bnode")) & (F.col("acomp") != F.col("bcomp")) & _may_link(share)
+        & ~F.arrays_overlap("abefore", "bbefore"))
+    return met.select("anode", "bnode", "acomp", "bcomp").distinct()
+
+
+def _links(src: DataFrame, points: DataFrame, pairs: DataFrame, words: int, share: int, width: int) -> DataFrame:
+    """a, b: the components of those of the pairs (anode, bnode, acomp, bcomp) that link, compared on whole texts of ``src`` (id, key, t)."""
+    pairs = stage(pairs)
+    both = pairs.select(F.col("anode").alias("node")).unionByName(pairs.select(F.col("bnode").alias("node"))).distinct()
+    asked = stage(both.join(points.select("node", "label", "tkey"), "node"))
+    texts = stage(_only(src, _marked(asked.select("label"), width)).join(
+        asked, (F.col("id") == F.col("label")) & (F.col("key") == F.col("tkey"))).select("node", "t"))
+    # repeated rows of one id give a text twice; only those are shuffled to keep one
+    twice = stage(texts.groupBy("node").count().where("count > 1").select("node"))
+    texts = texts.join(twice, "node", "left_anti").unionByName(texts.join(twice, "node", "left_semi").dropDuplicates(["node"]))
+    wanted = pairs.select(F.col("anode").alias("node"), F.col("bnode").alias("pivot"))
+    full = _compared(wanted.join(texts.select(F.col("node").alias("an"), F.col("t").alias("ta")), F.col("node") == F.col("an"))
+                     .join(texts.select(F.col("node").alias("bn"), F.col("t").alias("tb")), F.col("pivot") == F.col("bn"))
+                     .select("node", "pivot", "ta", "tb").sortWithinPartitions("pivot"), words)
+    hits = full.where(_linked(F.col("i"), F.col("na"), F.col("nb"), share)).select("dn", "dp")
+    return (pairs.join(hits, (F.col("anode") == F.col("dn")) & (F.col("bnode") == F.col("dp")))
+            .select(F.col("acomp").alias("a"), F.col("bcomp").alias("b")))
+
+
+def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """node, label: smallest label reachable over edges (a, b), for the nodes (node, label) on any edge.
 
-    Labels are nodes.  Every round takes the least label of the neighbours and then that label's own
+    Labels are nodes; without ``nodes`` each node is its own.  Every round takes the least label of the neighbours and then that label's own
     label (pointer jumping), so a chain takes rounds in the order of its length's logarithm.
     """
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    now = stage(both.select(F.col("a").alias("node")).distinct().join(nodes, "node"))
+    on = both.select(F.col("a").alias("node")).distinct()
+    now = stage(on.join(nodes, "node") if nodes is not None else on.withColumn("label", F.col("node")))
     while True:
         near = (both.join(now.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy("a").agg(F.min("label").alias("best")))
@@ -269,100 +357,23 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     least, most = COUNTERS
     width = 1 << min(max(4 * src.count(), least), most).bit_length() - 1
     rows = stage(_arrow_sets(src, words, share, count_sketch(src, words, width)))
-    signs = ["s0", "s1", "s2", "s3"]
     points = stage(rows.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(
-        F.min(F.struct("id", "key")).alias("first"), F.first("n").alias("n"), *(F.first(c).alias(c) for c in signs))
-        .select("node", F.col("first.id").alias("label"), F.col("first.key").alias("tkey"), "n", *signs))
-    # prefixes stay in one table: a point's are those of its first row
-    grams = (points.select("node", "label")
-             .join(rows.where("n > 0").select(F.col("node").alias("rn"), F.col("id").alias("ri"), "grams"),
-                   (F.col("node") == F.col("rn")) & (F.col("label") == F.col("ri"))).select("node", F.explode("grams").alias("g")))
-
-    # 2. and 3. regions, pivots, windows
-    # a region's name is a hash of its points, so n-grams that the same points share are one region; if unlike
-    # regions meet under a name, their union is compared
-    held = Window.partitionBy("g")
-    named = (grams.withColumns({"lo": F.min("node").over(held), "hi": F.max("node").over(held), "x": F.bit_xor("node").over(held),
-                                "y": F.bit_xor(F.xxhash64("node")).over(held)})
-             .where("lo < hi").select(F.xxhash64("lo", "hi", "x", "y").alias("g"), "node").distinct())
-    region = stage(named.join(points.select(F.col("node").alias("pn"), "n"), F.col("node") == F.col("pn")).select(
-        "g", "node", "n", F.lit(True).alias("open"), F.lit(False).alias("duty"),
-        F.lit(None).cast("double").alias("d"), F.col("node").alias("comp")))
-
-    tau = 1 - share / 100 + 1e-9
-    sign_a = points.select(F.col("node").alias("an"), F.col("n").alias("na"), *(F.col(c).alias("a" + c) for c in signs))
-    sign_b = points.select(F.col("node").alias("bn"), F.col("n").alias("nb"), *(F.col(c).alias("b" + c) for c in signs))
-    links, found, pivots = None, None, 1
-    while True:
-        # pivots of each region: its first open points, with their components and distances to the last pivot
-        first = Window.partitionBy("g").orderBy("node")
-        chosen = (region.where("open").withColumn("k", F.row_number().over(first)).where(F.col("k") <= pivots)
-                  .select(F.col("g").alias("pg"), F.col("node").alias("pivot"), F.col("comp").alias("pcomp"),
-                          F.col("d").alias("pd"), F.col("n").alias("pn"), (F.col("k") == 1).alias("lead")))
-        seen = region.join(chosen, F.col("g") == F.col("pg"))
-        near = F.col("d").isNull() | F.col("pd").isNull() | (F.abs(F.col("d") - F.col("pd")) <= tau)
-        # sizes bound the distance too: it is at least 1 - smaller / larger
-        low, high = F.least("n", "pn"), F.greatest("n", "pn")
-        seen = seen.withColumn("meets", (F.col("comp") != F.col("pcomp")) & near & (100 * low >= share * high))
-        pairs = stage(seen.where("meets").select("node", "pivot").distinct())
-        # sets differ in at least as many n-grams as their signatures in bits: with a difference of x n-grams
-        # the similarity is at most (na + nb - x) / (na + nb + x)
-        bits = sum((F.bit_count(F.col("a" + c).bitwiseXOR(F.col("b" + c))) for c in signs), F.lit(0))
-        both = F.col("na") + F.col("nb")
-        signed = (pairs.join(sign_a, F.col("node") == F.col("an")).drop("an").join(sign_b, F.col("pivot") == F.col("bn")).drop("bn")
-                  .select("node", "pivot", "na", "nb", (1 - (both - bits) / (both + bits)).alias("bound"),
-                          (100 * (both - bits) >= share * (both + bits)).alias("may")))
-        signed = stage(signed)
-        may = stage(signed.where("may").select("node", "pivot"))
-        # whole texts are read again, only those of points that some pair still needs, and compared pair by pair
-        asked = may.select("node").unionByName(may.select(F.col("pivot").alias("node"))).distinct().join(
-            points.select("node", "label", "tkey"), "node")
-        texts = stage(_only(src, _marked(asked.select("label"), width)).join(
-            asked, (F.col("id") == F.col("label")) & (F.col("key") == F.col("tkey"))).select("node", "t"))
-        # repeated rows of one id give a text twice; only those are shuffled to keep one
-        twice = stage(texts.groupBy("node").count().where("count > 1").select("node"))
-        texts = texts.join(twice, "node", "left_anti").unionByName(texts.join(twice, "node", "left_semi").dropDuplicates(["node"]))
-        pivot_texts = (texts.join(may.select(F.col("pivot").alias("node")).distinct(), "node", "left_semi")
-                       .select(F.col("node").alias("bn"), F.col("t").alias("tb")))
-        full = _compared(may.join(texts.select(F.col("node").alias("an"), F.col("t").alias("ta")), F.col("node") == F.col("an"))
-                         .join(pivot_texts, F.col("pivot") == F.col("bn")).select("node", "pivot", "ta", "tb")
-                         .sortWithinPartitions("pivot"), words)
-        full = full.select("dn", "dp", (1 - F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("dist"),
-                           F.lit(True).alias("whole"), _linked(F.col("i"), F.col("na"), F.col("nb"), share).alias("hit"))
-        dist = stage(full.unionByName(signed.where("NOT may").select(
-            F.col("node").alias("dn"), F.col("pivot").alias("dp"), F.col("bound").alias("dist"),
-            F.lit(False).alias("whole"), F.lit(False).alias("hit"))))
-        new = dist.where("hit").select(F.col("dn").alias("a"), F.col("dp").alias("b"))
-        links = new if links is None else links.unionByName(new)
-        found = components(links, points.select("node", F.col("node").alias("label")))
-        met = (seen.join(dist, (F.col("node") == F.col("dn")) & (F.col("pivot") == F.col("dp")) & F.col("meets"), "left")
-               .join(found.select(F.col("node").alias("fp"), F.col("label").alias("now")), F.col("pivot") == F.col("fp"), "left"))
-        # a point linked to a pivot is done unless it may link to another ball's members; a pivot has met all
-        # points; others stay, and owe a comparison to every ball of another component that is not too far
-        far = F.coalesce(F.col("dist") > 2 * tau, F.lit(False)) | (100 * low < (2 * share - 100) * high)
-        state = met.groupBy("g", "node", "n", "open", "duty").agg(
-            F.max(F.coalesce("hit", F.lit(False))).alias("hit"), F.max(F.col("node") == F.col("pivot")).alias("self"),
-            F.collect_set(F.when((F.col("comp") != F.col("pcomp")) & ~far, F.coalesce("now", "pivot"))).alias("close"),
-            F.max(F.when(F.col("lead"), F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.expr("IF(whole, dist, NULL)")))).alias("d"))
-        state = (state.join(found.select(F.col("node").alias("fn"), "label"), F.col("node") == F.col("fn"), "left")
-                 .withColumn("comp", F.coalesce("label", "node")))
-        owes = F.size(F.array_remove(F.col("close"), F.col("comp"))) > 0
-        nxt = stage(state.select(
-            "g", "node", "n", (F.col("open") & ~F.col("self") & ~(F.col("hit") & ~F.col("duty") & ~owes)).alias("open"),
-            (F.col("duty") | owes).alias("duty"), "d", "comp"))
-        # regions with a point left over that more than one component shares
-        left = (nxt.groupBy("g").agg(F.max("open").alias("o"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                .where("o AND lo < hi").select("g"))
-        region = stage(nxt.join(left, "g"))
-        if not region.limit(1).count():
-            break
-        pivots = PIVOTS if pivots == 1 else pivots * GROWTH
-    comp = points.select("node", F.col("label").alias("own")).join(found, "node", "left").select(
-        "node", "own", F.coalesce("label", "node").alias("comp"))
+        F.min(F.struct("id", "key")).alias("first"), F.first("n").alias("n"), *(F.first(c).alias(c) for c in SIGNS))
+        .select("node", F.col("first.id").alias("label"), F.col("first.key").alias("tkey"), "n", *SIGNS))
+    # 2. regions
+    region = stage(_regions(points, rows))
+    # 3. pivots
+    found = components(_links(src, points, _pivot_pairs(region, share), words, share, width))
+    # 4. the rest: components of components
+    more = components(_links(src, points, _pairs_apart(region, found, share), words, share, width))
+    comp = (points.select("node", F.col("label").alias("own")).join(found, "node", "left")
+            .select("node", "own", F.coalesce("label", "node").alias("first"))
+            .join(more.select(F.col("node").alias("mn"), "label"), F.col("first") == F.col("mn"), "left")
+            .select("node", "own", F.coalesce("label", "first").alias("comp")))
     least = comp.groupBy("comp").agg(F.min("own").alias("component"))
     label = comp.join(least, "comp").select(F.col("node").alias("pnode"), "component", "comp")
     out = rows.select("id", "key", "node", "n").join(label, (F.col("node") == F.col("pnode")) & (F.col("n") > 0), "left")
-    more = [F.col("key").alias("text_key"), F.when(F.col("id").isNotNull(), F.col("comp")).alias("component_key")]
+    extra = [F.col("key").alias("text_key"), F.when(F.col("id").isNotNull(), F.col("comp")).alias("component_key")]
     return out.select(F.col("id").alias(doc), F.col("n").alias("n_shingles"),
                       F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"),
-                      *(more if keys else []))
+                      *(extra if keys else []))
