@@ -43,6 +43,7 @@ BLOCK = 2048                # points of a region that meet in one group
 REGIONS = 64                # a point's first regions, in which a pair is told to have met before
 COUNTERS = 1 << 16, 1 << 22     # least and largest width of the count sketch
 SLICE = 1 << 12             # counters in a row of partial counts
+FILTER = 8                  # slots of the filter of texts to each counter
 SIGNATURE = 1 << 10         # bits of a parity signature, in longs
 SIGNS = [f"s{i}" for i in range(SIGNATURE // 64)]
 
@@ -304,14 +305,15 @@ def _links(src: DataFrame, points: DataFrame, pairs: DataFrame, words: int, shar
     pairs = stage(pairs)
     both = pairs.select(F.col("anode").alias("node")).unionByName(pairs.select(F.col("bnode").alias("node"))).distinct()
     asked = stage(both.join(points.select("node", "label", "tkey"), "node"))
-    texts = stage(_only(src, _marked(asked.select("label"), width)).join(
+    texts = stage(_only(src, _marked(asked.select("label"), FILTER * width)).join(
         asked, (F.col("id") == F.col("label")) & (F.col("key") == F.col("tkey"))).select("node", "t"))
     # repeated rows of one id give a text twice; only those are shuffled to keep one
     twice = stage(texts.groupBy("node").count().where("count > 1").select("node"))
     texts = texts.join(twice, "node", "left_anti").unionByName(texts.join(twice, "node", "left_semi").dropDuplicates(["node"]))
     wanted = pairs.select(F.col("anode").alias("node"), F.col("bnode").alias("pivot"))
-    full = _compared(wanted.join(texts.select(F.col("node").alias("an"), F.col("t").alias("ta")), F.col("node") == F.col("an"))
-                     .join(texts.select(F.col("node").alias("bn"), F.col("t").alias("tb")), F.col("pivot") == F.col("bn"))
+    ta, tb = (texts.join(pairs.select(F.col(c).alias("node")).distinct(), "node", "left_semi") for c in ("anode", "bnode"))
+    full = _compared(wanted.join(ta.select(F.col("node").alias("an"), F.col("t").alias("ta")), F.col("node") == F.col("an"))
+                     .join(tb.select(F.col("node").alias("bn"), F.col("t").alias("tb")), F.col("pivot") == F.col("bn"))
                      .select("node", "pivot", "ta", "tb").sortWithinPartitions("pivot"), words)
     hits = full.where(_linked(F.col("i"), F.col("na"), F.col("nb"), share)).select("dn", "dp")
     return (pairs.join(hits, (F.col("anode") == F.col("dn")) & (F.col("bnode") == F.col("dp")))
