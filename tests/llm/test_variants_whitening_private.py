@@ -12,6 +12,26 @@ from tillcast.llm import pii, spelling, whitening
 
 # --- spelling variants -------------------------------------------------------
 
+def test_words_are_not_edited_where_the_trie_is_dense(spark, monkeypatch):
+    r = random.Random(12)
+    words = sorted({"".join(r.choice("abcdef") for _ in range(r.choice([7, 8]))) for _ in range(500)})
+    words += [words[0][1:], words[1][:-1], words[2][:3] + words[2][4:], "f" + words[3], words[4] + "a", words[5][:4] + "x" + words[5][4:], "", "a"]
+    words = sorted(set(words))
+    states, whole = [], spelling.stage
+
+    def counted(df):
+        out = whole(df)
+        if "edits" in out.columns:
+            states.append(out.where("edits = 1 AND near IS NULL").count())
+        return out
+
+    monkeypatch.setattr(spelling, "stage", counted)
+    got = sorted(map(tuple, spelling.near_pairs(spark.createDataFrame([(w,) for w in words], "word string")).collect()))
+    assert got == sorted((a, b) for a in words for b in words if _one_edit(a, b))
+    # six letters: at the root every word would be tried with five others in place of its first, and six before it
+    assert sum(states) < len(words)
+
+
 def _one_edit(a, b):
     if a == b or abs(len(a) - len(b)) > 1:
         return False

@@ -11,10 +11,15 @@ join a level:
 * replace an edge of another code point; one edit
 * insert  such an edge, and the word's code point still to come; one edit
 
+The trie holds every word twice, forwards and backwards, and a walk edits only the
+latter half of what it reads: an edit near a word's start is met by the walk from
+its end.  So edits are made where the trie is thin, not at the root, where each
+would be tried at every word.  A mark in front keeps the directions apart.
+
 The last two join on (node, the code point that must follow), a view of two edges
 in a row, so that edges that lead nowhere are never met.  Of a run of equal code
 points only the last is deleted and one is inserted only behind it, so every
-neighbour is reached once.  A state with one edit that meets the end of a word,
+neighbour is reached once from a side; those of a word's middle come from both, and one is kept.  A state with one edit that meets the end of a word,
 or the only word that is left with the same rest, is a neighbour.  States without
 an edit whose subtree holds their word alone are done.
 
@@ -42,6 +47,7 @@ RUNS = "([A-Za-zÀ-ÿ]+)"
 BLOCK = 24                  # levels whose edges are built at once
 SMALL_ROWS, SMALL_BYTES = 20_000, 2_000_000     # edges that may be broadcast
 LEAST_RATIO = 2
+ON, BACK = ">", "<"         # marks of a word read forwards and backwards
 
 
 def word_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text", shortest: int = 1) -> DataFrame:
@@ -108,8 +114,11 @@ class _Trie:
 def near_pairs(words: DataFrame, word: str = "word") -> DataFrame:
     """word, near: all pairs of distinct words one inserted, deleted or replaced code point apart, both ways."""
     words = words.select(F.col(f"`{word}`").alias("word")).where("word IS NOT NULL").distinct()
+    words = stage(words.select(F.explode(F.array(F.concat(F.lit(ON), "word"), F.concat(F.lit(BACK), F.reverse("word")))).alias("word")))
     trie = _Trie(words)
     spark = words.sparkSession
+    # the mark is not edited; a word of odd length has its middle edited from behind
+    late = f"edits = 0 AND 2 * (pos - 1) + IF(word < '{ON}', 1, 0) >= length(word) - 1"
     done, at = [], 0
     states = words.select("word", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(0).alias("edits"))
     while (edges := trie.level(at)) is not None:
@@ -126,7 +135,7 @@ def near_pairs(words: DataFrame, word: str = "word") -> DataFrame:
         # the edges to take by match or delete, and the edge to find behind a replaced or inserted one
         plain = F.expr(f"struct({_at('word', 'pos')} AS key, pos + 1 AS to, edits AS e)")
         cut = F.expr(f"struct({_at('word', 'pos + 1')} AS key, pos + 2 AS to, 1 AS e)")
-        may_cut = F.expr(f"edits = 0 AND pos < length(word) AND {_at('word', 'pos')} <> {_at('word', 'pos + 1')}")
+        may_cut = F.expr(f"{late} AND pos < length(word) AND {_at('word', 'pos')} <> {_at('word', 'pos + 1')}")
         step = states.select("word", "node", F.explode(F.when(may_cut, F.array(plain, cut)).otherwise(F.array(plain))).alias("s"))
         step = step.select("word", "node", "s.key", F.col("s.to").alias("pos"), F.col("s.e").alias("edits"))
         took = step.join(trie.hint(one, at), (F.col("node") == F.col("en")) & (F.col("key") == F.col("c")))
@@ -134,7 +143,7 @@ def near_pairs(words: DataFrame, word: str = "word") -> DataFrame:
 
         put = F.expr(f"struct({_at('word', 'pos')} AS key, pos + 1 AS to)")
         swap = F.expr(f"struct({_at('word', 'pos + 1')} AS key, pos + 2 AS to)")
-        edit = states.where("edits = 0").select(
+        edit = states.where(late).select(
             "word", "node", F.expr(_at("word", "pos")).alias("here"),
             F.explode(F.when(F.expr("pos < length(word)"), F.array(put, swap)).otherwise(F.array(put))).alias("s"))
         edit = edit.select("word", "node", "here", "s.key", F.col("s.to").alias("pos"))
@@ -153,7 +162,9 @@ def near_pairs(words: DataFrame, word: str = "word") -> DataFrame:
         states = reduce(DataFrame.unionByName, waiting).select("word", "pos", "node", "edits")
     if not done:
         return spark.createDataFrame([], "word string, near string")
-    return reduce(DataFrame.unionByName, [d.where("near IS NOT NULL").select("word", "near") for d in done])
+    found = reduce(DataFrame.unionByName, [d.where("near IS NOT NULL").select("word", "near") for d in done])
+    read = [F.expr(f"IF({c} < '{ON}', reverse(substring({c}, 2)), substring({c}, 2))").alias(c) for c in ("word", "near")]
+    return found.select(*read).distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
