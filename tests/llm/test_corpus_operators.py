@@ -469,6 +469,16 @@ def test_toxicity_trains_on_long_texts(spark):
     assert got[1] < .5 < got[2] and got[3] < .5 < got[4]
 
 
+def test_training_gives_its_memory_back(spark, monkeypatch):
+    rows = [(i, "x", i % 2) for i in range(8)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    done = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: done.append("train"))
+    monkeypatch.setattr(toxicity, "release_memory", lambda: done.append("release"))
+    toxicity.fit(labelled, labelled)
+    assert done == ["train", "release"]
+
+
 def test_toxicity_sample_is_bounded(spark, monkeypatch):
     rows = [(i, "x" * (10 if i % 4 else 5_000), i % 2) for i in range(40)] + [(40, None, 1), (41, "y", None)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import carried, stage
+from tillcast.llm.common import carried, stage, release_memory
 
 SAMPLE = 2000
 SAMPLE_BYTES = 8_000_000    # of the texts of a label
@@ -366,7 +366,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         if kinds == {0, 1} and texts:
             raise ValueError(f"labelled rows of both kinds, but the sample ({sample} rows, {sample_bytes} bytes a label) has texts of one only")
         return None
-    return train(texts, np.array(labelled))
+    net = train(texts, np.array(labelled))
+    del texts
+    release_memory()
+    return net
 
 
 def score(docs: DataFrame, net: Network | None, carry: list[Column | str], text: str = "text") -> DataFrame:
