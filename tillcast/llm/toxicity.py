@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import carried, stage, release_memory
+from tillcast.llm.common import carried, release_memory, stage
 
 SAMPLE = 2000
 SAMPLE_BYTES = 8_000_000    # of the texts of a label
