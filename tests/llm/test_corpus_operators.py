@@ -4,14 +4,16 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillcast.llm import ann, exactdedup, jaccard, langid, queries, sharding, spiece, suffix, toxicity, urlfilter, warc, winnow
+from tillcast.llm import ann, common, exactdedup, jaccard, langid, queries, sharding, spiece, suffix, toxicity, urlfilter, warc, winnow
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 MID = "/root/testdata/sf0.01"
@@ -621,3 +623,69 @@ def test_largest_products_are_those_of_exact_sums():
         assert qi.tolist() == np.repeat(np.arange(len(q)), best.shape[1]).tolist()
         assert xi.tolist() == best.ravel().tolist()
         assert s.tolist() == np.take_along_axis(every, best, 1).ravel().tolist()
+
+
+class _Frame:
+    """Stands in for a frame: an operator's map is returned as it is."""
+
+    columns = ["doc_id", "text"]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, work, _):
+        return work
+
+
+def _peak(work) -> float:
+    """MB that Python and numpy hold at most while ``work`` runs."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def _words(n: int, seed: int = 3) -> str:
+    rng = random.Random(seed)
+    some = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    return " ".join(rng.choices(some, k=n))
+
+
+def _batch(texts: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+
+
+def test_toxicity_scores_in_bounded_memory(spark):
+    """The text comes once, under its own name, and few windows are scored at once."""
+    batch = _batch([_words(2000, seed) for seed in range(60)])
+    run = toxicity.score(_Frame(), toxicity.Network(), _Frame.columns)
+    got = []
+    assert _peak(lambda: got.extend(run(iter([batch])))) < 45
+    out = pa.Table.from_batches(got)
+    assert out.column_names == ["doc_id", "text", "score"] and out.column("text").to_pylist() == batch.column("text").to_pylist()
+    assert len(set(out.column("score").to_pylist())) > 1
+
+
+def test_toxicity_keeps_input_sums_as_its_table_grows():
+    net = toxicity.Network()
+    texts = [_words(300, seed) for seed in range(6)]
+    scorer = toxicity.Scorer(net)
+    one_by_one = [scorer.scores(pa.array([x]))[0] for x in texts]
+    assert np.allclose(one_by_one, [toxicity.Scorer(net).scores(pa.array([x]))[0] for x in texts], atol=1e-6)
+
+
+def test_pieces_are_made_in_bounded_memory(spark):
+    run = spiece.encode(_Frame(), queries.piece_model_path())
+    batch = _batch([_words(20_000, seed) for seed in range(40)])
+    n = []
+    assert _peak(lambda: n.extend(x.num_rows for x in run(iter([batch])))) < 140
+    assert sum(n) == 40 and len(n) > 1
+
+
+def test_what_a_group_held_goes_back(monkeypatch):
+    done = []
+    monkeypatch.setattr(common, "release_memory", lambda: done.append("release"))
+    assert common.freed(lambda a, b: a + b, 1, 2) == 3 and done == ["release"]

@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm.common import release_memory
 from tillcast.llm.suffix import suffix_array, words8
 
 MARK = "▁"
@@ -39,7 +40,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: fixed values: model types of the trainer settings
 UNIGRAM, BPE = 1, 2
 CHUNK = 1 << 20             # bytes of distinct segments indexed at once
-CACHE = 1_000_000           # segments kept from batch to batch
+SLICE = 2 << 20             # bytes of the texts that a task encodes at once
+CACHE = 1 << 18             # segments kept from slice to slice
 MAX_PIECE_DEPTH = 64        # longest piece in bytes that the index orders by
 
 
@@ -438,18 +440,24 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", check: bool = T
     def run(batches):
         seen = Segments()
         for batch in batches:
-            column = batch.column(text).cast(pa.large_string())
-            size = pc.binary_length(pc.fill_null(column, "")).to_numpy()
-            cum = np.concatenate(([0], np.cumsum(size)))
-            lo = 0
-            while lo < batch.num_rows:
-                hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(cum, cum[lo] + (8 << 20), side="right")) - 1))
-                part = batch.slice(lo, hi - lo)
-                ids, offs = encode_batch(model, part.column(text).cast(pa.large_string()), seen)
-                back = decode_ids(model, ids, offs)
-                arr = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                dec = pa.array(back, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], arr, dec], [*kept, "ids", "decoded"])
-                lo = hi
+            yield from encoded(seen, batch)
+            del batch                   # before the next one is read
+        del seen
+        release_memory()
+
+    def encoded(seen, batch):
+        column = batch.column(text).cast(pa.large_string())
+        size = pc.binary_length(pc.fill_null(column, "")).to_numpy()
+        cum = np.concatenate(([0], np.cumsum(size)))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(cum, cum[lo] + SLICE, side="right")) - 1))
+            part = batch.slice(lo, hi - lo)
+            ids, offs = encode_batch(model, part.column(text).cast(pa.large_string()), seen)
+            back = decode_ids(model, ids, offs)
+            arr = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids.astype(np.int32)))
+            dec = pa.array(back, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], arr, dec], [*kept, "ids", "decoded"])
+            lo = hi
 
     return src.mapInArrow(run, f"{schema}, ids array<int>, decoded string")

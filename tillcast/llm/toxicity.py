@@ -47,8 +47,11 @@ HIDDEN = 8
 STEPS = 260
 BATCH = 48
 CHUNK_ROWS = 8192       # windows at once
+SCORE_ROWS = 1024       # windows scored at once: their input sums take 5 MB
+SCORE_BYTES = 1 << 20   # of the texts that a task splits into words at once
 CHUNK_TEXTS = 256       # training texts whose word pieces are counted at once
-CACHE = 400_000
+FRESH = 4096            # words whose pieces are listed at once
+CACHE = 1 << 17         # words whose input sums a task keeps (25 MB)
 SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -305,8 +308,7 @@ class Scorer:
     def __init__(self, net: Network):
         self.net = net
         self.index: dict[str, int] = {}
-        pad = np.concatenate([net.p["bf"], net.p["bb"]])[None]
-        self.table = pad
+        self.table = np.concatenate([net.p["bf"], net.p["bb"]])[None]   # the pad, then words; grows in steps
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         flat, offs = tokenize(texts)
@@ -318,14 +320,20 @@ class Scorer:
         if fresh:
             at = len(self.index) + 1
             self.index.update(zip(fresh, range(at, at + len(fresh))))
-            self.table = np.concatenate((self.table, self.net.sums(self.net.inputs([w.encode() for w in fresh]))))
+            if at + len(fresh) > len(self.table):
+                room = np.empty((max(at + len(fresh), len(self.table) * 3 // 2), self.table.shape[1]), self.table.dtype)
+                room[:at] = self.table[:at]
+                self.table = room
+            for lo in range(0, len(fresh), FRESH):
+                some = [w.encode() for w in fresh[lo:lo + FRESH]]
+                self.table[at + lo:at + lo + len(some)] = self.net.sums(self.net.inputs(some))
         slot = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         codes = slot[enc.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         text, first, end = windows_of(offs)
         best = np.full(len(offs) - 1, -np.inf)
-        for lo in range(0, len(text), CHUNK_ROWS):
-            c, mask = _fill(codes, first[lo:lo + CHUNK_ROWS], end[lo:lo + CHUNK_ROWS], 0)
-            np.maximum.at(best, text[lo:lo + CHUNK_ROWS], self.net.forward(self.table[c], mask))
+        for lo in range(0, len(text), SCORE_ROWS):
+            c, mask = _fill(codes, first[lo:lo + SCORE_ROWS], end[lo:lo + SCORE_ROWS], 0)
+            np.maximum.at(best, text[lo:lo + SCORE_ROWS], self.net.forward(self.table[c], mask))
         return _sigmoid(best)
 
 
@@ -374,22 +382,30 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, net: Network | None, carry: list[Column | str], text: str = "text") -> DataFrame:
     """carry..., score of every whole text."""
-    src = docs.select(*carried(docs, carry, ["score"]), F.col(f"`{text}`").alias("__text"))
-    fields = src.schema.fields[:-1]
-    kept = [f.name for f in fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    own = docs.select(*carried(docs, carry, ["score"]))
+    kept = own.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
+    # a text that is carried as it is travels to the task once
+    given = text if text in [c for c in carry if isinstance(c, str)] and text != "score" else "__text"
+    src = own if given == text else docs.select(*carried(docs, carry, ["score"]), F.col(f"`{text}`").alias(given))
 
     def run(batches):
         scorer = Scorer(net) if net is not None else None
         for batch in batches:
-            column = batch.column("__text")
-            size = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))))
-            lo = 0
-            while lo < batch.num_rows:
-                hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(size, size[lo] + (4 << 20), side="right")) - 1))
-                part = batch.slice(lo, hi - lo)
-                s = scorer.scores(part.column("__text")) if scorer else np.zeros(hi - lo)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(s.astype(np.float64))], [*kept, "score"])
-                lo = hi
+            yield from scored(scorer, batch)
+            del batch                   # before the next one is read
+        del scorer
+        release_memory()
+
+    def scored(scorer, batch):
+        column = batch.column(given)
+        size = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(size, size[lo] + SCORE_BYTES, side="right")) - 1))
+            part = batch.slice(lo, hi - lo)
+            s = scorer.scores(part.column(given)) if scorer else np.zeros(hi - lo)
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(s.astype(np.float64))], [*kept, "score"])
+            lo = hi
 
     return src.mapInArrow(run, f"{schema}, score double")
