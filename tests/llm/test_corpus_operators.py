@@ -685,6 +685,22 @@ def test_pieces_are_made_in_bounded_memory(spark):
     assert sum(n) == 40 and len(n) > 1
 
 
+def test_substring_group_is_small():
+    """Arrays of a group and of its flags take few bytes for each byte of text."""
+    texts = [_words(20_000, seed) for seed in range(10)]
+    ids, column = pa.chunked_array([pa.array(range(10), pa.int64())]), pa.array(texts)
+    held = {}
+
+    def work():
+        held["group"] = g = exactdedup.Group(ids, column, 50, 16, 4, 64)
+        held["gone"] = exactdedup._covered(g, np.ones(len(g.first), bool), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    peak = _peak(work)
+    size = sum(map(len, texts)) / 1e6
+    assert held["group"].at.dtype == np.int32 and held["gone"].sum() > 0.9 * size * 1e6
+    assert peak < 11 * size, peak / size
+
+
 def test_what_a_group_held_goes_back(monkeypatch):
     done = []
     monkeypatch.setattr(common, "release_memory", lambda: done.append("release"))

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import buckets_for, mix64, text_chunks
+from tillcast.llm.common import buckets_for, freed, mix64, text_chunks
 from tillcast.llm.suffix import adjacent_equal, suffix_array
 
 LENGTH = 50
@@ -47,7 +47,7 @@ GROUP_BYTES = 12 << 20      # text in one group of documents
 BUCKET_BYTES = 8 << 20      # text whose anchors share a bucket
 LOCAL_HOT = 64              # neighbourhoods of one anchor that a group of documents sends
 HOT = 4096                  # neighbourhoods of one anchor that are sorted together
-SORT_BYTES = 2 << 20        # bytes in one suffix array; whole anchors, so one alone may hold more
+SORT_BYTES = 1 << 19        # bytes in one suffix array; whole anchors, so one alone may hold more
 PAD = 0xFF                  # never a byte of UTF-8
 BITS = 48
 BLOCK = 1 << 15             # places scanned at once: their hashes stay in the cache
@@ -124,32 +124,36 @@ class Group:
         known = np.array(ids.is_valid())
         self.ids = ids.fill_null(0).to_numpy().astype(np.int64)
         self.buf, self.begin, self.end = padded(texts, length)
-        at = anchors(self.buf, length, gram)
-        doc = np.searchsorted(self.begin, at, side="right") - 1
+        # places and numbers take 4 bytes where they fit, as a group has some for every few bytes of text
+        number = np.int32 if len(self.buf) < 1 << 31 else np.int64
+        at = anchors(self.buf, length, gram).astype(number)
+        doc = (np.searchsorted(self.begin, at, side="right") - 1).astype(number)
         keep = known[doc] & (self.end[doc] - self.begin[doc] >= length)
         at, doc = at[keep], doc[keep]
         anchor = _hash_at(self.buf, at, gram)
         around = _hash_at(self.buf, at - self.margin, self.span)
         # buckets are ranges of anchors, and places come in order, so two keys sort all
-        order = np.lexsort((around, anchor))
+        order = np.lexsort((around, anchor)).astype(number)
         self.at, self.doc = at[order], doc[order]
         anchor, around = anchor[order], around[order]
-        new = np.ones(len(at), bool)
+        del at, doc, order
+        new = np.ones(len(anchor), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (around[1:] != around[:-1])
-        self.first = np.flatnonzero(new)
-        self.entry = np.cumsum(new) - 1                 # of each anchor place
+        self.first = np.flatnonzero(new).astype(number)
+        self.entry = _numbered(new, number)             # of each anchor place
         self.anchor, self.around = anchor[self.first], around[self.first]
-        self.bucket = _range_of(self.anchor, buckets)
+        del anchor, around
+        self.bucket = _range_of(self.anchor, buckets).astype(np.int32)
         mine = self.ids[self.doc]                       # smallest id of each entry
         self.least = np.minimum.reduceat(mine, self.first) if len(mine) else mine
         # what is sent: all entries, or one marker where an anchor has too many
         a = np.ones(len(self.first), bool)
         a[1:] = self.anchor[1:] != self.anchor[:-1]
-        self.head = np.flatnonzero(a)
-        self.of = np.cumsum(a) - 1                      # anchor number of each entry
+        self.head = np.flatnonzero(a).astype(number)
+        self.of = _numbered(a, number)                  # anchor number of each entry
         many = np.diff(np.concatenate((self.head, [len(self.first)]))) > local_hot
         self.many = many[self.of] if len(self.first) else np.zeros(0, bool)
-        self.sent = np.flatnonzero(~self.many | a)
+        self.sent = np.flatnonzero(~self.many | a).astype(number)
         self.cut = np.searchsorted(self.bucket[self.sent], np.arange(buckets + 1))
 
     def messages(self, g: int) -> pa.Table:
@@ -191,10 +195,11 @@ class Group:
         if not len(h):
             return (np.zeros(0, np.int64),) * 6
         begin = self.at[self.first[h]] - self.margin
-        pads = _running(self.buf == PAD)
+        doc = self.doc[self.first[h]]
+        low, high = self.begin[doc], self.end[doc]
         own, off, at = [], [], []
         for o in range(self.margin + 1):
-            ok = pads[begin + o + self.length] - pads[begin + o] == 0
+            ok = (begin + o >= low) & (begin + o + self.length <= high)     # no window spans texts
             own.append(h[ok])
             at.append(begin[ok] + o)
             off.append(np.full(int(ok.sum()), o))
@@ -214,10 +219,10 @@ class Group:
         return self.buf[at[:, None] + np.arange(self.span)]
 
 
-def _running(flags: np.ndarray) -> np.ndarray:
-    """How many flags are set before each place, and in all."""
-    out = np.zeros(len(flags) + 1, np.int32)
-    np.cumsum(flags, out=out[1:])
+def _numbered(new: np.ndarray, number: type) -> np.ndarray:
+    """Number of the run of each place, where ``new`` marks the first of a run."""
+    out = np.cumsum(new, dtype=number)
+    out -= 1
     return out
 
 
@@ -330,7 +335,8 @@ def _sorted_out(asked: pa.Table, length: int, span: int) -> pa.Table:
 
 def _covered(group: Group, covered: np.ndarray, entries: np.ndarray, masks: np.ndarray) -> np.ndarray:
     """Flag of each byte of the padded buffer."""
-    step = np.zeros(len(group.buf) + 1, np.int32)
+    # a byte is in length + margin neighbourhoods and length x (margin + 1) windows at most, some thousands
+    step = np.zeros(len(group.buf) + 1, np.int16)
 
     def add(a, b):
         ok = b - a >= group.length
@@ -348,7 +354,7 @@ def _covered(group: Group, covered: np.ndarray, entries: np.ndarray, masks: np.n
             p = some[(held[group.entry[some]] >> o) & 1 == 1]
             a = group.at[p] - group.margin + o
             add(a, a + group.length)
-    return np.cumsum(step[:-1], dtype=np.int32) > 0
+    return np.cumsum(step, dtype=np.int16, out=step)[:-1] > 0
 
 
 def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -378,8 +384,8 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
     def send(t: pa.Table) -> pa.Table:
         return load(t)[1].messages(t.column("__g")[0].as_py())
 
-    replies = (base.groupBy("__g").applyInArrow(send, "bucket int, g int, n int, data binary")
-               .groupBy("bucket").applyInArrow(lambda m: _resolve(m, hot), "g int, bucket int, data binary"))
+    replies = (base.groupBy("__g").applyInArrow(lambda t: freed(send, t), "bucket int, g int, n int, data binary")
+               .groupBy("bucket").applyInArrow(lambda m: freed(_resolve, m, hot), "g int, bucket int, data binary"))
 
     ask_schema = "bucket int, g int, entry int, id long, anchor long, around binary, w2 long"
     arrow = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("entry", pa.int32()), ("id", pa.int64()),
@@ -421,8 +427,8 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
         return pa.concat_tables(out)
 
     # a window is sent once by each group of documents, so a very common one is a few rows
-    part = (base.groupBy("__g").cogroup(replies.groupBy("g")).applyInArrow(ask, ask_schema)
-            .groupBy("bucket").applyInArrow(settle, "g int, entry int, mask long"))
+    part = (base.groupBy("__g").cogroup(replies.groupBy("g")).applyInArrow(lambda t, r: freed(ask, t, r), ask_schema)
+            .groupBy("bucket").applyInArrow(lambda t: freed(settle, t), "g int, entry int, mask long"))
     none = F.lit(None)
     answers = (replies.select("g", "bucket", "data", none.cast("int").alias("entry"), none.cast("long").alias("mask"))
                .unionByName(part.select("g", none.cast("int").alias("bucket"),
@@ -445,12 +451,12 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
         ok = held[number] | (group.least[own] > low[number])
         gone = _covered(group, covered, np.concatenate((entry[~alone], own[ok])),
                         np.concatenate((mask[~alone], np.int64(1) << off[ok])))
-        sums = _running(gone)
-        n_removed = sums[group.end] - sums[group.begin]
-        edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
-        begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        edges = np.flatnonzero(gone[1:] != gone[:-1]) + 1       # the frame stays
+        begins, ends = edges[::2], edges[1::2]
         owner = np.searchsorted(group.begin, begins, side="right") - 1
         n_spans = np.bincount(owner, minlength=t.num_rows)
+        n_removed = np.zeros(t.num_rows, np.int64)
+        np.add.at(n_removed, owner, ends - begins)
         offs = np.concatenate(([0], np.cumsum(n_spans))).astype(np.int32)
         spans = pa.ListArray.from_arrays(pa.array(offs), pa.StructArray.from_arrays(
             [pa.array(begins - group.begin[owner]), pa.array(ends - group.begin[owner])], names=["begin", "end"]))
@@ -462,10 +468,10 @@ def dedup_substrings(docs: DataFrame, doc: str = "doc_id", text: str = "text", l
             whole = pa.array([left[i].decode("utf-8", "ignore") for i in cut.tolist()], t.schema.field(text).type)
             given = t.column(text).combine_chunks() if t.num_rows else pa.array([], t.schema.field(text).type)
             more = [pc.replace_with_mask(given, pa.array(n_removed > 0), whole)]
-        return pa.table([*[t.column(c) for c in kept], pa.array(group.end - group.begin), pa.array(n_removed.astype(np.int64)),
+        return pa.table([*[t.column(c) for c in kept], pa.array(group.end - group.begin), pa.array(n_removed),
                          pa.array(n_spans.astype(np.int64)), spans, pa.array(left, pa.binary()), *more], names=[*kept, *added])
 
     def removed(t: pa.Table, r: pa.Table) -> pa.Table:
         return remove(t, r) if t.num_rows else remove(t.slice(0, 0), r.slice(0, 0))
 
-    return base.groupBy("__g").cogroup(answers.groupBy("g")).applyInArrow(removed, out_schema)
+    return base.groupBy("__g").cogroup(answers.groupBy("g")).applyInArrow(lambda t, r: freed(removed, t, r), out_schema)
