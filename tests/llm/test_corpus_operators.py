@@ -362,6 +362,102 @@ def test_neighbours_of_spread_out_vectors(spark):
     assert np.mean(found) >= 0.95
 
 
+def _python_rows(df):
+    """Rows that left Python in the plan that ran."""
+    def rows(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return rows(node.executedPlan())
+        if "QueryStage" in name:
+            return rows(node.plan())
+        own = node.metrics().get("pythonNumRowsReceived")
+        own = own.get().value() if own.isDefined() else 0
+        children = node.children()
+        return own + sum(rows(children.apply(i)) for i in range(children.size()))
+
+    return rows(df._jdf.queryExecution().executedPlan())
+
+
+def test_neighbours_move_few_rows_when_most_lists_are_searched(spark):
+    # spread out vectors: a query needs most lists, and neither it nor k rows may go out for each of them
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 32)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    out = ann.search(df, F.col("vec_id") % 20 == 0, per_list=10)
+    assert len(out.collect()) == 300 * 20
+    assert len(x) < _python_rows(out) < 10 * len(x)
+
+
+def test_neighbours_over_many_regions(spark, monkeypatch):
+    # lists of one dense cluster are salted into several regions; the rest has copies near boundaries
+    monkeypatch.setattr(ann, "LEAST_REGION", 100)
+    rng = np.random.default_rng(7)
+    middle = rng.normal(size=(20, 16)) * 3
+    x = np.concatenate((middle[0] + rng.normal(0, 0.01, (1000, 16)), middle[rng.integers(0, 20, 2000)] + rng.normal(0, 0.5, (2000, 16)))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 30 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r)
+    d, found = x.astype(np.float64), []
+    for q in range(0, 3000, 30):
+        s = d @ d[q]
+        s[q] = -np.inf
+        assert len({r.vec_id for r in got[q]}) == 20
+        assert all(abs(r.score - s[r.vec_id]) < 1e-12 * max(1, abs(r.score)) for r in got[q])
+        found.append(sum(r.score >= np.sort(s)[-20] - 1e-9 for r in got[q]) / 20)
+    assert np.mean(found) >= 0.95
+
+
+def test_region_finds_largest_products_of_a_querys_lists():
+    r = np.random.default_rng(8)
+    for size, copies, probes in ((1.0, 1, 4), (1.0, 3, 30), (1e30, 3, 4), (1e-30, 1, 30)):
+        x = (r.standard_normal((2000, 16)) * np.exp(r.normal(0, 0.5, (2000, 1))) * size).astype(np.float32)
+        x[500:560] = x[3]                                       # ties
+        d = x.astype(np.float64)
+        norm2 = (d ** 2).sum(1)
+        scale = 1.0 if size == 1 else 2.0 ** -np.round(np.log2(norm2.max()) / 2)
+        points = ann._lifted(d, norm2, norm2.max(), scale)
+        graph = ann.CentroidGraph(ann._lloyd(points.astype(np.float32), ann.balanced_centroids(points.astype(np.float32), 30)))
+        rows, lists, _ = ann._near_lists(graph, points, copies, 1.1)
+        order = np.lexsort((rows, lists))
+        rows, lists = rows[order], lists[order]
+        region = ann.Region(graph, 16, scale)
+        for lo in range(0, len(rows), 700):                     # a list may come in two parts
+            region.add(lists[lo:lo + 700], rows[lo:lo + 700], x[rows[lo:lo + 700]])
+        (_, e, xs), = graph.blocks(ann._lifted(d[::10], norm2.max(), norm2.max(), scale))
+        limit = graph.limits(e, xs, probes, 9.0)
+        qi, found, s = region.search(x[::10], limit, 21, copies)
+        for i, taken in enumerate(e <= limit.astype(np.float32)[:, None]):
+            assert 1 <= taken.sum() <= probes
+            there = np.unique(rows[taken[lists]])
+            every = ann._exact_products(np.repeat(d[10 * i:10 * i + 1], len(there), 0), d[there])
+            best = np.lexsort((there, -every))[:21]
+            assert found[qi == i].tolist() == there[best].tolist() and s[qi == i].tolist() == every[best].tolist()
+
+
+def test_regions_share_the_postings(spark):
+    weights = np.random.default_rng(9).random(200) + 0.5
+    weights[77] = weights.sum()                                 # a list with half of all postings
+    starts, first, blocks = ann.regions(weights, 20)
+    ends = np.append(starts[1:], len(weights))
+    assert starts[0] == 0 and (ends > starts).all()
+    assert first.tolist() == [0, *np.cumsum(blocks)[:-1].tolist()]
+    assert max(weights[a:b].sum() / n for a, b, n in zip(starts, ends, blocks)) <= 1.6 * weights.sum() / 20
+    for n in (1, 7, 40):
+        keys = spark.createDataFrame([(int(x),) for x in ann._scattered(n)], "a int")
+        assert sorted(r[0] for r in keys.select(F.pmod(F.hash("a"), F.lit(n))).collect()) == list(range(n))
+
+
+def test_walk_finds_the_lists_of_clustered_vectors():
+    r = np.random.default_rng(10)
+    c = np.repeat(r.standard_normal((40, 8)) * 5, 10, axis=0) + r.standard_normal((400, 8))
+    graph = ann.CentroidGraph(c)
+    ids, d = graph.search(c + 0.01, 4)
+    walked, far = graph.walk(c + 0.01, 4)
+    assert (ids[:, 0] == np.arange(400)).all() and np.allclose(d[:, 0], 8e-4, atol=graph.noise(np.array([400.0]))[0])
+    assert (np.diff(d, axis=1) >= 0).all() and (np.diff(far, axis=1) >= 0).all()
+    assert (walked[:, 0] == ids[:, 0]).mean() > 0.9
+
 
 # --- language --------------------------------------------------------------
 
