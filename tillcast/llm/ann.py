@@ -11,8 +11,8 @@ its nearest centroid and, near a boundary, in those whose distance is within
 
 Search: a query takes its nearest lists, without those further than ``PRUNE``
 times the nearest.  Neighbouring lists make a region, one task's postings; a
-query is sent once to each region with a list of its own.  There it meets these
-lists alone: blocks of both are multiplied as matrices in single precision, the
+query is sent once to each region with a list of its own (lists are added where
+they hold few vectors).  There it meets these lists alone: blocks of both are multiplied as matrices in single precision, the
 largest products of groups of postings give a bound that the k + 1 largest
 reach, and only products that may reach it, given the rounding error, are
 summed component by component in double precision, which gives the score.
@@ -22,7 +22,7 @@ vectors (spread out ones, or norms that differ much, need far more lists), so
 they are measured: ``TUNE`` queries are searched by brute force in one pass
 over the table, and probes and ratio are raised from ``PROBES`` and ``PRUNE``
 until their lists hold the share ``RECALL`` of these queries' true neighbours
--- all lists if need be.  This is done for each number of copies up to
+and some more, for the error of so few queries -- all lists if need be.  This is done for each number of copies up to
 ``COPIES``, and the cheapest is taken: copies spare probes, but are moved.
 
 Inner product becomes distance by one added component (sqrt(M^2 - |x|^2), M the
@@ -60,11 +60,13 @@ TUNE = 128                  # queries whose true neighbours set probes and ratio
 RECALL = 0.99               # share of these neighbours that the searched lists hold
 DEGREE = 24
 GATHERED = 64               # products of a matrix in the time of one distance to a linked centroid
-REGION = 524_288            # postings of a region at most
+REGION = 262_144            # postings of a region at most
 LEAST_REGION = 4_096
-GROUP = 32                  # postings of which the largest product is noted
-PAIR_S = 5e-9               # CPU seconds of a query and a posting that meet, and of a posting that is moved
-POSTING_S = 15e-6
+ENOUGH = 8                  # times the vectors wanted that a query's lists hold
+GROUP = 32                  # postings of which the largest product is noted, or more if a region would have over GROUPS groups
+GROUPS = 2_048
+PAIR_S = 5e-9               # CPU seconds of a query and a posting that meet
+POSTING_S = 100e-6          # of a posting that is moved (20e-6), and what its place on disk is worth
 EPS = float(np.finfo(np.float32).eps)
 CELLS = 4_000_000           # of a matrix at once
 
@@ -130,15 +132,24 @@ class CentroidGraph:
             e += self.sq
             yield lo, e, xs
 
-    def limits(self, e: np.ndarray, xs: np.ndarray, probes: int, ratio: float) -> np.ndarray:
-        """What a block's distances are held against, so that at most ``probes`` lists within ``ratio`` of the nearest stay."""
+    def limits(self, e: np.ndarray, xs: np.ndarray, probes: int, ratio: float, held: np.ndarray | None = None, least: float = 0) -> np.ndarray:
+        """What a block's distances are held against, so that at most ``probes`` lists within ``ratio`` of the nearest stay.
+
+        Where those of the lists hold less than ``least``, as beside a vector that is a list's centroid, the nearest that do stay.
+        """
         xs = xs.astype(np.float64)
         with np.errstate(over="ignore"):
             limit = ratio ** 2 * np.maximum(e.min(1) + xs, 0) - xs + self.noise(xs)
         if probes < e.shape[1]:
             last = np.partition(e, (probes - 1, probes), axis=1)[:, probes - 1:probes + 1]
             limit = np.minimum(limit, last.mean(1, dtype=np.float64))
-        return np.minimum(limit, np.finfo(np.float32).max)
+        limit = np.minimum(limit, np.finfo(np.float32).max)
+        if held is not None:
+            few = np.flatnonzero((e <= limit.astype(np.float32)[:, None]) @ held.astype(np.float32) < least)
+            near = np.argsort(e[few], axis=1, kind="stable")
+            enough = np.minimum((np.cumsum(held[near], axis=1) < least).sum(1), e.shape[1] - 1)
+            limit[few] = np.maximum(limit[few], e[few, near[np.arange(len(few)), enough]] + self.noise(xs[few]))
+        return limit
 
     def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, squared distances) of the ``width`` nearest centroids (by the walk: of those found), nearest first."""
@@ -292,11 +303,10 @@ def _may_reach(qi: np.ndarray, s: np.ndarray, need: int, slack: np.ndarray) -> n
 
 
 class _Unit:
-    """Postings of one list that came together: places of its groups among the region's, and their vectors."""
+    """Postings of one list that came together: their ids and vectors, the place of their list and of their groups in the region."""
 
-    def __init__(self, at: int, group: int, ids: np.ndarray, raw: np.ndarray, x: np.ndarray):
-        self.at, self.ids, self.raw, self.x = at, ids, raw, x
-        self.group, self.groups = group, -(-len(x) // GROUP)
+    def __init__(self, at: int, ids: np.ndarray, raw: np.ndarray, x: np.ndarray):
+        self.at, self.ids, self.raw, self.x, self.group, self.groups = at, ids, raw, x, 0, 1
 
     def group_largest(self, s: np.ndarray) -> np.ndarray:
         """Largest product of each group; every posting is in one group."""
@@ -323,19 +333,24 @@ class Region:
         """Postings in the order of their lists."""
         x = self.scaled(raw)
         self.largest = max(self.largest, float(np.linalg.norm(x.astype(np.float64), axis=1).max()))
-        cut = np.flatnonzero(np.diff(lists)) + 1
-        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(lists)]):
+        for lo, hi in _runs(lists):
             if not self.lists or self.lists[-1] != lists[lo]:
                 self.lists.append(int(lists[lo]))
-            self.units.append(_Unit(len(self.lists) - 1, self.groups, ids[lo:hi], raw[lo:hi], x[lo:hi]))
-            self.groups += self.units[-1].groups
+            self.units.append(_Unit(len(self.lists) - 1, ids[lo:hi], raw[lo:hi], x[lo:hi]))
+        self.groups = 0
 
     def step(self) -> int:
-        """Queries searched at once."""
-        return int(min(4096, max(64, CELLS // max(self.groups, 1))))
+        """Queries searched at once; sets the groups when all postings are there."""
+        if not self.groups:
+            size = max(GROUP, sum(len(u.x) for u in self.units) // GROUPS)
+            for u in self.units:
+                u.group, u.groups = self.groups, -(-len(u.x) // size)
+                self.groups += u.groups
+        return int(min(4096, max(64, CELLS // self.groups)))
 
     def search(self, raw: np.ndarray, limit: np.ndarray, keep: int, copies: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, id, product) of the ``keep`` largest products with the lists in each query's limit."""
+        self.step()
         q, lists = self.scaled(raw), np.array(self.lists)
         y, _ = self.graph.around(np.concatenate((raw.astype(np.float64) * self.scale, np.zeros((len(raw), 1))), 1))
         taken = np.ascontiguousarray((y @ self.graph.twice[:, lists] + self.graph.sq[lists] <= limit.astype(np.float32)[:, None]).T)
@@ -346,7 +361,9 @@ class Region:
         # as many groups' largest products reach the bound as vectors are wanted, were each there in all its copies
         need, least = keep * copies, np.full(len(q), np.finfo(np.float32).min / 2)
         if self.groups >= need:
-            least = np.maximum(least, np.partition(noted.T, self.groups - need, axis=1)[:, self.groups - need].astype(np.float64))
+            for lo in range(0, len(q), 512):
+                some = np.partition(noted[:, lo:lo + 512].T, self.groups - need, axis=1)[:, self.groups - need]
+                least[lo:lo + 512] = np.maximum(least[lo:lo + 512], some)
         error = (self.dim + 4) * EPS * np.linalg.norm(q.astype(np.float64), axis=1) * self.largest + self.dim * 2.0 ** -126
         least = (least - 2 * error).astype(np.float32)
         reach = np.logical_or.reduceat(noted >= least, [u.group for u in self.units], axis=0)
@@ -392,8 +409,9 @@ def _meet(graph: CentroidGraph, dim: int, scale: float, keep: int, copies: int)
                 if lists[lo] < len(graph.c):
                     region.add(lists[lo:hi], ids[lo:hi], raw[lo:hi])
                     continue
-                for q in range(lo, hi if region.units else lo, region.step()):
-                    end = min(hi, q + region.step())
+                step = region.step() if region.units else hi
+                for q in range(lo, hi if region.units else lo, step):
+                    end = min(hi, q + step)
                     qi, xi, s = region.search(raw[q:end], limit[q:end], keep, copies)
                     if not len(qi):
                         continue
@@ -471,9 +489,9 @@ def tuned(graph: CentroidGraph, queries: np.ndarray, qi: np.ndarray, found: np.n
         first = np.full(len(qi), n)             # rank at which a neighbour's first list is reached
         some = place < c
         np.minimum.at(first, row[some], rank[qi[row[some]], lists[some]])
-        most = min(n, max(probes, int(1.1 * np.sort(first)[last]) + 2))
-        reached = np.where(first < most, far[qi, np.minimum(first, n - 1)], np.inf)
-        need = float(np.sort(reached)[last])
+        most = min(n, max(probes, int(1.25 * np.sort(first)[last]) + 2))      # the sample's own error
+        reached = np.sort(np.where(first < most, far[qi, np.minimum(first, n - 1)], np.inf))
+        need = float(reached[max(last, min((last + len(qi)) // 2, np.searchsorted(reached, np.inf) - 1))])
         ratio = prune if need <= prune else min(need * 1.01, 1e150)
         met = (share[ids[:, :most]] * (far[:, :most] <= ratio)).sum(1).mean()
         cost = asked * vectors * met * PAIR_S + vectors * share.sum() * POSTING_S
@@ -502,15 +520,15 @@ def _scattered(n: int) -> np.ndarray:
 def regions(weights: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first list, first region, regions) of runs of neighbouring lists of about equal weight; a heavier list is a run in several regions."""
     target = weights.sum() / max(count, 1) or 1.0
-    starts, first, blocks, held = [], [], [], np.inf
+    part = ((np.cumsum(weights) - weights / 2) // target).astype(int)
+    starts, first, blocks, alone = [], [], [], True
     for at, w in enumerate(weights.tolist()):
-        alone = w > 1.5 * target
-        if alone or held + w / 2 > target:
+        heavy = w > 1.5 * target
+        if alone or heavy or part[at] != part[at - 1]:
             starts.append(at)
             first.append(first[-1] + blocks[-1] if first else 0)
-            blocks.append(int(np.ceil(w / target)) if alone else 1)
-            held = np.inf if alone else 0.0
-        held += w
+            blocks.append(int(np.ceil(w / target)) if heavy else 1)
+        alone = heavy
     return np.array(starts), np.array(first), np.array(blocks)
 
 
@@ -564,8 +582,9 @@ def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: st
     freed(lambda: None)
 
     postings_n = n * shares.sum()
-    wide = min(2 * spark.sparkContext.defaultParallelism, postings_n / LEAST_REGION, 2 * postings_n / n_asked)
-    starts, firsts, blocks = regions(shares, int(np.ceil(max(postings_n / REGION, wide, 1))))
+    tasks = spark.sparkContext.defaultParallelism
+    count = int(np.ceil(max(postings_n / REGION, min(2 * tasks, postings_n / LEAST_REGION, 2 * postings_n / n_asked), 1)))
+    starts, firsts, blocks = regions(shares, count if count <= tasks else -(-count // tasks) * tasks)
     run_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, lists)))
     parts = int(blocks.sum())
     keys = _scattered(parts).astype(np.int32)
@@ -586,7 +605,7 @@ def search(vectors: DataFrame, is_query: Column, vec: str = "embedding", vid: st
     def probe(batches):
         for b in batches:
             for lo, e, xs in graph.blocks(_lifted(_matrix(b.column("v"), dim), top, top, scale)):
-                limit = graph.limits(e, xs, probes, prune)
+                limit = graph.limits(e, xs, probes, prune, n * shares, ENOUGH * (k + 1) * copies)
                 r, run = np.nonzero(np.logical_or.reduceat(e <= limit.astype(np.float32)[:, None], starts, axis=1))
                 many = blocks[run]
                 r, salt = np.repeat(r, many), np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
